@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shelfscan.functions.fixed_values import (
     CATEGORY_BY_KEYWORD,
@@ -29,7 +30,7 @@ _ODD_SPACES = "".join(
 _MARK = "\u0001 "
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _normalize(values: pa.Array) -> pa.Array:
     return pc.utf8_normalize(values, form="NFKD")
 
