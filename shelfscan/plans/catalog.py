@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfscan.functions import keys, text
 from shelfscan.functions.numbers import round_half_up
-from shelfscan.operators import clean, correlation, dedup, dispersion, leaders, match, quality, stores, views
+from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, leaders, match, quality, stores, views
 from shelfscan.plans import derived
 from shelfscan.plans.layers import layers_of
 from shelfscan.sources import attempt_logs, html_pages, json_payloads
@@ -500,3 +500,13 @@ def failure_streaks(spark, sf):
         F.col("first_failure.event_id").alias("first_event"),
         F.col("last_failure.event_id").alias("last_event"),
     )
+
+
+@register
+def fuzzy_matches(spark, sf):
+    """Fuzzy groups of the unmatched names, without a target: groups, their rows and their similarity."""
+    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(layers_of(spark, sf).all_rows))
+    return links.select(
+        "match_group", "store_a", "name_a", "store_b", "name_b",
+        (F.col("rows_a") + F.col("rows_b")).alias("num_rows"), round_half_up(F.col("score"), 4).alias("score"),
+    )
