@@ -63,11 +63,17 @@ class Tile:
 
 
 def best_matches(
-    name: str, tile: Tile, ids: np.ndarray, k: int, cutoff: float, after: tuple[float, int] | None
+    name: str,
+    tile: Tile,
+    ids: np.ndarray,
+    k: int,
+    cutoff: float,
+    after: tuple[float, int] | None,
+    allowed: np.ndarray,
 ) -> list[tuple[int, float]]:
-    """First ``k`` (id, score) of a tile by score, then id; only those after a given place."""
+    """First ``k`` allowed (id, score) of a tile by score, then id; only those after a given place."""
     scores = tile.scores(name)
-    usable = scores >= cutoff
+    usable = allowed & (scores >= cutoff)
     if after is not None:
         usable &= (scores < after[0]) | ((scores == after[0]) & (ids > after[1]))
     places = np.flatnonzero(usable)

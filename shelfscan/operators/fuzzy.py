@@ -33,6 +33,7 @@ from shelfscan.functions.fixed_values import FUZZY_CUTOFF, TARGET_MATCHED
 from shelfscan.functions.similarity import Tile, best_matches
 from shelfscan.sources.staging import stage
 
+_NOBODY = np.iinfo(np.int64).max
 _LINKS = "pair INT, a BIGINT, b BIGINT, score DOUBLE"
 
 
@@ -64,20 +65,28 @@ def _scorer(k: int, cutoff: float):
         for batch in batches:
             for pair, left, right in zip(batch["pair"], batch["names_a"], batch["names_b"], strict=True):
                 ids = np.array([r["id"] for r in right], dtype=np.int64)
+                holders = np.array([_NOBODY if r["holder"] is None else r["holder"] for r in right], dtype=np.int64)
                 tile = Tile([r["name"] for r in right])
                 found = []
                 for row in left:
                     after = None if row["after_id"] is None else (row["after_score"], row["after_id"])
-                    found += [(pair, row["id"], b, s) for b, s in best_matches(row["name"], tile, ids, k, cutoff, after)]
+                    open_to = holders > row["id"]
+                    best = best_matches(row["name"], tile, ids, k, cutoff, after, open_to)
+                    found += [(pair, row["id"], b, s) for b, s in best]
                 yield pd.DataFrame(found, columns=["pair", "a", "b", "score"])
 
     return score
 
 
-def _candidates(left: DataFrame, right: DataFrame, k: int, cutoff: float, size: int) -> DataFrame:
-    """The next ``k`` candidates of every name of ``left``, after its ``after_score`` and ``after_id``."""
+def _candidates(left: DataFrame, right: DataFrame, held: DataFrame, k: int, cutoff: float, size: int) -> DataFrame:
+    """The next ``k`` candidates of every name of ``left``, after its ``after_score`` and ``after_id``.
+
+    A name held by an earlier proposer is no candidate: holders only get earlier, so it stays lost.
+    """
     spark = left.sparkSession
-    tiles = _tiles(left, "a", size, ("after_score", "after_id")).join(_tiles(right, "b", size), "pair")
+    holders = held.select("pair", F.col("b").alias("id"), F.col("a").alias("holder"))
+    held_right = right.join(holders, ["pair", "id"], "left")
+    tiles = _tiles(left, "a", size, ("after_score", "after_id")).join(_tiles(held_right, "b", size, ("holder",)), "pair")
     # one tile pair is a large unit of work: spread the pairs over all cores
     spread = tiles.repartition(max(spark.sparkContext.defaultParallelism, 1), "pair", "a", "b")
     scored = spread.select("pair", "names_a", "names_b").mapInPandas(_scorer(k, cutoff), _LINKS)
@@ -85,18 +94,22 @@ def _candidates(left: DataFrame, right: DataFrame, k: int, cutoff: float, size:
     return scored.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k).drop("_place")
 
 
-def _propose(candidates: DataFrame, held: DataFrame) -> DataFrame:
-    """Best feasible candidate of every name without a partner: free, or held by a later name."""
+def _open(candidates: DataFrame, held: DataFrame) -> DataFrame:
+    """Candidates that are free, held by a later name, or held by the proposer itself."""
     holders = held.select("pair", "b", F.col("a").alias("holder"))
+    rows = candidates.join(holders, ["pair", "b"], "left")
+    return rows.filter(F.col("holder").isNull() | (F.col("a") <= F.col("holder"))).drop("holder")
+
+
+def _propose(candidates: DataFrame, held: DataFrame) -> DataFrame:
+    """Every name without a partner asks its best open candidate; each keeps its earliest proposer."""
     placed = held.select("pair", "a")
-    feasible = (
-        candidates.join(placed, ["pair", "a"], "left_anti")
-        .join(holders, ["pair", "b"], "left")
-        .filter(F.col("holder").isNull() | (F.col("a") < F.col("holder")))
-    )
-    choice = feasible.groupBy("pair", "a").agg(F.min(F.struct((-F.col("score")).alias("s"), "b")).alias("c"))
-    winners = choice.groupBy("pair", F.col("c.b").alias("b")).agg(F.min(F.struct("a", F.col("c.s").alias("s"))).alias("w"))
-    return winners.select("pair", F.col("w.a").alias("a"), "b", (-F.col("w.s")).alias("score"))
+    asking = _open(candidates.join(placed, ["pair", "a"], "left_anti"), held)
+    choice = asking.groupBy("pair", "a").agg(F.min(F.struct((-F.col("score")).alias("s"), "b")).alias("c"))
+    proposals = choice.select("pair", F.col("c.b").alias("b"), "a", (-F.col("c.s")).alias("score"), F.lit(True).alias("new"))
+    before = held.select("pair", "b", "a", "score", F.lit(False).alias("new"))
+    earliest = F.min(F.struct("a", "score", "new")).alias("w")
+    return before.unionByName(proposals).groupBy("pair", "b").agg(earliest).select("pair", "w.a", "b", "w.score", "w.new")
 
 
 def _link_level(left: DataFrame, right: DataFrame, k: int, cutoff: float, size: int) -> DataFrame:
@@ -104,35 +117,36 @@ def _link_level(left: DataFrame, right: DataFrame, k: int, cutoff: float, size:
     none = F.lit(None)
     asking = left.withColumns({"after_score": none.cast("double"), "after_id": none.cast("bigint")})
     held = candidates = left.sparkSession.createDataFrame([], _LINKS)
-    complete = left.select("pair", "id").limit(0)
+    complete, furthest = left.select("pair", "id").limit(0), None
     while True:
-        fresh = stage(_candidates(asking, right, k, cutoff, size), "candidates")
-        candidates = candidates.unionByName(fresh)
+        fresh = stage(_candidates(asking, right, held, k, cutoff, size), "fresh")
         # fewer than k candidates: the name has no others
         counts = fresh.groupBy("pair", F.col("a").alias("id")).agg(F.count("*").alias("n"))
         short = asking.join(counts, ["pair", "id"], "left").filter(F.coalesce("n", F.lit(0)) < k)
         complete = stage(complete.unionByName(short.select("pair", "id")), "complete")
+        candidates = stage(_open(candidates.unionByName(fresh), held), "candidates")
         while True:
-            proposals = stage(_propose(candidates, held), "proposals")
-            if proposals.isEmpty():
+            held = stage(_propose(candidates, held), "held")
+            if held.filter("new").isEmpty():
                 break
-            kept = held.join(proposals.select("pair", "b"), ["pair", "b"], "left_anti")
-            held = stage(kept.unionByName(proposals), "held")
-        last = candidates.groupBy("pair", F.col("a").alias("id")).agg(
+        last = fresh.groupBy("pair", F.col("a").alias("id")).agg(
             F.max(F.struct((-F.col("score")).alias("s"), "b")).alias("l")
         )
+        furthest = last if furthest is None else stage(
+            furthest.unionByName(last).groupBy("pair", "id").agg(F.max("l").alias("l")), "furthest"
+        )
         placed = held.select("pair", F.col("a").alias("id"))
-        waiting = left.join(complete.unionByName(placed), ["pair", "id"], "left_anti").join(last, ["pair", "id"])
+        waiting = left.join(complete.unionByName(placed), ["pair", "id"], "left_anti").join(furthest, ["pair", "id"])
         asking = stage(
             waiting.select("pair", "id", "name", (-F.col("l.s")).alias("after_score"), F.col("l.b").alias("after_id")),
             "asking",
         )
         if asking.isEmpty():
-            return held
+            return held.select("pair", "a", "b", "score")
 
 
 def fuzzy_links(
-    names: DataFrame, cutoff: float = FUZZY_CUTOFF, k: int = 16, tile_size: int = 1000
+    names: DataFrame, cutoff: float = FUZZY_CUTOFF, k: int = 32, tile_size: int = 1000
 ) -> DataFrame:
     """One row per link: both stores and names, similarity, rows, and the order in which it was made."""
     spark = names.sparkSession
@@ -204,7 +218,7 @@ def fuzzy_boost(
     target: int | None = TARGET_MATCHED,
     cutoff: float = FUZZY_CUTOFF,
     max_names: int | None = None,
-    k: int = 16,
+    k: int = 32,
     tile_size: int = 1000,
 ) -> DataFrame:
     """Rows with fuzzy groups added while fewer than ``target`` rows are matched (None = no target)."""

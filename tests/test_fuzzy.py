@@ -65,10 +65,10 @@ def frame(spark, listings):
     )
 
 
-@pytest.mark.parametrize("seed,k,tile", [(3, 2, 4), (4, 16, 1000)])
+@pytest.mark.parametrize("seed,k,tile", [(3, 2, 4), (4, 32, 1000)])
 def test_links_equal_the_greedy_definition(spark, seed, k, tile):
     rng = random.Random(seed)
-    listings = [(s, n) for s in ("s1", "s2", "s3") for n in some_names(rng, 14) for _ in range(rng.randint(1, 2))]
+    listings = [(s, n) for s in ("s1", "s2", "s3", "s4") for n in some_names(rng, 14) for _ in range(rng.randint(1, 2))]
     links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)), 55, k, tile)
     got = {tuple(r) for r in links.select("store_a", "name_a", "store_b", "name_b").collect()}
     assert got == greedy(listings, 55)
