@@ -14,11 +14,11 @@ from shelfscan.operators.dedup import POLICIES, dedup
 MIN_NAME_LENGTH = 3
 
 
-def clean_names(df: DataFrame, fragments: Sequence[str] = PROMO_FRAGMENTS) -> DataFrame:
-    """Add ``product_name_clean`` and drop names of two characters or fewer.
+def with_clean_names(df: DataFrame, fragments: Sequence[str] = PROMO_FRAGMENTS) -> DataFrame:
+    """Add ``product_name_clean``.
 
-    Equals ``text.clean_name``; the removal chain and the second cleaning only run on
-    names in which a fragment occurs.
+    Equals ``text.clean_name``, in steps; the removal chain and the second cleaning only
+    run on names in which a fragment occurs.
     """
     tidy, promo, rest = F.col("_tidy"), F.col("_promo"), F.col("_rest")
     return (
@@ -27,10 +27,14 @@ def clean_names(df: DataFrame, fragments: Sequence[str] = PROMO_FRAGMENTS) -> Da
         .withColumn("_rest", F.when(promo, text.remove_promos(tidy, fragments)))
         .withColumn("product_name_clean", F.when(promo, text.clean_text(rest)).otherwise(tidy))
         .drop("_tidy", "_promo", "_rest")
-        .filter(F.char_length("product_name_clean") >= MIN_NAME_LENGTH)
     )
 
 
+def clean_names(df: DataFrame, fragments: Sequence[str] = PROMO_FRAGMENTS) -> DataFrame:
+    """Clean names; drop those of two characters or fewer."""
+    return with_clean_names(df, fragments).filter(F.char_length("product_name_clean") >= MIN_NAME_LENGTH)
+
+
 def _numeric(df: DataFrame, name: str) -> Column:
     column = F.col(name)
     return text.to_number(column) if df.schema[name].dataType.simpleString() == "string" else column.try_cast("double")
@@ -78,9 +82,9 @@ def rejection_counts(raw: DataFrame, ceiling: float = PRICE_CEILING) -> DataFram
     shuffle) is enough for every stage.
     """
     offers = raw.groupBy(*POLICIES["listing"]).agg(F.count("*").alias("n"))
-    flagged = offers.select(
+    flagged = with_clean_names(offers).select(
         "n",
-        (F.char_length(text.clean_name(F.col("product_name"))) >= MIN_NAME_LENGTH).alias("named"),
+        (F.char_length("product_name_clean") >= MIN_NAME_LENGTH).alias("named"),
         _numeric(offers, "price").alias("price"),
     )
     named, price = F.col("named"), F.col("price")

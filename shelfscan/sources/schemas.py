@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-RAW = StructType.fromDDL(
-    """store STRING, store_key STRING, source_url STRING, city STRING, category STRING,
-    category_hierarchy STRING, product_name STRING, price DOUBLE, old_price DOUBLE,
-    currency STRING, brand STRING, weight STRING, unit_type STRING, sku STRING,
-    product_url STRING, image_url STRING, in_stock BOOLEAN, scraped_at STRING"""
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+
+_TEXTS = (
+    "store store_key source_url city category category_hierarchy product_name currency brand weight unit_type sku "
+    "product_url image_url scraped_at"
+).split()
+RAW = StructType(
+    [StructField(name, StringType()) for name in _TEXTS]
+    + [StructField("price", DoubleType()), StructField("old_price", DoubleType()), StructField("in_stock", BooleanType())]
 )
 
 ROW_ORDER = "row_ord"
