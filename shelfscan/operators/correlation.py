@@ -64,7 +64,7 @@ def tier_statistics(tiered: DataFrame) -> DataFrame:
     )
 
 
-def pairwise(matched: DataFrame, dim: str) -> DataFrame:
+def pairwise(matched: DataFrame, dim: str, spearman: bool = True) -> DataFrame:
     """Correlation of group mean prices for every pair of cities or stores, over groups both have.
 
     Long form: a group contributes at most one row per value of ``dim``, so the self
@@ -81,7 +81,7 @@ def pairwise(matched: DataFrame, dim: str) -> DataFrame:
     a = means.select("match_group", F.col(dim).alias("a"), F.col("mean_price").alias("price_a"))
     b = means.select("match_group", F.col(dim).alias("b"), F.col("mean_price").alias("price_b"))
     pairs = a.join(b, "match_group").filter("a < b").filter(wide > MIN_OBSERVATIONS)
-    return correlate(pairs, "price_a", "price_b", ["a", "b"])
+    return correlate(pairs, "price_a", "price_b", ["a", "b"], spearman)
 
 
 def matrix(pairs: DataFrame, dim: str, method: str) -> DataFrame:

@@ -42,8 +42,8 @@ def new_names_only(df: DataFrame, known: DataFrame, name: str = "product_name",
     """Rows whose case-folded, trimmed name is not yet known, first of each name."""
     folded = F.lower(F.trim(F.col(name)))
     seen = known.select(folded.alias("_folded")).filter("_folded IS NOT NULL").distinct()
-    fresh = df.withColumn("_folded", folded).filter("_folded <> ''").join(seen, "_folded", "left_anti")
-    return keep_first(fresh, ("_folded",), order).drop("_folded")
+    first = keep_first(df.withColumn("_folded", folded).filter("_folded <> ''"), ("_folded",), order)
+    return first.join(seen, "_folded", "left_anti").drop("_folded")
 
 
 def merge_first_wins(old: DataFrame, new: DataFrame, policy: str = "city_merge", order: str = ROW_ORDER) -> DataFrame:

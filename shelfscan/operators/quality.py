@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfscan.functions.fixed_values import SUSPICIOUS_PRICE, TARGET_MATCHED, TARGET_RAW_ROWS
 from shelfscan.functions.numbers import missing_status, target_status
 from shelfscan.operators.stats import quantiles
+from shelfscan.sources.staging import stage
 
 CHECKED_COLUMNS = ("product_name", "price", "store_key", "city", "category", "brand", "quantity", "unit")
 
@@ -74,7 +75,7 @@ def price_sanity(df: DataFrame) -> DataFrame:
 
     All rows collapse to (store, price) counts first; both levels are read from those.
     """
-    counts = df.groupBy("store_key", "price").agg(F.count("*").alias("n"))
+    counts = stage(df.groupBy("store_key", "price").agg(F.count("*").alias("n")), "price-counts")
     price, n = F.col("price"), F.col("n")
 
     def stats(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,10 +110,14 @@ def store_city_rows(df: DataFrame) -> DataFrame:
 
 
 def rows_by_dimension(df: DataFrame) -> DataFrame:
-    """Row counts by store, by city, by store and city, and in total, in one pass."""
-    return df.groupingSets(
-        [["store_key"], ["city"], ["store_key", "city"], []], "store_key", "city"
-    ).agg(F.count("*").alias("num_rows"), F.grouping_id().cast("bigint").alias("level"))
+    """Row counts by store, by city, by store and city, and in total.
+
+    Rows collapse to one count per store and city before the grouping sets multiply them.
+    """
+    cells = df.groupBy("store_key", "city").agg(F.count("*").alias("n"))
+    return cells.groupingSets([["store_key"], ["city"], ["store_key", "city"], []], "store_key", "city").agg(
+        F.sum("n").alias("num_rows"), F.grouping_id().cast("bigint").alias("level")
+    )
 
 
 def store_reach(df: DataFrame, url: str = "product_url") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfscan.functions.numbers import ratio
 from shelfscan.sources.schemas import ROW_ORDER
+from shelfscan.sources.staging import stage
 
 # buckets per doubling of a value; a bucket is what one task sorts
 _RESOLUTION = 1024
@@ -30,14 +31,16 @@ def _bucket(value: Column) -> Column:
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str, weight: Column | None = None) -> DataFrame:
     """Distinct values per key with ``n``, the number of smaller entries ``below`` and ``total``.
 
-    Values are counted first, then laid out in buckets whose totals give each bucket its
-    offset. The largest unit of work is one bucket of distinct values, whatever the skew:
-    there is no global sort and no key is held by one task.
+    Values are counted first (combined map-side), then laid out in buckets whose totals
+    give each bucket its offset. The largest unit of work is one bucket of distinct values,
+    whatever the skew: there is no global sort and no key is held by one task. Rows with a
+    null key or value are left out. The join and the last window share one partitioning.
     """
     keys = list(keys)
+    place = [*keys, "_bucket"]
     n = F.count("*") if weight is None else F.sum(weight)
     counts = (
-        df.filter(F.col(value).isNotNull())
+        df.na.drop(subset=[*keys, value])
         .groupBy(*keys, F.col(value).cast("double").alias(value))
         .agg(n.cast("bigint").alias("n"))
         .withColumn("_bucket", _bucket(F.col(value)))
@@ -45,22 +48,14 @@ def ranked_values(df: DataFrame, keys: Sequence[str], value: str, weight: Column
     by_key = Window.partitionBy(*(keys or [F.lit(0)]))
     before = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
-        counts.groupBy(*keys, "_bucket")
+        counts.groupBy(*place)
         .agg(F.sum("n").alias("_n"))
         .withColumns({"_offset": F.coalesce(F.sum("_n").over(before), F.lit(0)), "total": F.sum("_n").over(by_key)})
         .drop("_n")
-        .withColumnsRenamed({k: f"_key_{k}" for k in keys} | {"_bucket": "_b"})
     )
-    same = F.col("_bucket") == F.col("_b")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*place).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     below = F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
-    return (
-        counts.join(buckets, same)
-        .withColumn("below", below)
-        .select(*keys, value, "n", "below", "total")
-    )
+    return counts.join(buckets, place).withColumn("below", below).select(*keys, value, "n", "below", "total")
 
 
 def quantiles(
@@ -100,21 +95,19 @@ def pearson(x: str, y: str) -> Column:
     return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def with_ranks(df: DataFrame, keys: Sequence[str], value: str, rank: str) -> DataFrame:
-    """Rows with the average rank of ``value`` within ``keys``."""
-    ranks = average_ranks(df, keys, value, rank).withColumnsRenamed(
-        {k: f"_r_{k}" for k in keys} | {value: f"_r_{value}"}
-    )
-    same = F.col(value).cast("double") == F.col(f"_r_{value}")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_r_{k}"))
-    return df.join(ranks, same).drop(*[f"_r_{k}" for k in (*keys, value)])
-
-
-def correlate(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Pearson and Spearman of two columns per key, complete cases only."""
-    complete = df.select(*keys, x, y).na.drop(subset=[x, y])
-    ranked = with_ranks(with_ranks(complete, keys, x, "_rank_x"), keys, y, "_rank_y")
-    return ranked.groupBy(*keys).agg(
-        F.count("*").alias("n"), pearson(x, y).alias("pearson"), pearson("_rank_x", "_rank_y").alias("spearman")
-    )
+def correlate(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), spearman: bool = True) -> DataFrame:
+    """Pearson, and Spearman unless it is not wanted, of two columns per key over complete cases.
+
+    Spearman is Pearson on average ranks; the complete cases are staged because the rows
+    and both rankings read them.
+    """
+    keys = list(keys)
+    complete = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    complete = complete.na.drop()
+    results = [F.count("*").alias("n"), pearson("x", "y").alias("pearson")]
+    if spearman:
+        complete = stage(complete, "complete")
+        ranks = average_ranks(complete, keys, "x", "rank_x"), average_ranks(complete, keys, "y", "rank_y")
+        complete = complete.join(ranks[0], [*keys, "x"]).join(ranks[1], [*keys, "y"])
+        results.append(pearson("rank_x", "rank_y").alias("spearman"))
+    return complete.groupBy(*keys).agg(*results)

@@ -18,7 +18,7 @@ def result_tables(matched: DataFrame, profile: DataFrame) -> dict[str, DataFrame
     """The analysis tables: one per workbook sheet of the price analysis, plus store, city and leader tables."""
     tiered = correlation.with_tiers(profile, correlation.brand_tiers(matched))
     cities = correlation.pairwise(matched, "city")
-    shops = correlation.pairwise(matched, "store_key")
+    shops = correlation.pairwise(matched, "store_key", spearman=False)
     basic = leaders.leader_counts(profile)
     reports = [
         correlation.size_vs_cv(profile),

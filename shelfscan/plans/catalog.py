@@ -13,6 +13,7 @@ from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, le
 from shelfscan.plans import derived
 from shelfscan.plans.layers import layers_of
 from shelfscan.sources import attempt_logs, html_pages, json_payloads
+from shelfscan.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -226,7 +227,8 @@ def tier_statistics(spark, sf):
 
 @register
 def city_corr_pearson(spark, sf):
-    return correlation.matrix(correlation.pairwise(layers_of(spark, sf).matched, "city"), "city", "pearson")
+    pairs = correlation.pairwise(layers_of(spark, sf).matched, "city", spearman=False)
+    return correlation.matrix(pairs, "city", "pearson")
 
 
 @register
@@ -236,12 +238,12 @@ def city_corr_spearman(spark, sf):
 
 @register
 def store_corr(spark, sf):
-    return correlation.matrix(correlation.pairwise(layers_of(spark, sf).matched, "store_key"), "store", "pearson")
+    return correlation.matrix(correlation.pairwise(layers_of(spark, sf).matched, "store_key", spearman=False), "store", "pearson")
 
 
 @register
 def sync_score(spark, sf):
-    return correlation.sync_score(correlation.pairwise(layers_of(spark, sf).matched, "store_key"))
+    return correlation.sync_score(correlation.pairwise(layers_of(spark, sf).matched, "store_key", spearman=False))
 
 
 @register
@@ -483,7 +485,7 @@ def leaf_categories(spark, sf):
 
 
 def _attempts(spark, sf):
-    return attempt_logs.parse_attempts(derived.attempt_lines(spark, sf), "row_ord", "chunk")
+    return stage(attempt_logs.parse_attempts(derived.attempt_lines(spark, sf), "row_ord", "chunk"), "attempts")
 
 
 @register
@@ -493,7 +495,8 @@ def request_audit(spark, sf):
 
 @register
 def failure_streaks(spark, sf):
-    streaks = attempt_logs.failure_streaks(attempt_logs.requests(_attempts(spark, sf)))
+    requests = stage(attempt_logs.requests(_attempts(spark, sf)), "requests")
+    streaks = attempt_logs.failure_streaks(requests)
     return streaks.select(
         "store",
         "failures",

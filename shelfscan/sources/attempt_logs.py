@@ -72,7 +72,10 @@ def _running_count(rows: DataFrame, flag: Column, order: str, chunk: str, name:
 
 
 def requests(attempts: DataFrame, order: str = "row_ord", chunk: str = "chunk") -> DataFrame:
-    """Attempts joined into requests: a request starts at try 1 and has the outcome of its last try."""
+    """Attempts joined into requests: a request starts at try 1 and has the outcome of its last try.
+
+    Reads ``attempts`` twice, as ``failure_streaks`` reads its requests: give stored or staged tables.
+    """
     numbered = _running_count(attempts, F.col("attempt") == 1, order, chunk, "request_no")
     last = F.max(F.struct(F.col(order), F.col("failed"), F.col(chunk)))
     return (
