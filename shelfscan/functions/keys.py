@@ -1,4 +1,4 @@
-"""Match keys: name key, full key with size, short key."""
+"""Match keys: key base, size token, full key, short key."""
 
 from __future__ import annotations
 
@@ -25,34 +25,36 @@ def without_first(text: Column, part: Column, at: Column) -> Column:
 
 
 def product_words(text: Column, filler: Sequence[str] = FILLER_WORDS) -> Column:
-    """Words of a brandless lower-case name: sizes, punctuation, filler and 1-char words removed.
-
-    Once punctuation is blank, a word boundary is a token boundary, so one regex drops
-    the filler and one-character tokens and no array functions are needed.
-    """
-    plain = F.regexp_replace(text, _SIZES + "|[^a-z0-9]+", " ")
-    return F.regexp_replace(plain, r"\b(?:" + "|".join(filler) + r"|[a-z0-9])\b", " ")
-
-
-def _as_key(*parts: Column) -> Column:
-    """Parts joined by single underscores; null unless longer than five characters."""
-    joined = F.regexp_replace(F.concat_ws(" ", *parts), r"[\s_]+", "_")
-    return F.nullif(F.regexp_extract(joined, r"^_?([^_].{4,}[^_])_?$", 1), F.lit(""))
+    """Words of a brandless lower-case name joined by underscores: no sizes, punctuation,
+    filler or one-character words. A set lookup per word is cheaper than one more regex."""
+    plain = F.regexp_replace(F.regexp_replace(text, _SIZES, " "), "[^a-z0-9]+", " ")
+    words = F.filter(F.split(plain, " "), lambda word: (F.char_length(word) > 1) & ~word.isin(*filler))
+    return F.array_join(words, "_")
 
 
 def size_token(qty: Column, unit: Column) -> Column:
     """``950_g``, ``1.5_l``; whole quantities without a decimal point, never an exponent."""
-    number = F.regexp_replace(qty.cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
-    plain = F.when((qty >= 0.001) & (qty < 1e7) & (qty != F.floor(qty)), qty.cast("string")).otherwise(number)
-    return F.when(unit != "", F.concat(F.when(qty == 0, "0").otherwise(plain), F.lit("_"), F.lower(unit)))
+    exact = F.regexp_replace(qty.cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
+    number = (
+        F.when((qty == F.floor(qty)) & (qty < 1e15), qty.cast("bigint").cast("string"))
+        .when((qty >= 0.001) & (qty < 1e7), qty.cast("string"))
+        .otherwise(exact)
+    )
+    return F.when(unit != "", F.concat(number, F.lit("_"), F.lower(unit)))
+
+
+def key_base(slug: Column, words: Column) -> Column:
+    """Brand and words joined by an underscore."""
+    return F.btrim(F.concat_ws("_", slug, words), F.lit("_"))
 
 
-def name_key(slug: Column, words: Column) -> Column:
-    return _as_key(slug, words)
+def long_enough(key: Column) -> Column:
+    """Keys of five characters or fewer identify nothing."""
+    return F.when(F.char_length(key) > 5, key)
 
 
-def full_key(slug: Column, words: Column, size: Column) -> Column:
-    return _as_key(slug, words, size)
+def full_key(base: Column, size: Column) -> Column:
+    return F.concat_ws("_", F.nullif(base, F.lit("")), size)
 
 
 def short_key(key: Column) -> Column:

@@ -18,7 +18,7 @@ from shelfscan.sources.staging import stage
 
 def with_match_keys(processed: DataFrame) -> DataFrame:
     """Add ``match_key`` and ``name_key``. Each step is a column so that no regex runs twice."""
-    slug, text, words = F.col("_slug"), F.col("_text"), F.col("_words")
+    slug, text, base = F.col("_slug"), F.col("_text"), F.col("_base")
     return (
         processed.withColumns(
             {
@@ -28,9 +28,10 @@ def with_match_keys(processed: DataFrame) -> DataFrame:
             }
         )
         .withColumn("_at", F.when(slug != "", F.instr(text, slug)).otherwise(F.lit(0)))
-        .withColumn("_words", keys.product_words(keys.without_first(text, slug, F.col("_at"))))
-        .withColumns({"match_key": keys.full_key(slug, words, F.col("_size")), "name_key": keys.name_key(slug, words)})
-        .drop("_slug", "_text", "_size", "_at", "_words")
+        .withColumn("_base", keys.key_base(slug, keys.product_words(keys.without_first(text, slug, F.col("_at")))))
+        .withColumn("_full", keys.full_key(base, F.col("_size")))
+        .withColumns({"match_key": keys.long_enough(F.col("_full")), "name_key": keys.long_enough(base)})
+        .drop("_slug", "_text", "_size", "_at", "_base", "_full")
     )
 
 

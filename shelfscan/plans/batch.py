@@ -11,7 +11,7 @@ from shelfscan.operators.dispersion import group_profile
 from shelfscan.operators.fuzzy import fuzzy_boost
 from shelfscan.operators.match import match_listings, match_summary, matched_only, with_match_keys
 from shelfscan.sources.layer_files import write_matched, write_processed, write_raw, write_results
-from shelfscan.sources.staging import stage
+from shelfscan.sources.staging import stage, tune
 
 
 def result_tables(matched: DataFrame, profile: DataFrame) -> dict[str, DataFrame]:
@@ -63,6 +63,7 @@ def quality_tables(raw: DataFrame, processed: DataFrame, all_rows: DataFrame, pr
 
 def run(spark: SparkSession, raw: DataFrame, folder: str, target: int | None = TARGET_MATCHED) -> dict[str, str]:
     """Run every stage; returns the path of each written table."""
+    tune(spark)
     write_raw(raw, f"{folder}/raw")
     write_processed(clean_listings(raw), f"{folder}/processed")
     processed = spark.read.parquet(f"{folder}/processed")

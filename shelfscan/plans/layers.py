@@ -10,7 +10,7 @@ from shelfscan.operators.clean import clean_listings
 from shelfscan.operators.dispersion import group_profile
 from shelfscan.operators.match import match_listings, matched_only, with_match_keys
 from shelfscan.sources.listings import listings
-from shelfscan.sources.staging import stage
+from shelfscan.sources.staging import stage, tune
 
 _KEYS = ("match_key", "name_key")
 _memo: dict[tuple[str, str], Layers] = {}
@@ -46,6 +46,7 @@ class Layers:
 def layers_of(spark: SparkSession, sf_dir: str) -> Layers:
     """Layers over the listings of a table folder, shared by all queries of an application."""
     key = (spark.sparkContext.applicationId, str(sf_dir))
+    tune(spark)
     if key not in _memo:
         _memo[key] = Layers(listings(spark, str(sf_dir)))
     return _memo[key]

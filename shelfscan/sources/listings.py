@@ -33,12 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
-    stores = (
-        t("supplier")
-        .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name", "r_regionkey")
-    )
+    # small tables join the rows one by one: the planner then knows each one's real size and
+    # broadcasts only what is small; orders meet customers before the wide rows are shuffled
     cities = (
         t("orders")
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -47,7 +43,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (
         t("lineitem")
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(cities, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     keyed = joined.withColumns(
