@@ -25,7 +25,9 @@ def first_known(source: str, alias: str | None = None, order: str = ROW_ORDER) -
 def _bucket(value: Column) -> Column:
     """A monotone bucket number: nearby values share one, and the data does not decide which."""
     size = F.floor(F.log2(F.abs(value)) * _RESOLUTION) + _ORIGIN
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+    number = F.when(value > 0, size).when(value < 0, -size).cast("bigint")
+    # never null: a null check on the join key would differ between the two uses of the counts
+    return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str, weight: Column | None = None) -> DataFrame:
@@ -106,8 +108,11 @@ def correlate(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), spearman:
     complete = complete.na.drop()
     results = [F.count("*").alias("n"), pearson("x", "y").alias("pearson")]
     if spearman:
-        complete = stage(complete, "complete")
-        ranks = average_ranks(complete, keys, "x", "rank_x"), average_ranks(complete, keys, "y", "rank_y")
-        complete = complete.join(ranks[0], [*keys, "x"]).join(ranks[1], [*keys, "y"])
+        complete = ranked = stage(complete, "complete")
+        for side in ("x", "y"):
+            # staged: few distinct values are then broadcast, many are joined by a shuffle
+            ranks = stage(average_ranks(complete, keys, side, f"rank_{side}"), "ranks")
+            ranked = ranked.join(ranks, [*keys, side])
+        complete = ranked
         results.append(pearson("rank_x", "rank_y").alias("spearman"))
     return complete.groupBy(*keys).agg(*results)

@@ -155,3 +155,31 @@ def test_quality_and_views(spark):
     assert tuple(same) == (6.5, 7.5, 2)
     copies = clean.replicate_cities(raw.filter("store_key = 'a'"), ["x", "z"], raw)
     assert {r["city"] for r in copies.collect()} == {"z"} and copies.count() == 2
+
+
+def test_hot_key_results_are_whole(spark):
+    """A third of all rows under one key, one group, one price and one duplicate."""
+    base = spark.range(9000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 's1' ELSE 's2' END AS store_key", "concat('city', id % 7) AS city", "'c' AS category",
+        "CASE WHEN id < 3000 THEN 'Acme red ball 5kg' ELSE concat('Acme thing w', id DIV 3, ' 5kg') END AS product_name",
+        "CASE WHEN id < 1500 THEN 10.0D ELSE 10 + id % 1000 / 100 END AS price", "cast(null AS double) AS old_price", "struct(id AS row) AS row_ord",
+    )
+    kept = {}
+    for r in base.orderBy("row_ord").collect():
+        kept.setdefault((r["store_key"], r["city"], r["product_name"], r["price"]), r)
+    rows = match.match_listings(match.with_match_keys(clean.clean_listings(base)))
+    assert rows.count() == len(kept)
+    hot = [r["price"] for r in kept.values() if r["product_name"] == "Acme red ball 5kg"]
+    group = dispersion.group_profile(match.matched_only(rows)).filter("match_group = 'p1:acme_red_ball_5_kg'").first()
+    assert (group["num_rows"], group["num_stores"], group["num_cities"]) == (len(hot), 2, 7)
+    assert group["median_price"] == pytest.approx(statistics.median(hot)) and group["std_price"] == pytest.approx(statistics.stdev(hot))
+    first = kept[("s1", "city0", "Acme red ball 5kg", 10.0)]
+    assert first["row_ord"]["row"] == 0
+
+
+def test_quantiles_scan_their_input_once(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "cast(id AS double) AS v")
+    plan = stats.quantiles(df, ["k"], "v", {"m": 0.5})
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in text
