@@ -93,15 +93,15 @@ def test_card_pages(spark):
 
 
 LOG = """================
-2026-01-01 10:00:00 | metro        | GET | https://m/a | try=1 | status=? | 120ms | FAIL | HTTPError
-2026-01-01 10:00:01 | metro        | GET | https://m/a | try=2 | status=200 | 90ms | SUCCESS
-metro        | GET | https://m/b | try=1 | status=--- | 10ms | FAIL | ConnectionError: a | b
-metro        | GET | https://m/c | try=1 | status=--- | 20ms | FAIL | Timeout
-daraz        | GET | https://d/c | try=1 | status=429 | 20ms | FAIL | Rate limited
-metro        | GET | https://m/c | try=2 | status=--- | 30ms | FAIL | Timeout
-metro        | GET | https://m/d | try=1 | status=--- | 40ms | FAIL | Timeout
-metro        | GET | https://m/e | try=1 | status=200 | 50ms | SUCCESS
-metro        | GET | https://m/f | try=1 | status=--- | 40ms | FAIL | Timeout"""
+2026-01-01 10:00:00 | storeone     | GET | https://m/a | try=1 | status=? | 120ms | FAIL | HTTPError
+2026-01-01 10:00:01 | storeone     | GET | https://m/a | try=2 | status=200 | 90ms | SUCCESS
+storeone     | GET | https://m/b | try=1 | status=--- | 10ms | FAIL | ConnectionError: a | b
+storeone     | GET | https://m/c | try=1 | status=--- | 20ms | FAIL | Timeout
+storetwo     | GET | https://d/c | try=1 | status=429 | 20ms | FAIL | Rate limited
+storeone     | GET | https://m/c | try=2 | status=--- | 30ms | FAIL | Timeout
+storeone     | GET | https://m/d | try=1 | status=--- | 40ms | FAIL | Timeout
+storeone     | GET | https://m/e | try=1 | status=200 | 50ms | SUCCESS
+storeone     | GET | https://m/f | try=1 | status=--- | 40ms | FAIL | Timeout"""
 
 
 def test_attempt_logs(spark, folder):
@@ -110,10 +110,10 @@ def test_attempt_logs(spark, folder):
     lines = attempt_logs.read_attempts(spark, f"{folder}/attempts.log").withColumn("chunk", (F.col("row_ord.line") / 3).cast("int"))
     attempts = attempt_logs.parse_attempts(lines, "row_ord", "chunk")
     rows = attempts.orderBy("row_ord").collect()
-    assert len(rows) == 9 and rows[2]["detail"] == "ConnectionError: a | b" and rows[0]["status"] == "?" and rows[0]["store"] == "metro"
+    assert len(rows) == 9 and rows[2]["detail"] == "ConnectionError: a | b" and rows[0]["status"] == "?" and rows[0]["store"] == "storeone"
     totals = {r["store"]: (r["total_requests"], r["failed_requests"]) for r in attempt_logs.attempt_totals(attempts).collect()}
-    assert totals == {"metro": (8, 6), "daraz": (1, 1)}
+    assert totals == {"storeone": (8, 6), "storetwo": (1, 1)}
     requests = attempt_logs.requests(attempts)
-    assert [r["failed"] for r in requests.filter("store = 'metro'").orderBy("request_no").collect()] == [False, True, True, True, False, True]
+    assert [r["failed"] for r in requests.filter("store = 'storeone'").orderBy("request_no").collect()] == [False, True, True, True, False, True]
     streaks = attempt_logs.failure_streaks(requests).collect()
-    assert [(r["store"], r["failures"]) for r in streaks] == [("metro", 3)]
+    assert [(r["store"], r["failures"]) for r in streaks] == [("storeone", 3)]
