@@ -12,17 +12,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfscan.sources.shipping import ship
+
 _SETTING = "spark.checkpoint.dir"
 _METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 _local_roots: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> None:
-    """Lower the generated-method limit to the JIT's own, unless the session sets one.
+    """Ship the package to the workers and lower the generated-method limit to the JIT's own.
 
     The cleaning projections fuse into methods above 8000 bytes of bytecode, which the
-    JVM only ever interprets; split up, the cleaning stage runs about a quarter faster.
+    JVM only ever interprets; split up, the cleaning stage runs about a quarter faster. A limit
+    that the session sets is kept.
     """
+    ship(spark)
     if _METHOD_LIMIT not in dict(spark.sparkContext.getConf().getAll()):
         spark.conf.set(_METHOD_LIMIT, "8000")
 
