@@ -140,3 +140,20 @@ def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa
     """Rows of ``counts`` values each, cut from one flat array."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(values, type=kind))
+
+
+class Lines(Words):
+    """The lines of a text column, cut at newlines, empty lines included; every row has one at least."""
+
+    def __init__(self, column: pa.Array):
+        self.data, offsets = buffers(column)
+        breaks = np.flatnonzero(self.data == 10)
+        row = np.searchsorted(offsets, breaks, side="right") - 1
+        n = len(offsets) - 1
+        starts = np.concatenate([offsets[:-1], breaks + 1])
+        rows = np.concatenate([np.arange(n), row])
+        order = np.lexsort((starts, rows))
+        self.starts, self.row_of = starts[order], rows[order]
+        self.rows = np.searchsorted(self.row_of, np.arange(n + 1))
+        self.ends = np.append(self.starts[1:] - 1, 0)
+        self.ends[self.rows[1:] - 1] = offsets[1:]
