@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from shelfscan.llm import op1_query, op2_query, op3_query, op4_query, op6_query, op7_query, op9_query, op10_query
 
 _MODULES = (op1_query, op2_query, op3_query, op4_query, op6_query, op7_query, op9_query, op10_query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+    own = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+    return own | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
