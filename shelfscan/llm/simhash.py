@@ -62,17 +62,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and signed 64-bit fingerprint of every row."""
+    """id, copy (hash of the text) and signed 64-bit fingerprint of every row."""
     ship(docs.sparkSession)
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    plain = plain.withColumn("copy", F.xxhash64("text"))
 
     def rows(batches):
         for batch in pieces(batches, "text"):
             texts = batch.column("text")
             prints = np.array([fingerprint(t.as_buffer().to_pybytes()) if t.is_valid else 0 for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "print"])
+            columns = [batch.column("id"), batch.column("copy"), pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "print"])
 
-    return plain.mapInArrow(rows, f"id {plain.schema['id'].dataType.simpleString()}, print long")
+    return plain.mapInArrow(rows, f"id {plain.schema['id'].dataType.simpleString()}, copy long, print long")
 
 
 def _gray_rank(values: np.ndarray) -> np.ndarray:
@@ -239,7 +241,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, group_limit: int = GROUP
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """id, print (signed 64-bit fingerprint) and component (smallest id reachable by links) of every row."""
+    """id, copy (hash of the text), print (signed 64-bit fingerprint), component (smallest id reachable by links) of every row."""
     prints = stage(fingerprints(docs, id_col, text_col), "prints")
     roots = components(near_links(prints, radius))
     classes = prints.groupBy("print").agg(F.min("id").alias("low"))
@@ -247,15 +249,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = stage(rooted.select("print", "low", F.coalesce("root", "print").alias("root")), "rooted")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component")).select(F.col("root").alias("root_"), "component")
     labels = rooted.join(lowest, F.col("root") == F.col("root_")).select(F.col("print").alias("print_"), "component")
-    return prints.join(labels, F.col("print") == F.col("print_")).select("id", "print", "component")
+    return prints.join(labels, F.col("print") == F.col("print_")).select("id", "copy", "print", "component")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of docs that stay: of each component the row with the smallest id, all columns kept.
 
-    Rows with a null id stay. Of several rows with the smallest id all stay: an id is
-    taken to name one document.
+    Rows with a null id stay; repeated rows of the smallest id all stay.
     """
     marked = near_duplicates(docs, id_col, text_col, radius)
-    gone = marked.where("id != component").select(F.col("id").alias("gone_id__")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("gone_id__"), "left_anti")
+    gone = marked.where("id != component").select(F.col("id").alias("id__gone"), F.col("copy").alias("copy__gone")).distinct()
+    copy = F.xxhash64(docs[text_col].cast("string"))
+    return docs.join(gone, (docs[id_col] == F.col("id__gone")) & (copy == F.col("copy__gone")), "left_anti")
