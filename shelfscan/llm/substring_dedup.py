@@ -103,9 +103,13 @@ def _keys(docs: DataFrame, width: int, seed: int, shared, contested) -> DataFram
             open_ = passes(contested.value, blocks.anchor)
             whole = np.flatnonzero(passes(shared.value, blocks.anchor) & ~open_)
             _, hashes, of = blocks.windows(np.flatnonzero(open_))
-            of = np.concatenate([whole, of])
+            of, keys = np.concatenate([whole, of]), np.concatenate([blocks.block[whole], hashes])
+            # once for each row: texts that repeat themselves would send the same key again and again
+            order = np.lexsort((keys, blocks.row[of]))
+            new = np.diff(blocks.row[of][order], prepend=-1) != 0
+            new[1:] |= np.diff(keys[order]) != 0
+            of, keys = of[order[new]], keys[order[new]]
             ids = batch.column("id").take(pa.array(blocks.row[of]))
-            keys = np.concatenate([blocks.block[whole], hashes])
             yield pa.RecordBatch.from_arrays([_signed(blocks.anchor[of]), _signed(keys), ids], ["anchor", "key", "id"])
 
     kind = docs.schema["id"].dataType.simpleString()
@@ -137,6 +141,7 @@ def remove_repeats(
         .where("owner < z")
         .select(F.col("anchor").alias("anchor_"), F.col("key").alias("key_"), "owner")
     )
+    owners = stage(owners, "owners")  # so that both sides of the join are plain exchanges, which can be split
     copied = (
         keys.join(owners, (F.col("anchor") == F.col("anchor_")) & (F.col("key") == F.col("key_")) & (F.col("id") > F.col("owner")))
         .groupBy(F.col("id").alias("id_"))
