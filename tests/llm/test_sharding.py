@@ -23,7 +23,7 @@ def test_differencing_keeps_every_sum():
         again = np.zeros(k, dtype=np.int64)
         for row, place in zip(sums, where, strict=True):
             again[place] += row
-        assert again.tolist() == total.tolist() and total.max() - total.min() < 200
+        assert again.tolist() == total.tolist() and total.max() - total.min() < 1000
 
 
 def test_textbook_example():
