@@ -1,84 +1,40 @@
-"""Token-sort similarity (0-100): words sorted, then 200 * LCS / (total length).
-
-``best_matches`` is the vectorised helper that runs inside tasks: one name against a
-whole tile of names, bit-parallel over 64-character blocks.
-"""
+"""Token-sort similarity (0-100): words sorted, then 200 * LCS / (total length), for many pairs at once."""
 
 from __future__ import annotations
 
 import numpy as np
 
-_ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+_CELLS = 1 << 22
 
 
 def sorted_tokens(name: str) -> str:
     return " ".join(sorted(name.split()))
 
 
-class Tile:
-    """Sorted-token forms of a set of names as a code matrix, one column per name."""
-
-    def __init__(self, names: list[str]):
-        texts = [sorted_tokens(n) for n in names]
-        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        self.alphabet = {ch: i for i, ch in enumerate(sorted(set("".join(texts))))}
-        blank = len(self.alphabet)
-        self.codes = np.full((int(self.lengths.max(initial=0)), len(texts)), blank, dtype=np.int32)
-        for column, text in enumerate(texts):
-            self.codes[: len(text), column] = [self.alphabet[ch] for ch in text]
-
-    def scores(self, name: str) -> np.ndarray:
-        """Similarity of one name to every name of the tile."""
-        text = sorted_tokens(name)
-        total = self.lengths + len(text)
-        common = self._common_subsequence(text)
-        return np.where(total > 0, 200.0 * common / np.maximum(total, 1), 100.0)
-
-    def _common_subsequence(self, text: str) -> np.ndarray:
-        blocks = (len(text) + 63) // 64
-        masks = np.zeros((blocks, len(self.alphabet) + 1), dtype=np.uint64)
-        for i, ch in enumerate(text):
-            code = self.alphabet.get(ch)
-            if code is not None:
-                masks[i // 64, code] |= np.uint64(1) << np.uint64(i % 64)
-        rows = [np.full(self.lengths.size, _ONES) for _ in range(blocks)]
-        for codes in self.codes:
-            carry = None
-            for block in range(blocks):
-                row = rows[block]
-                hit = row & masks[block][codes]
-                added = row + hit
-                over = added < hit
-                if carry is not None:
-                    added = added + carry
-                    over |= added < carry
-                rows[block] = added | (row - hit)
-                carry = over.astype(np.uint64) if block + 1 < blocks else None
-        common = np.zeros(self.lengths.size, dtype=np.int64)
-        for block, row in enumerate(rows):
-            bits = min(64, len(text) - 64 * block)
-            kept = ~row & (_ONES >> np.uint64(64 - bits))
-            common += np.bitwise_count(kept).astype(np.int64)
-        return common
-
-
-def best_matches(
-    name: str,
-    tile: Tile,
-    ids: np.ndarray,
-    k: int,
-    cutoff: float,
-    after: tuple[float, int] | None,
-    allowed: np.ndarray,
-) -> list[tuple[int, float]]:
-    """First ``k`` allowed (id, score) of a tile by score, then id; only those after a given place."""
-    scores = tile.scores(name)
-    usable = allowed & (scores >= cutoff)
-    if after is not None:
-        usable &= (scores < after[0]) | ((scores == after[0]) & (ids > after[1]))
-    places = np.flatnonzero(usable)
-    if places.size > k:
-        floor = np.partition(scores[places], places.size - k)[places.size - k]
-        places = places[scores[places] >= floor]
-    order = np.lexsort((ids[places], -scores[places]))[:k]
-    return [(int(ids[p]), float(scores[p])) for p in places[order]]
+def _codes(texts: list[str], filler: int) -> np.ndarray:
+    """Character codes, one row per text, filled up on the right."""
+    out = np.full((len(texts), max(map(len, texts), default=0)), filler, dtype=np.int32)
+    for row, text in enumerate(texts):
+        out[row, : len(text)] = np.frombuffer(text.encode("utf-32-le"), dtype=np.int32)
+    return out
+
+
+def similarities(left: list[str], right: list[str]) -> np.ndarray:
+    """Similarity of left[i] and right[i]; two empty names are equal."""
+    if not left:
+        return np.empty(0)
+    a_texts, b_texts = [sorted_tokens(t) for t in left], [sorted_tokens(t) for t in right]
+    total = np.array([len(a) + len(b) for a, b in zip(a_texts, b_texts, strict=True)])
+    step = max(1, _CELLS // (1 + max(map(len, b_texts))))
+    common = [_common(a_texts[i : i + step], b_texts[i : i + step]) for i in range(0, len(left), step)]
+    return np.where(total > 0, 200.0 * np.concatenate(common) / np.maximum(total, 1), 100.0)
+
+
+def _common(left: list[str], right: list[str]) -> np.ndarray:
+    """Longest common subsequence of each pair: one row of the table per character, all pairs together."""
+    a, b = _codes(left, -1), _codes(right, -2)
+    row = np.zeros((len(left), b.shape[1] + 1), dtype=np.int32)
+    for column in range(a.shape[1]):
+        hit = b == a[:, column : column + 1]
+        row[:, 1:] = np.maximum.accumulate(np.where(hit, row[:, :-1] + 1, row[:, 1:]), axis=1)
+    return row[:, -1]

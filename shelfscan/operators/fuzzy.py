@@ -1,22 +1,23 @@
 """Fuzzy links between the names that the key tiers left unmatched.
 
-Definition: for every pair of stores, in store order, each name of the first store (most
-listings first) takes the most similar name of the second store that is still free, if
-the token-sort similarity reaches the cutoff.
+Definition: two names of different stores are comparable if they share at least ``overlap``
+of the words of the one with more words (distinct words, at least one), and their token-sort similarity
+reaches the cutoff. For every pair of stores, in store order, each name of the first store (most
+listings first) takes the most similar comparable name of the second store that is still free.
 
 How it runs:
-* Similarity at a cutoff of 55 has no lossless index, so all name pairs of two stores are
-  scored, but never emitted: names are dealt into tiles of bounded size, a task scores
-  one tile against one tile and returns the best few candidates of each name.
+* Comparable names are found by an equi-join that loses none: if two names share ``need`` of a name's n
+  words, they share one of its n - need + 1 rarest. So only those words of a name are joined.
+  Similarity's own bound on lengths drops pairs before they are scored.
+* Candidates are scored once, pair by pair, in Arrow batches.
 * "Takes the best that is still free, in order" is the stable matching in which every
   name of the second store prefers the earliest proposer. It is found by rounds of
-  proposals over tables. A name that runs out of candidates is scored again for the next
-  few, so keeping only the best few never changes the result.
+  proposals over tables.
 * Pairs of stores whose positions have the same sum share no store and run together.
 * Names a pair has linked are free for no later pair, on either side.
 
-The work is quadratic in the unmatched names of a store. It is meant for small inputs:
-``target`` (matched rows at which nothing is boosted) switches it off on large ones.
+The work follows the number of comparable names. A word that very many names have is joined only for
+names made of such words; adaptive execution splits its partition.
 """
 
 from __future__ import annotations
@@ -24,149 +25,130 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscan.functions.fixed_values import FUZZY_CUTOFF, TARGET_MATCHED
-from shelfscan.functions.similarity import Tile, best_matches
+from shelfscan.functions.fixed_values import FUZZY_CUTOFF
+from shelfscan.functions.similarity import similarities
 from shelfscan.sources.staging import stage
 
-_NOBODY = np.iinfo(np.int64).max
+OVERLAP = 0.5
 _LINKS = "pair INT, a BIGINT, b BIGINT, score DOUBLE"
 
 
-def unmatched_names(rows: DataFrame, max_names: int | None = None, name: str = "product_name_clean") -> DataFrame:
+def unmatched_names(rows: DataFrame, name: str = "product_name_clean") -> DataFrame:
     """Distinct unmatched names per store with ``id``, which orders them by listings, then first row.
 
-    Ids come from a distributed sort. ``max_names`` keeps only the first names of a store.
+    Ids come from a distributed sort.
     """
     free = rows.filter(F.col("match_group").isNull() & F.col(name).isNotNull())
     names = free.groupBy("store_key", F.col(name).alias("name")).agg(
         F.count("*").alias("num_rows"), F.min("row_ord").alias("first_row")
     )
     order = [F.desc("num_rows"), F.asc("first_row"), F.asc("name")]
-    if max_names is not None:
-        place = F.row_number().over(Window.partitionBy("store_key").orderBy(*order))
-        names = names.withColumn("_place", place).filter(F.col("_place") <= max_names).drop("_place")
     return stage(names.sort(*order).withColumn("id", F.monotonically_increasing_id()), "names")
 
 
-def _tiles(side: DataFrame, number: str, size: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Names of a pair dealt into tiles of about ``size`` names."""
-    counts = side.groupBy("pair").agg(F.ceil(F.count("*") / size).alias("_tiles"))
-    dealt = side.join(counts, "pair").withColumn(number, F.pmod(F.xxhash64("id"), F.col("_tiles")))
-    return dealt.groupBy("pair", number).agg(F.collect_list(F.struct("id", "name", *extra)).alias(f"names_{number}"))
+def _words(name: str) -> Column:
+    return F.array_distinct(F.filter(F.split(name, r"\s+"), lambda w: w != ""))
 
 
-def _scorer(k: int, cutoff: float):
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for pair, left, right in zip(batch["pair"], batch["names_a"], batch["names_b"], strict=True):
-                ids = np.array([r["id"] for r in right], dtype=np.int64)
-                holders = np.array([_NOBODY if r["holder"] is None else r["holder"] for r in right], dtype=np.int64)
-                tile = Tile([r["name"] for r in right])
-                found = []
-                for row in left:
-                    after = None if row["after_id"] is None else (row["after_score"], row["after_id"])
-                    open_to = holders > row["id"]
-                    best = best_matches(row["name"], tile, ids, k, cutoff, after, open_to)
-                    found += [(pair, row["id"], b, s) for b, s in best]
-                yield pd.DataFrame(found, columns=["pair", "a", "b", "score"])
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        scores = similarities(batch.column("name_a").to_pylist(), batch.column("name_b").to_pylist())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
 
-    return score
 
-
-def _candidates(left: DataFrame, right: DataFrame, held: DataFrame, k: int, cutoff: float, size: int) -> DataFrame:
-    """The next ``k`` candidates of every name of ``left``, after its ``after_score`` and ``after_id``.
-
-    A name held by an earlier proposer is no candidate: holders only get earlier, so it stays lost.
-    """
-    spark = left.sparkSession
-    holders = held.select("pair", F.col("b").alias("id"), F.col("a").alias("holder"))
-    held_right = right.join(holders, ["pair", "id"], "left")
-    tiles = _tiles(left, "a", size, ("after_score", "after_id")).join(_tiles(held_right, "b", size, ("holder",)), "pair")
-    # one tile pair is a large unit of work: spread the pairs over all cores
-    spread = tiles.repartition(max(spark.sparkContext.defaultParallelism, 1), "pair", "a", "b")
-    scored = spread.select("pair", "names_a", "names_b").mapInPandas(_scorer(k, cutoff), _LINKS)
-    best = Window.partitionBy("pair", "a").orderBy(F.desc("score"), F.asc("b"))
-    return scored.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k).drop("_place")
-
-
-def _open(candidates: DataFrame, held: DataFrame) -> DataFrame:
-    """Candidates that are free, held by a later name, or held by the proposer itself."""
-    holders = held.select("pair", "b", F.col("a").alias("holder"))
-    rows = candidates.join(holders, ["pair", "b"], "left")
-    return rows.filter(F.col("holder").isNull() | (F.col("a") <= F.col("holder"))).drop("holder")
+def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
+    """(store_a, a, name_a, store_b, b, name_b, score) of comparable names, each pair of stores once, store_a first by name."""
+    words = names.select("store_key", "id", "name", _words("name").alias("words")).filter(F.size("words") > 0)
+    each = words.select("id", F.explode("words").alias("word"))
+    counts = each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("word", "word_")
+    ranked = each.join(counts, F.col("word") == F.col("word_")).groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("n", "word"))).alias("ranked")
+    )
+    size, need = F.size("ranked"), F.ceil(F.size("ranked") * overlap).cast("int")
+    probes = F.slice(F.col("ranked.word"), F.lit(1), size - need + 1)
+    rare = stage(
+        words.join(ranked.withColumnRenamed("id", "id_"), F.col("id") == F.col("id_")).select(
+            "store_key", "id", "name", "words", F.explode(probes).alias("probe")
+        ),
+        "probes",
+    )
+    side = lambda s: rare.select(*(F.col(c).alias(f"{c}_{s}") for c in rare.columns))
+    shared = F.size(F.array_intersect("words_a", "words_b"))
+    sizes = F.greatest(F.size("words_a"), F.size("words_b"))
+    sorted_length = lambda s: F.length(F.array_join(F.sort_array(F.split(F.trim(f"name_{s}"), r"\s+")), " "))
+    short, long = F.least(sorted_length("a"), sorted_length("b")), F.greatest(sorted_length("a"), sorted_length("b"))
+    joined = (
+        side("a")
+        .join(side("b"), (F.col("probe_a") == F.col("probe_b")) & (F.col("store_key_a") < F.col("store_key_b")) & (shared >= overlap * sizes))
+        .filter(200 * short >= cutoff * (short + long))
+        .select(
+            F.col("store_key_a").alias("store_a"), F.col("id_a").alias("a"), "name_a",
+            F.col("store_key_b").alias("store_b"), F.col("id_b").alias("b"), "name_b",
+        )
+        .distinct()
+    )
+    return joined.mapInArrow(_score, "store_a STRING, a BIGINT, name_a STRING, store_b STRING, b BIGINT, name_b STRING, score DOUBLE").filter(
+        F.col("score") >= cutoff
+    )
 
 
 def _propose(candidates: DataFrame, held: DataFrame) -> DataFrame:
-    """Every name without a partner asks its best open candidate; each keeps its earliest proposer."""
-    placed = held.select("pair", "a")
-    asking = _open(candidates.join(placed, ["pair", "a"], "left_anti"), held)
+    """Every name without a partner asks its best candidate not held by an earlier one; each keeps its earliest proposer."""
+    holders = held.select(F.col("b").alias("b_"), F.col("a").alias("holder"))
+    asking = candidates.join(held.select("a"), "a", "left_anti").join(holders, F.col("b") == F.col("b_"), "left")
+    asking = asking.filter(F.col("holder").isNull() | (F.col("a") < F.col("holder")))
     choice = asking.groupBy("pair", "a").agg(F.min(F.struct((-F.col("score")).alias("s"), "b")).alias("c"))
     proposals = choice.select("pair", F.col("c.b").alias("b"), "a", (-F.col("c.s")).alias("score"), F.lit(True).alias("new"))
     before = held.select("pair", "b", "a", "score", F.lit(False).alias("new"))
-    earliest = F.min(F.struct("a", "score", "new")).alias("w")
-    return before.unionByName(proposals).groupBy("pair", "b").agg(earliest).select("pair", "w.a", "b", "w.score", "w.new")
+    earliest = F.min(F.struct("a", "score", "new", "pair")).alias("w")
+    return before.unionByName(proposals).groupBy("b").agg(earliest).select("w.pair", "w.a", "b", "w.score", "w.new")
 
 
-def _link_level(left: DataFrame, right: DataFrame, k: int, cutoff: float, size: int) -> DataFrame:
+def _matched(candidates: DataFrame) -> DataFrame:
     """Links (pair, a, b, score) of store pairs that share no store."""
-    none = F.lit(None)
-    asking = left.withColumns({"after_score": none.cast("double"), "after_id": none.cast("bigint")})
-    held = candidates = left.sparkSession.createDataFrame([], _LINKS)
-    complete, furthest = left.select("pair", "id").limit(0), None
+    held = candidates.sparkSession.createDataFrame([], _LINKS)
     while True:
-        fresh = stage(_candidates(asking, right, held, k, cutoff, size), "fresh")
-        # fewer than k candidates: the name has no others
-        counts = fresh.groupBy("pair", F.col("a").alias("id")).agg(F.count("*").alias("n"))
-        short = asking.join(counts, ["pair", "id"], "left").filter(F.coalesce("n", F.lit(0)) < k)
-        complete = stage(complete.unionByName(short.select("pair", "id")), "complete")
-        candidates = stage(_open(candidates.unionByName(fresh), held), "candidates")
-        while True:
-            held = stage(_propose(candidates, held), "held")
-            if held.filter("new").isEmpty():
-                break
-        last = fresh.groupBy("pair", F.col("a").alias("id")).agg(
-            F.max(F.struct((-F.col("score")).alias("s"), "b")).alias("l")
-        )
-        furthest = last if furthest is None else stage(
-            furthest.unionByName(last).groupBy("pair", "id").agg(F.max("l").alias("l")), "furthest"
-        )
-        placed = held.select("pair", F.col("a").alias("id"))
-        waiting = left.join(complete.unionByName(placed), ["pair", "id"], "left_anti").join(furthest, ["pair", "id"])
-        asking = stage(
-            waiting.select("pair", "id", "name", (-F.col("l.s")).alias("after_score"), F.col("l.b").alias("after_id")),
-            "asking",
-        )
-        if asking.isEmpty():
+        held = stage(_propose(candidates, held), "held")
+        if held.filter("new").isEmpty():
             return held.select("pair", "a", "b", "score")
 
 
-def fuzzy_links(
-    names: DataFrame, cutoff: float = FUZZY_CUTOFF, k: int = 32, tile_size: int = 1000
-) -> DataFrame:
+def fuzzy_links(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
     """One row per link: both stores and names, similarity, rows, and the order in which it was made."""
     spark = names.sparkSession
     first = names.groupBy("store_key").agg(F.min("first_row").alias("f"))
     # bounded by the number of stores
     stores = [r["store_key"] for r in first.orderBy("f").collect()]
     links = spark.createDataFrame([], _LINKS)
+    place = {s: i for i, s in enumerate(stores)}
     if len(stores) < 2:
         return _describe(links, names, stores)
-    place = {s: i for i, s in enumerate(stores)}
-    position = F.try_element_at(F.create_map(*[F.lit(x) for kv in place.items() for x in kv]), F.col("store_key"))
-    placed = names.select("id", "name", position.alias("position"))
-    for level in range(1, 2 * len(stores) - 2):
+    position = F.create_map(*[F.lit(x) for kv in place.items() for x in kv])
+    pairs = comparable_pairs(names, cutoff, overlap).select(
+        F.try_element_at(position, F.col("store_a")).alias("i"), F.try_element_at(position, F.col("store_b")).alias("j"), "a", "b", "score"
+    )
+    swapped = F.col("i") > F.col("j")
+    pairs = stage(
+        pairs.select(
+            (F.col("i") + F.col("j")).alias("level"),
+            F.least("i", "j").alias("pair"),
+            F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("a"),
+            F.when(swapped, F.col("a")).otherwise(F.col("b")).alias("b"),
+            "score",
+        ),
+        "pairs",
+    )
+    levels = sorted(r["level"] for r in pairs.select("level").distinct().collect())  # fewer than two per store
+    for level in levels:
         taken = links.select(F.explode(F.array("a", "b")).alias("id"))
-        free = placed.join(taken, "id", "left_anti")
-        left = free.filter((F.col("position") * 2 < level) & (level - F.col("position") < len(stores)))
-        right = free.filter((F.col("position") * 2 > level) & (F.col("position") <= level))
-        left = stage(left.select(F.col("position").alias("pair"), "id", "name"), "left")
-        right = stage(right.select((level - F.col("position")).alias("pair"), "id", "name"), "right")
-        links = stage(links.unionByName(_link_level(left, right, k, cutoff, tile_size)), "links")
+        here = pairs.filter(F.col("level") == level).drop("level")
+        for side in "ab":
+            here = here.join(taken, F.col(side) == F.col("id"), "left_anti")
+        links = stage(links.unionByName(_matched(stage(here, "candidates"))), "links")
     return _describe(links, names, stores)
 
 
@@ -188,14 +170,6 @@ def _describe(links: DataFrame, names: DataFrame, stores: list[str]) -> DataFram
     )
 
 
-def first_links(links: DataFrame, wanted: int) -> DataFrame:
-    """Links in order until they add ``wanted`` rows; at most ``wanted`` links, each adds two rows or more."""
-    head = links.orderBy("link_order").limit(wanted)
-    before = Window.orderBy("link_order").rowsBetween(Window.unboundedPreceding, -1)
-    rows = F.coalesce(F.sum(F.col("rows_a") + F.col("rows_b")).over(before), F.lit(0))
-    return head.withColumn("_before", rows).filter(F.col("_before") < wanted).drop("_before")
-
-
 def apply_links(rows: DataFrame, links: DataFrame, name: str = "product_name_clean") -> DataFrame:
     """Rows with the groups of the links; they are pass 4."""
     sides = [
@@ -213,20 +187,6 @@ def apply_links(rows: DataFrame, links: DataFrame, name: str = "product_name_cle
     )
 
 
-def fuzzy_boost(
-    rows: DataFrame,
-    target: int | None = TARGET_MATCHED,
-    cutoff: float = FUZZY_CUTOFF,
-    max_names: int | None = None,
-    k: int = 32,
-    tile_size: int = 1000,
-) -> DataFrame:
-    """Rows with fuzzy groups added while fewer than ``target`` rows are matched (None = no target)."""
-    missing = None
-    if target is not None:
-        missing = target - rows.filter(F.col("match_group").isNotNull()).count()
-        if missing <= 0:
-            return rows
-    links = fuzzy_links(unmatched_names(rows, max_names), cutoff, k, tile_size)
-    return apply_links(rows, links if missing is None else first_links(links, missing))
-
+def fuzzy_boost(rows: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
+    """Rows with fuzzy groups added to the unmatched ones; the same at every size."""
+    return apply_links(rows, fuzzy_links(unmatched_names(rows), cutoff, overlap))

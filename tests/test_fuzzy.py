@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfscan.functions.similarity import Tile, sorted_tokens
+from shelfscan.functions.similarity import similarities, sorted_tokens
 from shelfscan.operators import fuzzy
 
 WORDS = ["red", "blue", "widget", "gear", "gearr", "bolt", "small", "smal", "large", "rod", "12kg", "500gm"]
@@ -29,13 +29,18 @@ def some_names(rng, n):
 
 def test_scores_equal_dynamic_programming():
     rng = random.Random(1)
-    names = some_names(rng, 40) + ["x" * 70 + " " + "ab" * 50, "é ü", "a", "b" * 64, "c" * 65 + "ab"]
-    tile = Tile(names)
-    for name in [*names, "", "zzz", "ab" * 100]:
-        assert list(tile.scores(name)) == [similarity(name, other) for other in names]
+    names = some_names(rng, 40) + ["x" * 70 + " " + "ab" * 50, "é ü", "a", "b" * 64, "c" * 65 + "ab", "", "zzz", "ab" * 100]
+    pairs = [(a, b) for a in names for b in names]
+    assert list(similarities(*map(list, zip(*pairs, strict=True)))) == [similarity(a, b) for a, b in pairs]
+    assert list(similarities([], [])) == []
 
 
-def greedy(listings, cutoff):
+def comparable(a, b, overlap):
+    a, b = set(a.split()), set(b.split())
+    return len(a & b) >= max(1, overlap * max(len(a), len(b)))
+
+
+def greedy(listings, cutoff, overlap):
     """The definition, one name at a time."""
     names = {}
     for store, name in listings:
@@ -49,8 +54,9 @@ def greedy(listings, cutoff):
             for name in order[a]:
                 if (a, name) in taken or not free:
                     continue
-                best = max(free, key=lambda other: similarity(name, other))
-                if similarity(name, best) >= cutoff:
+                usable = [n for n in free if comparable(name, n, overlap) and similarity(name, n) >= cutoff]
+                if usable:
+                    best = max(usable, key=lambda other: similarity(name, other))
                     taken |= {(a, name), (b, best)}
                     free.remove(best)
                     links.add((a, name, b, best))
@@ -65,26 +71,33 @@ def frame(spark, listings):
     )
 
 
-@pytest.mark.parametrize("seed,k,tile", [(3, 2, 4), (4, 32, 1000)])
-def test_links_equal_the_greedy_definition(spark, seed, k, tile):
+@pytest.mark.parametrize("seed,overlap", [(3, 0.5), (4, 0.3), (5, 1.0)])
+def test_links_equal_the_greedy_definition(spark, seed, overlap):
     rng = random.Random(seed)
-    listings = [(s, n) for s in ("s1", "s2", "s3", "s4") for n in some_names(rng, 14) for _ in range(rng.randint(1, 2))]
-    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)), 55, k, tile)
+    listings = [(s, n) for s in ("s2", "s1", "s3", "s4") for n in some_names(rng, 14) for _ in range(rng.randint(1, 2))]
+    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)), 55, overlap)
     got = {tuple(r) for r in links.select("store_a", "name_a", "store_b", "name_b").collect()}
-    assert got == greedy(listings, 55)
+    assert got == greedy(listings, 55, overlap)
+
 
+def test_no_comparable_pair_is_lost(spark):
+    rng = random.Random(9)
+    listings = [(s, n) for s in ("s1", "s2", "s3") for n in some_names(rng, 60)] + [("s1", "red " * 3), ("s2", "  "), ("s3", "red")]
+    names = fuzzy.unmatched_names(frame(spark, listings))
+    for overlap in (0.01, 0.5, 0.75):
+        got = {(r["name_a"], r["store_a"], r["name_b"], r["store_b"]) for r in fuzzy.comparable_pairs(names, 55, overlap).collect()}
+        every = {
+            (a, s, b, t) for s, a in set(listings) for t, b in set(listings)
+            if s < t and comparable(a, b, overlap) and similarity(a, b) >= 55
+        }
+        assert got == every
 
-def test_target_switches_the_boost_off_and_cuts_it(spark):
+
+def test_boost_does_not_depend_on_what_is_matched_already(spark):
     listings = [("s1", "red widgett"), ("s2", "red widget"), ("s1", "blue gear"), ("s2", "blue gearr")]
     rows = frame(spark, listings)
-    assert fuzzy.fuzzy_boost(rows.withColumn("match_group", F.lit("g")), target=4).filter("match_pass = 4").count() == 0
-    assert fuzzy.fuzzy_boost(rows, target=2).filter("match_pass = 4").count() == 2
-    boosted = fuzzy.fuzzy_boost(rows, target=None)
+    matched = rows.withColumn("match_group", F.lit("g")).withColumn("match_pass", F.lit(1))
+    assert fuzzy.fuzzy_boost(matched).filter("match_pass = 4").count() == 0
+    boosted = fuzzy.fuzzy_boost(rows.unionByName(matched)).filter("match_pass = 4")
     groups = {tuple(sorted(r["n"])) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
     assert groups == {("red widget", "red widgett"), ("blue gear", "blue gearr")}
-
-
-def test_name_cap_keeps_the_most_listed(spark):
-    listings = [("s1", "aa bb")] * 3 + [("s1", "cc dd")] + [("s2", "aa bc")]
-    names = fuzzy.unmatched_names(frame(spark, listings), max_names=1)
-    assert sorted(r["name"] for r in names.collect()) == ["aa bb", "aa bc"]
