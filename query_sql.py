@@ -181,6 +181,30 @@ def chain(sql: str, upto: str, extra: list[tuple[str, str]] = ()) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in steps) + "\n" + sql
 
 
+_FUZZY = r""", names AS (
+  SELECT DISTINCT store_key, product_name_clean AS name FROM allrows WHERE match_group IS NULL AND product_name_clean IS NOT NULL
+), worded AS (
+  SELECT *, list_filter(regexp_split_to_array(name, '\s+'), lambda w: w <> '') AS parts FROM names
+), each AS (SELECT store_key, name, len(list_distinct(parts)) AS n, unnest(list_distinct(parts)) AS word FROM worded),
+alike AS (
+  SELECT a.store_key AS store_a, a.name AS name_a, b.store_key AS store_b, b.name AS name_b
+  FROM each a JOIN each b ON a.word = b.word AND a.store_key < b.store_key GROUP BY ALL
+  HAVING count(*) >= 0.5 * greatest(max(a.n), max(b.n))
+), sorted AS (
+  SELECT alike.*, array_to_string(list_sort(x.parts), ' ') AS sa, array_to_string(list_sort(y.parts), ' ') AS sb
+  FROM alike JOIN worded x ON x.store_key = store_a AND x.name = name_a JOIN worded y ON y.store_key = store_b AND y.name = name_b
+), lcs AS (
+  SELECT sa, sb, 0 AS i, list_transform(range(length(sb) + 1), lambda x: 0) AS line
+  FROM (SELECT DISTINCT sa, sb FROM sorted WHERE 200 * least(length(sa), length(sb)) >= 55 * (length(sa) + length(sb)))
+  UNION ALL
+  SELECT sa, sb, i + 1, [0] || list_transform(range(1, length(sb) + 1), lambda j: list_max(list_transform(range(1, j + 1),
+    lambda k: CASE WHEN sa[i + 1] = sb[k] THEN line[k] + 1 ELSE line[k + 1] END)))
+  FROM lcs WHERE i < length(sa)
+)
+SELECT store_a, name_a, store_b, name_b, """ + rnd("200.0 * line[-1] / (length(sa) + length(sb))", 4) + """ AS score
+FROM sorted JOIN lcs USING (sa, sb) WHERE i = length(sa) AND 200.0 * line[-1] / (length(sa) + length(sb)) >= 55"""
+
+
 def _corr(x: str, y: str, source: str, metric: str) -> str:
     def safe(a, b):
         return f"covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0)"
@@ -377,12 +401,13 @@ def statements() -> dict[str, str]:
     out["top_brands"] = chain("SELECT brand, count(*) AS num_rows FROM processed GROUP BY brand ORDER BY num_rows DESC, brand LIMIT 10", "processed")
     out["extraction_coverage"] = chain("SELECT count(*) AS num_rows, count(*) FILTER (quantity IS NOT NULL AND unit IS NOT NULL) AS with_size, count(price_per_unit) AS with_unit_price FROM processed", "processed")
     out["store_reach"] = chain("SELECT store_key, count(*) AS num_rows, count(DISTINCT city) AS num_cities, count(CASE WHEN old_price IS NOT NULL THEN sku END) AS with_url FROM raw GROUP BY store_key", "raw")
+    out["fuzzy_scores"] = chain(_FUZZY, "allrows").replace("WITH ", "WITH RECURSIVE ", 1)
     out["replicate_cities"] = chain("""SELECT store_key, t.city, product_name, price FROM deduped d, (SELECT unnest(['automobile', 'building', 'lahore', 'karachi']) AS city) t
-  WHERE d.city = 'automobile' AND d.price > 900 AND NOT EXISTS (SELECT 1 FROM raw e WHERE e.store_key = d.store_key AND e.city = t.city)""", "deduped")
-    out["merge_partition"] = chain(f"""SELECT product_name, city, price FROM (SELECT *, row_number() OVER (PARTITION BY product_name, city ORDER BY src, {ORD}) AS rn
-  FROM (SELECT *, CASE WHEN old_price IS NULL THEN 0 ELSE 1 END AS src FROM raw WHERE store_key = 'asia')) WHERE rn = 1""", "raw")
-    out["new_names"] = chain(f"""SELECT product_name, price FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(product_name)) ORDER BY {ORD}) AS rn FROM raw r
-  WHERE store_key = 'europe' AND lower(trim(product_name)) NOT IN (SELECT lower(trim(product_name)) FROM raw WHERE store_key = 'asia')) WHERE rn = 1""", "raw")
+  WHERE d.city = 'automobile' AND NOT EXISTS (SELECT 1 FROM raw e WHERE e.store_key = d.store_key AND e.city = t.city)""", "deduped")
+    out["merge_partition"] = chain(f"""SELECT store_key, product_name, city, price FROM (SELECT *, row_number() OVER (PARTITION BY store_key, product_name, city ORDER BY src, {ORD}) AS rn
+  FROM (SELECT *, CASE WHEN old_price IS NULL THEN 0 ELSE 1 END AS src FROM raw)) WHERE rn = 1""", "raw")
+    out["new_names"] = chain(f"""SELECT store_key, product_name, price FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(product_name)) ORDER BY {ORD}) AS rn FROM raw r
+  WHERE scraped_at >= DATE '1996-01-01' AND lower(trim(product_name)) NOT IN (SELECT lower(trim(product_name)) FROM raw WHERE scraped_at < DATE '1996-01-01')) WHERE rn = 1""", "raw")
     out["catalogue_keys"] = chain("""SELECT DISTINCT product_name_clean, replace(trim(regexp_replace(regexp_replace(lower(product_name_clean), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')), ' ', '_')
   || CASE WHEN quantity IS NOT NULL AND unit IS NOT NULL THEN '__' || CAST(quantity AS VARCHAR) || '_' || unit ELSE '' END AS catalogue_key FROM processed""", "processed")
     keyword = "CASE " + " ".join(f"WHEN contains(txt, '{k}') THEN '{v}'" for k, v in CATEGORY_BY_KEYWORD.items()) + " ELSE 'general' END"

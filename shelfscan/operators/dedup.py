@@ -12,6 +12,7 @@ POLICIES = {
     "listing_any_price": ("store_key", "city", "product_name"),
     "offer": ("product_name", "price"),
     "city_merge": ("product_name", "city"),
+    "store_city_merge": ("store_key", "product_name", "city"),
     "item": ("sku",),
 }
 

@@ -69,7 +69,10 @@ def store_city_metrics(matched: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
-def pivot_small(df: DataFrame, row: str, column: str, value: str, names: list[str], fill=None) -> DataFrame:
-    """Cross-tab of an already unique (row, column) table with the given column names."""
-    wide = df.groupBy(row).pivot(column, names).agg(F.first(value))
-    return wide if fill is None else wide.na.fill(fill, subset=names)
+def pivot_small(df: DataFrame, row: str, column: str, value: str, fill=None) -> DataFrame:
+    """Cross-tab of an already unique (row, column) table, one column per value found.
+
+    More values than ``spark.sql.pivotMaxValues`` is an error; nothing is dropped.
+    """
+    wide = stage(df.select(row, column, value), "pivot").groupBy(row).pivot(column).agg(F.first(value))
+    return wide if fill is None else wide.na.fill(fill, subset=[c for c in wide.columns if c != row])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscan.functions.text import label
+from shelfscan.sources.staging import stage
 
 
 def overview(raw: DataFrame, profile: DataFrame) -> DataFrame:
@@ -29,10 +30,13 @@ def overview(raw: DataFrame, profile: DataFrame) -> DataFrame:
     return places.withColumn("_g", groups).select("total_products", "num_stores", "num_cities", "_g.*")
 
 
-def crosstab(df: DataFrame, cities: Sequence[str]) -> DataFrame:
-    """Store by city row counts, zero filled, one column per given city."""
-    named = df.filter("store_key IS NOT NULL")
-    return named.groupBy("store_key").pivot("city", list(cities)).agg(F.count(F.lit(1))).na.fill(0)
+def crosstab(df: DataFrame) -> DataFrame:
+    """Row counts of every store and city that occur, null ones included: one column per city, zero filled.
+
+    The columns are the cities found; more of them than ``spark.sql.pivotMaxValues`` is an error.
+    """
+    counts = stage(df.groupBy("store_key", "city").agg(F.count(F.lit(1)).alias("num_rows")), "counts")
+    return counts.groupBy("store_key").pivot("city").agg(F.first("num_rows")).na.fill(0)
 
 
 def search(

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfscan.functions.fixed_values import TARGET_MATCHED
 from shelfscan.operators import correlation, dispersion, leaders, quality, stores
 from shelfscan.operators.clean import clean_listings, rejection_counts
 from shelfscan.operators.dispersion import group_profile
 from shelfscan.operators.fuzzy import fuzzy_boost
 from shelfscan.operators.match import match_listings, match_summary, matched_only, with_match_keys
 from shelfscan.sources.layer_files import write_matched, write_processed, write_raw, write_results
+from shelfscan.sources.schemas import texts
 from shelfscan.sources.staging import stage, tune
 
 
@@ -61,16 +61,26 @@ def quality_tables(raw: DataFrame, processed: DataFrame, all_rows: DataFrame, pr
     }
 
 
-def run(spark: SparkSession, raw: DataFrame, folder: str, target: int | None = TARGET_MATCHED) -> dict[str, str]:
-    """Run every stage; returns the path of each written table."""
+def run(spark: SparkSession, raw: DataFrame, folder: str, fuzzy: bool = True) -> dict[str, str]:
+    """Run every step; returns the path of each written table.
+
+    Each layer is written once and read back for the next. The processed layer has the match
+    keys. ``fuzzy`` turns the links by similarity on or off.
+    """
     tune(spark)
     write_raw(raw, f"{folder}/raw")
-    write_processed(clean_listings(raw), f"{folder}/processed")
-    processed = spark.read.parquet(f"{folder}/processed")
-    keyed = stage(with_match_keys(processed), "keyed")
-    all_rows = stage(fuzzy_boost(stage(match_listings(keyed), "matches"), target), "boosted")
-    matched = matched_only(all_rows)
-    paths = write_matched(all_rows, match_summary(matched), f"{folder}/matched")
+    raw = spark.read.schema(texts(raw).schema).parquet(f"{folder}/raw")
+    keyed = with_match_keys(clean_listings(raw))
+    write_processed(keyed, f"{folder}/processed")
+    keyed = spark.read.schema(keyed.schema).parquet(f"{folder}/processed")
+    processed = keyed.drop("match_key", "name_key")
+    all_rows = match_listings(keyed)
+    if fuzzy:
+        all_rows = fuzzy_boost(stage(all_rows, "matches"))
+    paths = write_matched(all_rows, f"{folder}/matched")
+    all_rows = spark.read.parquet(paths["all_with_matches"])
+    matched = spark.read.parquet(paths["matched_products"])
+    paths |= write_results({"match_summary": match_summary(matched)}, f"{folder}/matched")
     profile = stage(group_profile(matched), "groups")
     paths |= write_results(result_tables(matched, profile), f"{folder}/results")
     paths |= write_results(quality_tables(raw, processed, all_rows, profile), f"{folder}/quality")

@@ -18,8 +18,6 @@ from shelfscan.sources.staging import stage
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-CITIES = ["automobile", "building", "furniture", "household", "machinery"]
-STORES = ["africa", "america", "asia", "europe", "middle east"]
 OFFER = ("store_key", "city", "product_name", "price")
 
 
@@ -156,7 +154,7 @@ def store_city_metrics(spark, sf):
 
 @register
 def price_index_pivot(spark, sf):
-    return stores.pivot_small(store_city_metrics(spark, sf), "store_key", "city", "avg_category_price_index", CITIES)
+    return stores.pivot_small(store_city_metrics(spark, sf), "store_key", "city", "avg_category_price_index")
 
 
 @register
@@ -187,7 +185,7 @@ def ldi_category(spark, sf):
 
 @register
 def category_ldi_pivot(spark, sf):
-    return stores.pivot_small(ldi_category(spark, sf), "category", "store_key", "category_ldi", STORES, 0.0)
+    return stores.pivot_small(ldi_category(spark, sf), "category", "store_key", "category_ldi", 0.0)
 
 
 @register
@@ -347,7 +345,7 @@ def rows_by_dimension(spark, sf):
 
 @register
 def store_city_crosstab(spark, sf):
-    return views.crosstab(layers_of(spark, sf).raw, CITIES)
+    return views.crosstab(layers_of(spark, sf).raw)
 
 
 def _hits(spark, sf):
@@ -403,23 +401,25 @@ def store_reach(spark, sf):
 def replicate_cities(spark, sf):
     """A catalogue copied to other cities, where the store has none yet."""
     raw = layers_of(spark, sf).raw
-    source = dedup.dedup(raw).filter("city = 'automobile' AND price > 900")
+    source = dedup.dedup(raw).filter("city = 'automobile'")
     return clean.replicate_cities(source, ["automobile", "building", "lahore", "karachi"], raw).select(*OFFER)
 
 
 @register
 def merge_partition(spark, sf):
     """Undiscounted rows as the old partition, discounted rows merged into it."""
-    store = layers_of(spark, sf).raw.filter("store_key = 'asia'")
-    merged = dedup.merge_first_wins(store.filter("old_price IS NULL"), store.filter("old_price IS NOT NULL"))
-    return merged.select("product_name", "city", "price")
+    raw = layers_of(spark, sf).raw
+    old, new = raw.filter("old_price IS NULL"), raw.filter("old_price IS NOT NULL")
+    return dedup.merge_first_wins(old, new, "store_city_merge").select("store_key", "product_name", "city", "price")
 
 
 @register
 def new_names(spark, sf):
+    """Listings of all stores from 1996 on whose name no store had before."""
     raw = layers_of(spark, sf).raw
-    fresh = dedup.new_names_only(raw.filter("store_key = 'europe'"), raw.filter("store_key = 'asia'"))
-    return fresh.select("product_name", "price")
+    since = F.col("scraped_at") >= F.lit("1996-01-01").cast("date")
+    fresh = dedup.new_names_only(raw.filter(since), raw.filter(~F.coalesce(since, F.lit(False))))
+    return fresh.select("store_key", "product_name", "price")
 
 
 @register
@@ -505,9 +505,16 @@ def failure_streaks(spark, sf):
     )
 
 
+@register
+def fuzzy_scores(spark, sf):
+    """Comparable unmatched names of different stores with their similarity."""
+    pairs = fuzzy.comparable_pairs(fuzzy.unmatched_names(layers_of(spark, sf).all_rows))
+    return pairs.select("store_a", "name_a", "store_b", "name_b", round_half_up(F.col("score"), 4).alias("score"))
+
+
 @register
 def fuzzy_matches(spark, sf):
-    """Fuzzy groups of the unmatched names, without a target: groups, their rows and their similarity."""
+    """Fuzzy groups of the unmatched names: groups, their rows and their similarity."""
     links = fuzzy.fuzzy_links(fuzzy.unmatched_names(layers_of(spark, sf).all_rows))
     return links.select(
         "match_group", "store_a", "name_a", "store_b", "name_b",

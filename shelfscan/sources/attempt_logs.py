@@ -22,8 +22,16 @@ def read_attempts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"), order.alias("row_ord"))
 
 
+def unparsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines that are no attempts: their number, and how many of them are blank."""
+    other = lines.filter(~F.coalesce(F.col("line").rlike(_LINE), F.lit(False)))
+    return other.agg(
+        F.count(F.lit(1)).alias("unparsed_lines"), F.count_if(F.trim(F.coalesce("line", F.lit(""))) == "").alias("blank_lines")
+    )
+
+
 def parse_attempts(lines: DataFrame, *keep: str) -> DataFrame:
-    """Fields of attempt lines; other lines are dropped. The detail may contain the separator."""
+    """Fields of attempt lines; ``unparsed_lines`` counts the others. The detail may contain the separator."""
     group = lambda i: F.regexp_extract("line", _LINE, i)
     return lines.filter(F.col("line").rlike(_LINE)).select(
         *keep,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -15,8 +14,6 @@ from shelfscan.operators.dedup import merge_first_wins
 from shelfscan.sources.schemas import ROW_ORDER, combine, conform, texts
 from shelfscan.sources.staging import stage
 
-log = logging.getLogger(__name__)
-
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -48,20 +45,33 @@ def gather_raw(spark: SparkSession, folder: str, pattern: str = "raw_*_*.parquet
 
     Physical schemas drift between datasets (an id may be a number in one and text in
     the next), so each dataset is read with its own schema, conformed, and unioned by
-    name. Only metadata passes through the driver: one footer per dataset. Unreadable
-    datasets are skipped with a warning.
+    name. Only metadata passes through the driver: one footer per dataset. A dataset that
+    cannot be read is an error; see ``readable_datasets``.
+    """
+    return gather_datasets(spark, _glob(spark, f"{folder}/{pattern}"))
+
+
+def gather_datasets(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The given datasets under the declared raw schema."""
+    if not paths:
+        raise FileNotFoundError("no raw dataset")
+    return combine(*(conform(with_row_order(spark.read.parquet(path)), keep=(ROW_ORDER,)) for path in paths))
+
+
+def readable_datasets(spark: SparkSession, folder: str, pattern: str = "raw_*_*.parquet") -> DataFrame:
+    """(path, error) of every dataset of a folder; the error is null where its footer can be read.
+
+    For callers who want to leave datasets out: they pass the good paths to ``gather_datasets``
+    and keep this table as the record of what was skipped.
     """
-    frames = []
+    found = []
     for path in _glob(spark, f"{folder}/{pattern}"):
         try:
-            frame = with_row_order(spark.read.option("ignoreCorruptFiles", True).parquet(path))
+            spark.read.parquet(path)
+            found.append((path, None))
         except (PySparkException, Py4JJavaError) as error:
-            log.warning("skipped %s: %s", path, str(error).splitlines()[0])
-            continue
-        frames.append(conform(frame, keep=(ROW_ORDER,)))
-    if not frames:
-        raise FileNotFoundError(f"{folder}/{pattern}")
-    return combine(*frames)
+            found.append((path, str(error).splitlines()[0]))
+    return spark.createDataFrame(found, "path STRING, error STRING")
 
 
 def _write(df: DataFrame, path: str, partitions: Sequence[str], mode: str = "overwrite") -> None:
@@ -81,13 +91,12 @@ def write_processed(df: DataFrame, path: str) -> None:
     _write(df, path, ("store_key",))
 
 
-def write_matched(all_rows: DataFrame, summary: DataFrame, folder: str) -> dict[str, str]:
-    """All rows with match information, matched rows only, and the group summary."""
-    paths = {name: f"{folder}/{name}" for name in ("all_with_matches", "matched_products", "match_summary")}
+def write_matched(all_rows: DataFrame, folder: str) -> dict[str, str]:
+    """All rows with match information, and the matched rows only, read back from those."""
+    paths = {name: f"{folder}/{name}" for name in ("all_with_matches", "matched_products")}
     _write(all_rows, paths["all_with_matches"], ())
     stored = all_rows.sparkSession.read.parquet(paths["all_with_matches"])
     _write(stored.filter(F.col("match_group").isNotNull()), paths["matched_products"], ())
-    _write(summary, paths["match_summary"], ())
     return paths
 
 
@@ -116,8 +125,12 @@ def merge_into_partitions(spark: SparkSession, path: str, new: DataFrame, policy
 
 
 def replicate_store(spark: SparkSession, path: str, store: str, source_city: str, cities: Sequence[str]) -> None:
-    """Add a store's catalogue under further cities; cities it already has are skipped."""
+    """Add a store's catalogue under further cities; cities it already has are skipped.
+
+    New partitions only, overwritten as a whole, so a repeated run leaves the same rows.
+    """
     raw = spark.read.parquet(path)
     source = raw.filter((F.col("store_key") == store) & (F.col("city") == source_city))
     copies = stage(replicate_cities(source, cities, raw.filter(F.col("store_key") == store)), "replicas")
-    _write(copies, path, ("store_key", "city"), mode="append")
+    rows = copies.hint("rebalance", "store_key", "city")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store_key", "city").parquet(path)

@@ -147,7 +147,7 @@ def test_quality_and_views(spark):
     assert counts == {"raw": (4, "WARN"), "none": (0, None)}
     assert views.search(rows, "RED .?tea").count() == 2 and views.search(rows, "(tea)", literal=True).count() == 1
     assert [r["price"] for r in views.cheapest_hits(views.search(rows, "red"), 1).collect()] == [5.0]
-    cross = {r["store_key"]: (r["x"], r["y"]) for r in views.crosstab(raw, ["x", "y"]).collect()}
+    cross = {r["store_key"]: (r["x"], r["y"]) for r in views.crosstab(raw).collect()}
     assert cross == {"a": (2, 0), "b": (0, 2)}
     assert stores.averages(raw, "store_key").count() == 2
     assert dispersion.histogram(raw, "price", 4).agg(F.sum("num_values")).first()[0] == 4

@@ -2,13 +2,15 @@ import pytest
 from compare import compare
 
 import __spark_entry__ as contract
+from query_sql import statements
+from shelfscan.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-ORACLE = contract.oracle_sql()
+ORACLE = statements()
 
 
-def test_every_query_but_the_fuzzy_one_has_sql():
-    assert set(contract.queries()) - set(ORACLE) == {"fuzzy_matches"} and set(ORACLE) <= set(contract.queries())
+def test_every_query_but_the_fuzzy_assignment_has_sql():
+    assert set(QUERIES) - set(ORACLE) == {"fuzzy_matches"} and set(ORACLE) <= set(QUERIES)
 
 
 def test_entry(spark):
@@ -17,7 +19,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_rows_equal_the_sql(spark, name):
-    problem, _ = compare(spark, SF, name, contract.queries()[name], ORACLE[name])
+    problem, _ = compare(spark, SF, name, QUERIES[name], ORACLE[name])
     assert problem == ""
 
 

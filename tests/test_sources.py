@@ -3,6 +3,8 @@ import json
 from pyspark.sql import functions as F
 
 from shelfscan.plans import batch
+import pytest
+
 from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files
 from shelfscan.sources.schemas import RAW
 
@@ -15,7 +17,11 @@ def test_gather_drifting_files(spark, folder):
     text.write.parquet(f"{folder}/all_raw_data.parquet")
     with open(f"{folder}/raw_bad_x.parquet", "w") as f:
         f.write("not parquet")
-    raw = layer_files.gather_raw(spark, folder)
+    with pytest.raises(Exception, match="raw_bad_x"):
+        layer_files.gather_raw(spark, folder).collect()
+    state = {r["path"].rsplit("/", 1)[1]: (r["path"], r["error"]) for r in layer_files.readable_datasets(spark, folder).collect()}
+    assert {n for n, (_, error) in state.items() if error} == {"raw_bad_x.parquet"}
+    raw = layer_files.gather_datasets(spark, [path for path, error in state.values() if error is None])
     assert raw.columns == [*[f.name for f in RAW], "row_ord"]
     rows = {r["product_name"]: (r["price"], r["sku"]) for r in raw.collect()}
     assert rows == {"Tea": (5.0, "123"), "Milk": (7.5, "s1"), "Oil": (None, None)}
@@ -39,7 +45,7 @@ def test_batch_writes_all_layers(spark, folder):
     from shelfscan.sources.listings import listings
 
     raw = listings(spark, "/root/testdata/sf0.001")
-    paths = batch.run(spark, raw, folder, target=1000)
+    paths = batch.run(spark, raw, folder, fuzzy=False)
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
     assert counts["raw"] == 6000 and counts["processed"] == 5674 and counts["matched_products"] == 3925
     assert counts["match_summary"] == counts["price_dispersion"] == 367
