@@ -181,28 +181,28 @@ def chain(sql: str, upto: str, extra: list[tuple[str, str]] = ()) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in steps) + "\n" + sql
 
 
-_FUZZY = r""", names AS (
+_FUZZY = r""", fz_names AS (
   SELECT DISTINCT store_key, product_name_clean AS name FROM allrows WHERE match_group IS NULL AND product_name_clean IS NOT NULL
-), worded AS (
-  SELECT *, list_filter(regexp_split_to_array(name, '\s+'), lambda w: w <> '') AS parts FROM names
-), each AS (SELECT store_key, name, len(list_distinct(parts)) AS n, unnest(list_distinct(parts)) AS word FROM worded),
-alike AS (
+), fz_worded AS (
+  SELECT *, list_filter(regexp_split_to_array(name, '\s+'), lambda w: w <> '') AS parts FROM fz_names
+), fz_each AS (SELECT store_key, name, len(list_distinct(parts)) AS n, unnest(list_distinct(parts)) AS word FROM fz_worded),
+fz_alike AS (
   SELECT a.store_key AS store_a, a.name AS name_a, b.store_key AS store_b, b.name AS name_b
-  FROM each a JOIN each b ON a.word = b.word AND a.store_key < b.store_key GROUP BY ALL
+  FROM fz_each a JOIN fz_each b ON a.word = b.word AND a.store_key < b.store_key GROUP BY ALL
   HAVING count(*) >= 0.5 * greatest(max(a.n), max(b.n))
-), sorted AS (
-  SELECT alike.*, array_to_string(list_sort(x.parts), ' ') AS sa, array_to_string(list_sort(y.parts), ' ') AS sb
-  FROM alike JOIN worded x ON x.store_key = store_a AND x.name = name_a JOIN worded y ON y.store_key = store_b AND y.name = name_b
-), lcs AS (
+), fz_sorted AS (
+  SELECT fz_alike.*, array_to_string(list_sort(x.parts), ' ') AS sa, array_to_string(list_sort(y.parts), ' ') AS sb
+  FROM fz_alike JOIN fz_worded x ON x.store_key = store_a AND x.name = name_a JOIN fz_worded y ON y.store_key = store_b AND y.name = name_b
+), fz_lcs AS (
   SELECT sa, sb, 0 AS i, list_transform(range(length(sb) + 1), lambda x: 0) AS line
-  FROM (SELECT DISTINCT sa, sb FROM sorted WHERE 200 * least(length(sa), length(sb)) >= 55 * (length(sa) + length(sb)))
+  FROM (SELECT DISTINCT sa, sb FROM fz_sorted WHERE 200 * least(length(sa), length(sb)) >= 55 * (length(sa) + length(sb)))
   UNION ALL
   SELECT sa, sb, i + 1, [0] || list_transform(range(1, length(sb) + 1), lambda j: list_max(list_transform(range(1, j + 1),
     lambda k: CASE WHEN sa[i + 1] = sb[k] THEN line[k] + 1 ELSE line[k + 1] END)))
-  FROM lcs WHERE i < length(sa)
+  FROM fz_lcs WHERE i < length(sa)
 )
 SELECT store_a, name_a, store_b, name_b, """ + rnd("200.0 * line[-1] / (length(sa) + length(sb))", 4) + """ AS score
-FROM sorted JOIN lcs USING (sa, sb) WHERE i = length(sa) AND 200.0 * line[-1] / (length(sa) + length(sb)) >= 55"""
+FROM fz_sorted JOIN fz_lcs USING (sa, sb) WHERE i = length(sa) AND 200.0 * line[-1] / (length(sa) + length(sb)) >= 55"""
 
 
 def _corr(x: str, y: str, source: str, metric: str) -> str:

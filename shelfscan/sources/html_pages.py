@@ -1,217 +1,137 @@
-"""Product cards of stored HTML pages to listings.
+"""Product cards of stored HTML pages to listings, by expressions only.
 
-A page becomes rows in three steps: a small helper reads the card fields as raw text
-(the only Python, one page at a time inside tasks, Arrow transfer), ``explode`` makes
-rows, and Spark expressions clean names and parse prices.
+A page is cut at the opening tags of its cards; fields are cut out of a card by patterns,
+freed of tags and entities, and cleaned like any other text. A layout is a set of such patterns. An
+element is taken to end at the next closing tag of its kind, so a field that holds an element of
+its own kind inside is not for these patterns; card pages of the known shops have none.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfscan.functions import text
 
-_CARDS = """ARRAY<STRUCT<position: INT, name: STRING, amount: STRING, price_text: STRING, old_text: STRING,
-  link: STRING, image: STRING, label: STRING, all_text: STRING>>"""
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_UNREAD = frozenset(("script", "style", "template"))
 
+def _opening(tag: str, cls: str) -> str:
+    """Pattern of an opening tag with a class that has the given part."""
+    return rf"<(?:{tag})\b[^>]*\bclass=[\"'][^\"']*(?:{cls})[^\"']*[\"'][^>]*>"
 
-@dataclass(frozen=True)
-class Rule:
-    """One element pattern: tag, class, part of a class, attribute, inside another class."""
-
-    tag: str = ""
-    cls: str = ""
-    like: str = ""
-    attr: str = ""
-    attr_part: str = ""
-    inside: str = ""
 
-    def fits(self, node: Node) -> bool:
-        classes = node.attrs.get("class") or ""
-        return (
-            (not self.tag or node.tag == self.tag)
-            and (not self.cls or all(c in classes.split() for c in self.cls.split()))
-            and (not self.like or self.like in classes)
-            and (not self.attr or self.attr in node.attrs and self.attr_part in (node.attrs[self.attr] or ""))
-            and (not self.inside or any(self.inside in (a.tag, *a.classes()) for a in node.ancestors()))
-        )
+def _word(cls: str) -> str:
+    """A class as a whole word."""
+    return rf"(?<![\w-])(?:{cls})(?![\w-])"
 
 
 @dataclass(frozen=True)
 class CardRules:
-    """Where a shop keeps the fields of a product card."""
-
-    cards: tuple[Rule, ...]
-    name: tuple[Rule, ...]
-    price: tuple[Rule, ...] = ()
-    amount: tuple[Rule, ...] = ()
-    old: tuple[Rule, ...] = ()
-    label: tuple[Rule, ...] = ()
-    link: tuple[Rule, ...] = (Rule(tag="a", attr="href"),)
+    """Patterns of a shop's product cards; each field's text is what its groups hold."""
+
+    card: str
+    name: str
+    price: str = ""
+    amount: str = ""
+    old: str = ""
+    label: str = ""
+    link: str = r"<a\b[^>]*\bhref=[\"']([^\"']*)"
     image: tuple[str, ...] = ("data-lazy", "data-src", "src")
-    fallback_cards: tuple[Rule, ...] = ()
+    fallback_card: str = ""
     min_name: int = 3
     tight_text: bool = False
     link_from_name: bool = True
 
 
+_PRICE = _opening(r"\w+", _word("price")) + r"(.*?)</"
 # Card patterns per shop layout.
 MAGENTO = CardRules(
-    cards=(Rule(tag="li", cls="product-item"),),
-    fallback_cards=(Rule(cls="product-item"),),
-    name=(Rule(cls="product-item-link"), Rule(tag="a", inside="product-item-name")),
-    amount=(Rule(attr="data-price-amount"),),
-    price=(Rule(cls="price"),),
-    old=(Rule(cls="price", inside="old-price"),),
+    card=_opening("li", _word("product-item")),
+    fallback_card=_opening(r"\w+", _word("product-item")),
+    name=_opening("a", _word("product-item-link")) + r"(.*?)</a>|" + _opening(r"\w+", _word("product-item-name")) + r"\s*<a\b[^>]*>(.*?)</a>",
+    amount=r"\bdata-price-amount=[\"']([^\"']*)",
+    price=_PRICE,
+    old=_opening(r"\w+", _word("old-price")) + r"\s*" + _PRICE,
 )
 TOLERANT = CardRules(
-    cards=(Rule(like="product"), Rule(cls="card-product"), Rule(cls="item-product"), Rule(cls="col-product")),
-    name=(
-        Rule(tag="h2"), Rule(tag="h3"), Rule(tag="h4"), Rule(cls="card-title"), Rule(like="name"), Rule(like="title"),
-    ),
-    price=(Rule(like="price"), Rule(cls="amount")),
-    old=(Rule(cls="original-price"), Rule(cls="amount", inside="del"), Rule(like="old-price")),
+    card=_opening("li|div|article|section", "product"),
+    name=r"<h[234]\b[^>]*>(.*?)</h[234]>|" + _opening(r"\w+", "name|title") + r"(.*?)</",
+    price=_opening(r"\w+", "price|" + _word("amount")) + r"(.*?)</",
+    old=_opening(r"\w+", "original-price|old-price") + r"(.*?)</|<del\b[^>]*>\s*" + _opening(r"\w+", _word("amount")) + r"(.*?)</",
     image=("data-src", "src"),
     min_name=1,
     link_from_name=False,
 )
 TOLERANT_MAGENTO = CardRules(
-    cards=(
-        Rule(like="product-item"), Rule(cls="product-card"), Rule(cls="product-box"), Rule(cls="item product"),
-        Rule(tag="div", cls="product"), Rule(cls="item", inside="products-grid"),
-    ),
-    fallback_cards=(Rule(like="product"),),
-    name=(
-        Rule(cls="product-item-link"), Rule(tag="a", inside="h2"), Rule(tag="a", inside="h3"),
-        Rule(tag="a", inside="h4"), Rule(like="name"), Rule(like="title"),
-    ),
-    price=(Rule(cls="price"), Rule(attr="data-price-amount"), Rule(cls="product-price")),
-    old=(
-        Rule(cls="price", inside="old-price"), Rule(cls="price", inside="del"), Rule(cls="price", inside="regular-price"),
-        Rule(like="old-price"), Rule(like="was-price"),
-    ),
+    card=_opening("li|div|article", "product-item|product-card|product-box|" + _word("product")),
+    name=_opening("a", _word("product-item-link")) + r"(.*?)</a>|<h[234]\b[^>]*>\s*<a\b[^>]*>(.*?)</a>|"
+    + _opening("strong|div|p|span", "name|title") + r"\s*(?:<a\b[^>]*>)?(.*?)</",
+    price=_opening(r"\w+", _word("price|product-price")) + r"(.*?)</",
+    amount=r"\bdata-price-amount=[\"']([^\"']*)",
+    old=r"(?:" + _opening(r"\w+", "old-price|was-price|regular-price") + r"|<del\b[^>]*>)\s*(?:" + _opening(r"\w+", _word("price")) + r")?(.*?)</",
 )
 TEXT_PRICED = CardRules(
-    cards=(Rule(like="single_product_theme"),),
-    name=(Rule(cls="product_name_theme"),),
-    link=(Rule(tag="a", attr="href", attr_part="/product/"),),
-    label=(Rule(like="cat"),),
+    card=_opening(r"\w+", "single_product_theme"),
+    name=_opening("h[1-6]", _word("product_name_theme")) + r"(.*?)</h[1-6]>|" + _opening("b", _word("product_name_theme")) + r"(.*?)</b>",
+    link=r"<a\b[^>]*\bhref=[\"']([^\"']*/product/[^\"']*)",
+    label=_opening(r"\w+", "cat") + r"(.*?)</",
     image=("src",),
     min_name=1,
     tight_text=True,
     link_from_name=False,
 )
+# Entities that occur in card texts; the ampersand comes last.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
 
 
-@dataclass
-class Node:
-    tag: str
-    attrs: dict
-    parent: Node | None = None
-    children: list = field(default_factory=list)
-
-    def classes(self) -> list[str]:
-        return (self.attrs.get("class") or "").split()
-
-    def ancestors(self):
-        node = self.parent
-        while node is not None:
-            yield node
-            node = node.parent
-
-    def nodes(self):
-        """Descendants in document order, without recursion."""
-        stack = list(reversed(self.children))
-        while stack:
-            node = stack.pop()
-            if isinstance(node, Node):
-                yield node
-                stack.extend(reversed(node.children))
-
-    def texts(self):
-        stack = list(reversed(self.children))
-        while stack:
-            node = stack.pop()
-            if isinstance(node, str):
-                yield node
-            elif node.tag not in _UNREAD:
-                stack.extend(reversed(node.children))
-
-    def first(self, rules: tuple[Rule, ...]) -> Node | None:
-        return next((n for n in self.nodes() if any(r.fits(n) for r in rules)), None)
+def _shown(html: Column, tight: bool) -> Column:
+    """Text of a piece of HTML; tight: white space around tags goes too."""
+    bare = F.trim(F.regexp_replace(html, r"\s*<[^>]*>\s*", "")) if tight else F.regexp_replace(html, "<[^>]*>", "")
+    for entity, character in _ENTITIES.items():
+        bare = F.replace(bare, F.lit(entity), F.lit(character))
+    return bare
 
 
-class _TreeReader(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.open = Node("", {})
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "li" and self.open.tag == "li":
-            self.open = self.open.parent
-        node = Node(tag, dict(attrs), self.open)
-        self.open.children.append(node)
-        if tag not in _VOID:
-            self.open = node
-
-    def handle_endtag(self, tag):
-        path = [self.open, *self.open.ancestors()]
-        match = next((n for n in path if n.tag == tag), None)
-        if match is not None and match.parent is not None:
-            self.open = match.parent
-
-    def handle_data(self, data):
-        self.open.children.append(data)
-
-
-def read_cards(html: str | None, rules: CardRules) -> list[dict]:
-    """Raw fields of every product card of a page, in document order."""
-    reader = _TreeReader()
-    reader.feed(html or "")
-    reader.close()
-    matches = lambda rs: [n for n in reader.root.nodes() if any(r.fits(n) for r in rs)]
-
-    def shown(node):
-        if node is None:
-            return None
-        return "".join(t.strip() for t in node.texts()) if rules.tight_text else "".join(node.texts())
-
-    found = []
-    for position, card in enumerate(matches(rules.cards) or matches(rules.fallback_cards)):
-        name = card.first(rules.name)
-        if name is None:
-            continue
-        price = card.first(rules.price)
-        amount = card.first(rules.amount) or price
-        link = name if rules.link_from_name and name.tag == "a" else card.first(rules.link)
-        image = card.first((Rule(tag="img"),))
-        found.append(
-            {
-                "position": position,
-                "name": shown(name),
-                "amount": amount.attrs.get("data-price-amount") if amount is not None else None,
-                "price_text": shown(price),
-                "old_text": shown(card.first(rules.old)),
-                "link": link.attrs.get("href") if link is not None else None,
-                "image": next((image.attrs[a] for a in rules.image if image.attrs.get(a)), None) if image else None,
-                "label": shown(card.first(rules.label)),
-                "all_text": "".join(card.texts()) if rules.tight_text else None,
-            }
-        )
-    return found
+def _found(card: Column, pattern: str) -> tuple[Column, Column]:
+    """What the first match of a pattern covers, and what its groups hold; both null without a match."""
+    if not pattern:
+        return F.lit(None).cast("string"), F.lit(None).cast("string")
+    whole = F.nullif(F.regexp_extract(card, "(?is)" + pattern, 0), F.lit(""))
+    n = pattern.replace("\\(", "").count("(") - pattern.count("(?")
+    held = F.concat(*(F.regexp_extract(card, "(?is)" + pattern, i) for i in range(1, n + 1)))
+    return whole, F.when(whole.isNotNull(), held)
 
 
 def cards(pages: DataFrame, rules: CardRules, html: str = "html") -> DataFrame:
     """One row per card with raw fields; the other page columns stay."""
-    reader = F.udf(lambda page: read_cards(page, rules), _CARDS, useArrow=True)
     others = [c for c in pages.columns if c != html]
-    return pages.select(*others, F.explode(reader(html)).alias("card")).select(*others, "card.*")
+    body = F.concat(F.lit(" "), F.regexp_replace(F.col(html), r"(?is)<(script|style|template)\b.*?</\1\s*>|<!--.*?-->", ""))
+    cut = F.split(body, f"(?i)(?={rules.card})")
+    if rules.fallback_card:
+        cut = F.when(body.rlike("(?i)" + rules.card), cut).otherwise(F.split(body, f"(?i)(?={rules.fallback_card})"))
+    rows = pages.select(*others, F.posexplode(F.slice(cut, F.lit(2), F.size(cut))).alias("position", "card"))
+    card = F.col("card")
+    named, name = _found(card, rules.name)
+    link = _found(card, rules.link)[1]
+    if rules.link_from_name:
+        own = F.regexp_extract(named, r"(?is)<a\b[^>]*\bhref=[\"']([^\"']*)", 1)
+        link = F.when(named.rlike(r"(?i)<a\b"), F.nullif(own, F.lit(""))).otherwise(link)
+    image = F.regexp_extract(card, r"(?is)<img\b[^>]*>", 0)
+    source = F.coalesce(*(F.nullif(F.regexp_extract(image, rf"(?is)\s{a}=[\"']([^\"']*)", 1), F.lit("")) for a in rules.image))
+    shown = lambda pattern: _shown(_found(card, pattern)[1], rules.tight_text)
+    return rows.select(
+        *others,
+        "position",
+        _shown(name, rules.tight_text).alias("name"),
+        _found(card, rules.amount)[1].alias("amount"),
+        shown(rules.price).alias("price_text"),
+        shown(rules.old).alias("old_text"),
+        _shown(link, False).alias("link"),
+        source.alias("image"),
+        shown(rules.label).alias("label"),
+        _shown(card, False).alias("all_text"),
+    ).filter(F.col("name").isNotNull())
 
 
 def card_listings(pages: DataFrame, rules: CardRules, site: str, amount_first: bool = True) -> DataFrame:
