@@ -193,16 +193,15 @@ fz_alike AS (
 ), fz_sorted AS (
   SELECT fz_alike.*, array_to_string(list_sort(x.parts), ' ') AS sa, array_to_string(list_sort(y.parts), ' ') AS sb
   FROM fz_alike JOIN fz_worded x ON x.store_key = store_a AND x.name = name_a JOIN fz_worded y ON y.store_key = store_b AND y.name = name_b
-), fz_lcs AS (
-  SELECT sa, sb, 0 AS i, list_transform(range(length(sb) + 1), lambda x: 0) AS line
+), fz_masks AS (
+  SELECT sa, sb, (1::HUGEINT << length(sb)) - 1 AS whole, list_transform(string_split(sa, ''), lambda c: list_sum(list_transform(
+    range(1, length(sb) + 1), lambda k: CASE WHEN sb[k] = c THEN 1::HUGEINT << (k - 1) ELSE 0::HUGEINT END))::HUGEINT) AS masks
   FROM (SELECT DISTINCT sa, sb FROM fz_sorted WHERE 200 * least(length(sa), length(sb)) >= 55 * (length(sa) + length(sb)))
-  UNION ALL
-  SELECT sa, sb, i + 1, [0] || list_transform(range(1, length(sb) + 1), lambda j: list_max(list_transform(range(1, j + 1),
-    lambda k: CASE WHEN sa[i + 1] = sb[k] THEN line[k] + 1 ELSE line[k + 1] END)))
-  FROM fz_lcs WHERE i < length(sa)
+), fz_lcs AS (
+  SELECT sa, sb, length(sb) - bit_count(list_reduce(masks, lambda v, m: ((v + (v & m)) | (v - (v & m))) & whole, whole)) AS common FROM fz_masks
 )
-SELECT store_a, name_a, store_b, name_b, """ + rnd("200.0 * line[-1] / (length(sa) + length(sb))", 4) + """ AS score
-FROM fz_sorted JOIN fz_lcs USING (sa, sb) WHERE i = length(sa) AND 200.0 * line[-1] / (length(sa) + length(sb)) >= 55"""
+SELECT store_a, name_a, store_b, name_b, """ + rnd("200.0 * common / (length(sa) + length(sb))", 4) + """ AS score
+FROM fz_sorted JOIN fz_lcs USING (sa, sb) WHERE 200.0 * common / (length(sa) + length(sb)) >= 55"""
 
 
 def _corr(x: str, y: str, source: str, metric: str) -> str:
@@ -401,7 +400,7 @@ def statements() -> dict[str, str]:
     out["top_brands"] = chain("SELECT brand, count(*) AS num_rows FROM processed GROUP BY brand ORDER BY num_rows DESC, brand LIMIT 10", "processed")
     out["extraction_coverage"] = chain("SELECT count(*) AS num_rows, count(*) FILTER (quantity IS NOT NULL AND unit IS NOT NULL) AS with_size, count(price_per_unit) AS with_unit_price FROM processed", "processed")
     out["store_reach"] = chain("SELECT store_key, count(*) AS num_rows, count(DISTINCT city) AS num_cities, count(CASE WHEN old_price IS NOT NULL THEN sku END) AS with_url FROM raw GROUP BY store_key", "raw")
-    out["fuzzy_scores"] = chain(_FUZZY, "allrows").replace("WITH ", "WITH RECURSIVE ", 1)
+    out["fuzzy_scores"] = chain(_FUZZY, "allrows")
     out["replicate_cities"] = chain("""SELECT store_key, t.city, product_name, price FROM deduped d, (SELECT unnest(['automobile', 'building', 'lahore', 'karachi']) AS city) t
   WHERE d.city = 'automobile' AND NOT EXISTS (SELECT 1 FROM raw e WHERE e.store_key = d.store_key AND e.city = t.city)""", "deduped")
     out["merge_partition"] = chain(f"""SELECT store_key, product_name, city, price FROM (SELECT *, row_number() OVER (PARTITION BY store_key, product_name, city ORDER BY src, {ORD}) AS rn
