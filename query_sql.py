@@ -49,7 +49,9 @@ ORD = "ok, ln, sku, sk, disc"
 STEPS: list[tuple[str, str]] = [
     ("raw", """
   WITH j AS (
-    SELECT lower(r.r_name) AS store_key, lower(c.c_mktsegment) AS city, lower(p.p_type) AS category,
+    SELECT lower(r.r_name) AS store_key, lower(c.c_mktsegment) AS segment, lower(p.p_type) AS category,
+      (l.l_orderkey * 3 + l.l_linenumber * 7 + l.l_suppkey) % 101 AS d, p.p_size AS size,
+      floor(round(p.p_retailprice * 100) * (90 + 5 * r.r_regionkey + l.l_linenumber % 7) / 100e0) / 100e0 AS usual,
       replace(p.p_brand, '#', '') AS b, p.p_name AS nm, lower(p.p_type) AS ty, r.r_regionkey AS rk,
       l.l_suppkey AS sk, l.l_linenumber AS ln, l.l_discount AS disc, p.p_retailprice AS rp,
       o.o_orderdate AS scraped_at, l.l_partkey AS sku, l.l_orderkey AS ok,
@@ -60,25 +62,32 @@ STEPS: list[tuple[str, str]] = [
     JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey
     JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)
-  SELECT store_key, city, category,
-    CASE v WHEN 0 THEN concat(b, ' ', nm, ' ', ty)
+  SELECT store_key, CASE WHEN d = 21 THEN 'orchard' ELSE segment END AS city, category,
+    CASE WHEN d = 1 THEN 'ab' WHEN d = 2 THEN '   '
+      WHEN d = 7 THEN concat('Lux Soap ', nm, ' ', sz) WHEN d = 8 THEN concat('Clearasil ', nm, ' ', sz)
+      WHEN d = 9 THEN concat('Caf', chr(233), chr(160), nm, ' ', ty, ' ', sz) WHEN d = 10 THEN concat(b, ' ', chr(64257), 'ne ', nm, ' ', ty, ' ', sz)
+      WHEN d = 11 THEN concat('New! ', b, ' ', nm, ' ', ty, ' ', sz) WHEN d = 12 THEN concat(b, ' hot ', nm, ' ', ty, ' ', sz)
+      WHEN d = 13 THEN concat(b, ' ', nm, ' Best Seller ', ty, ' ', sz) WHEN d = 14 THEN concat(b, ' ', nm, ' ', ty, ' ', sz, ' LIMITED')
+      WHEN d BETWEEN 15 AND 19 THEN concat(b, ' ', nm, ' ', ty, ' ', size, ['mg', ' lb', 'cc', ' rolls', ' sachets'][d - 14])
+      ELSE CASE v WHEN 0 THEN concat(b, ' ', nm, ' ', ty)
       WHEN 1 THEN concat('SALE ', b, '  ', nm, ' ', ty, ' ', sz)
       WHEN 2 THEN concat(b, ' ', nm, ' ', ty, ' lot', cast(sk AS string), ' mix ', sz)
       WHEN 3 THEN concat(replace(store_key, ' ', ''), ' ', nm, ' ', ty, ' ', sz)
       WHEN 4 THEN concat(b, ' ', nm, ' ', ty, ' ', cast(1000 + rk AS string), 'gm')
       WHEN 5 THEN concat(b, ' ', replace(nm, 'e', repeat('e', cast(rk AS int) + 2)), ' ', ty, ' ', sz)
-      ELSE concat(b, ' ', nm, ' ', ty, ' ', sz) END AS product_name,
-    floor(round(rp * 100) * (90 + 5 * rk + ln % 7) / 100e0) / 100e0 AS price,
+      ELSE concat(b, ' ', nm, ' ', ty, ' ', sz) END END AS product_name,
+    CASE d WHEN 3 THEN 0e0 WHEN 4 THEN NULL WHEN 5 THEN floor(usual) * 1000 WHEN 6 THEN floor(usual) * 60 ELSE usual END AS price,
     CASE WHEN disc >= 0.05 THEN floor(round(rp * 100) * (125 + round(disc * 100)) / 100e0) / 100e0 END AS old_price,
     'PKR' AS currency, scraped_at, sku, ok, ln, sk, disc
-  FROM j"""),
+  FROM j, (SELECT unnest([1, 2]) AS copy) WHERE copy = 1 OR d = 30"""),
     ("deduped", f"""
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
     PARTITION BY store_key, city, product_name, price ORDER BY {ORD}) AS rn FROM raw) WHERE rn = 1"""),
     ("named", f"""
   SELECT * EXCLUDE (t, u), trim(regexp_replace(u, '\\s+', ' ', 'g')) AS product_name_clean
   FROM (SELECT *, {_PROMOS} AS u FROM (
-    SELECT *, trim(regexp_replace(coalesce(product_name, ''), '\\s+', ' ', 'g')) AS t FROM deduped))"""),
+    SELECT *, trim(regexp_replace(replace(replace(replace(coalesce(product_name, ''),
+      chr(233), 'e' || chr(769)), chr(160), ' '), chr(64257), 'fi'), '\\s+', ' ', 'g')) AS t FROM deduped))"""),
     ("kept", "SELECT * FROM named WHERE length(product_name_clean) > 2 AND price > 0 AND price <= 100000"),
     ("branded", f"""
   SELECT * EXCLUDE (kb, w1), CASE WHEN kb IS NOT NULL THEN {_title('kb')}
@@ -329,7 +338,7 @@ def statements() -> dict[str, str]:
     out["rppi_rows"] = chain(f"SELECT {_ID}, match_group, {rnd('price / category_mean', 4)} AS rppi FROM matched LEFT JOIN catmean USING (category)", "catmean")
     out["rppi_by_store"] = chain(f"SELECT store_key, {rnd('avg(rppi)', 4)} AS rppi_mean, {rnd('median(rppi)', 4)} AS rppi_median, {rnd('stddev_samp(rppi)', 4)} AS rppi_std FROM (SELECT store_key, {rnd('price / category_mean', 4)} AS rppi FROM matched JOIN catmean USING (category)) GROUP BY store_key", "catmean")
     out["store_city_metrics"] = _store_city()
-    out["price_index_pivot"] = "SELECT * FROM (PIVOT (SELECT store_key, city, avg_category_price_index AS v FROM (" + _store_city() + ")) ON city IN ('automobile', 'building', 'furniture', 'household', 'machinery') USING first(v) GROUP BY store_key)"
+    out["price_index_pivot"] = "SELECT * FROM (PIVOT (SELECT store_key, city, avg_category_price_index AS v FROM (" + _store_city() + ")) ON city IN ('automobile', 'building', 'furniture', 'household', 'machinery', 'orchard') USING first(v) GROUP BY store_key)"
     out["store_averages"] = _averages("store_key")
     out["city_averages"] = _averages("city")
     out["ldi_basic"] = chain(f"SELECT store_key, n AS lowest_price_count, (SELECT count(*) FROM groups) AS total_matched_groups, {rnd('n / (SELECT count(*) FROM groups)', 4)} AS ldi FROM ({_LDI})", "groups")
@@ -388,7 +397,7 @@ def statements() -> dict[str, str]:
     out["overview_kpis"] = chain(f"""SELECT r.*, g.* FROM (SELECT count(*) AS total_products, count(DISTINCT store_key) AS num_stores, count(DISTINCT city) AS num_cities FROM raw) r,
   (SELECT count(*) AS match_groups, CAST(sum(num_rows) AS BIGINT) AS matched_rows, {rnd('avg(price_range)', 6)} AS avg_price_range, max(price_range) AS max_price_range FROM groups) g""", "groups")
     out["rows_by_dimension"] = chain("SELECT store_key, city, count(*) AS num_rows, CAST(grouping(store_key, city) AS BIGINT) AS level FROM raw GROUP BY GROUPING SETS ((store_key), (city), (store_key, city), ())", "raw")
-    out["store_city_crosstab"] = chain("SELECT store_key, " + ", ".join(f"count(*) FILTER (city = '{c}') AS {c}" for c in ("automobile", "building", "furniture", "household", "machinery")) + " FROM raw GROUP BY store_key", "raw")
+    out["store_city_crosstab"] = chain("SELECT store_key, " + ", ".join(f"count(*) FILTER (city = '{c}') AS {c}" for c in ("automobile", "building", "furniture", "household", "machinery", "orchard")) + " FROM raw GROUP BY store_key", "raw")
     hits = "FROM processed WHERE regexp_matches(product_name_clean, 'red (widget|gear)', 'i') AND store_key IN ('africa', 'asia', 'europe') AND city IN ('automobile', 'building')"
     out["search_products"] = chain(f"SELECT product_name_clean, brand, price, store_key, city, category {hits} ORDER BY price, {ORD} LIMIT 200", "processed")
     out["search_stats"] = chain(f"SELECT store_key, count(*) AS num_hits, {rnd('avg(price)', 4)} AS mean_price, min(price) AS min_price, max(price) AS max_price {hits} GROUP BY store_key", "processed")

@@ -47,8 +47,8 @@ def test_batch_writes_all_layers(spark, folder):
     raw = listings(spark, "/root/testdata/sf0.001")
     paths = batch.run(spark, raw, folder, fuzzy=False)
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
-    assert counts["raw"] == 6000 and counts["processed"] == 5674 and counts["matched_products"] == 3925
-    assert counts["match_summary"] == counts["price_dispersion"] == 367
+    assert counts["raw"] == 6053 and counts["processed"] == 5517 and counts["matched_products"] == 3940
+    assert counts["match_summary"] == counts["price_dispersion"] == 463
     assert counts["basic_ldi"] > 0 and counts["rejections"] == 1 and len(paths) >= 30
     matched, processed = layer_files.read_matched_pair(spark, paths["matched_products"], f"{folder}/nothing")
     assert matched.count() == 3925 and processed is None
