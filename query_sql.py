@@ -23,7 +23,7 @@ from shelfscan.functions.fixed_values import (
 
 def rnd(expression: str, digits: int) -> str:
     """Half-up rounding on the decimal value."""
-    return f"CAST(round(CAST(({expression}) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(({expression}) AS DECIMAL(38,9)), {digits}) AS DOUBLE)"
 
 
 def _list(words) -> str:
