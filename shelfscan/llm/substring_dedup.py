@@ -134,7 +134,7 @@ def remove_repeats(
     index = stage(index, "anchors")
     shared = key_filter(index, "anchor", FILTER_BITS)
     contested = key_filter(index.where("contested"), "anchor", FILTER_BITS)
-    keys = stage(_keys(known, width, seed, shared, contested), "blocks")
+    keys = _keys(known, width, seed, shared, contested)  # read twice: cheaper to make again than to store
     owners = (
         keys.groupBy("anchor", "key")
         .agg(F.min("id").alias("owner"), F.max("id").alias("z"))
