@@ -240,7 +240,7 @@ _TIER_CV = _corr("tier_numeric", "cv", "tiered", "brand_tier_vs_cv")
 
 def _pairs(dim: str) -> list[tuple[str, str]]:
     return [
-        ("dims", f"SELECT match_group, {dim} AS d, avg(price) AS m FROM matched GROUP BY ALL"),
+        ("dims", f"SELECT match_group, {dim} AS d, {rnd('avg(price)', 6)} AS m FROM matched WHERE {dim} IS NOT NULL GROUP BY match_group, {dim}"),
         ("pairrows", "SELECT x.d AS a, y.d AS b, x.m AS pa, y.m AS pb FROM dims x JOIN dims y ON x.match_group = y.match_group AND x.d < y.d"),
         ("ranked", """SELECT *, rank() OVER (PARTITION BY a, b ORDER BY pa) + (count(*) OVER (PARTITION BY a, b, pa) - 1) / 2.0 AS ra,
       rank() OVER (PARTITION BY a, b ORDER BY pb) + (count(*) OVER (PARTITION BY a, b, pb) - 1) / 2.0 AS rb FROM pairrows"""),

@@ -69,12 +69,13 @@ def pairwise(matched: DataFrame, dim: str, spearman: bool = True) -> DataFrame:
 
     Long form: a group contributes at most one row per value of ``dim``, so the self
     join on the group is bounded by the number of cities or stores squared. Empty unless
-    more than ten groups have two or more values.
+    more than ten groups have two or more values. Means are rounded to six decimals, so that equal
+    means tie in the ranks whatever the order they were summed in.
     """
     means = stage(
         matched.filter(F.col(dim).isNotNull() & F.col("match_group").isNotNull())
         .groupBy("match_group", dim)
-        .agg(F.avg("price").alias("mean_price")),
+        .agg(round_half_up(F.avg("price"), 6).alias("mean_price")),
         "dim-means",
     )
     wide = means.groupBy("match_group").agg(F.count("*").alias("k")).agg(F.count_if(F.col("k") >= 2)).scalar()
