@@ -7,6 +7,8 @@ real sizes, so that a staged table is broadcast only when its files are small en
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +42,7 @@ def stage_root(spark: SparkSession) -> str:
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="shelfscan-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
