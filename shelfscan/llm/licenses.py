@@ -67,6 +67,7 @@ def template_table(spark: SparkSession) -> DataFrame:
 def _weights(texts: DataFrame, key: str, idf: DataFrame, rarest: Column) -> DataFrame:
     """(key, term, weight of unit length); a term without a frequency weighs as one never seen."""
     counts = texts.select(key, F.explode(_terms(F.col("text"))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = stage(counts, "terms")  # read for the weights and for their norms
     weighed = counts.join(idf, counts["term"] == idf["term_"], "left").select(
         key, "term", (F.col("tf") * F.coalesce("idf", rarest)).alias("w")
     )
