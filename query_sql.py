@@ -198,7 +198,7 @@ _FUZZY = r""", fz_names AS (
 fz_alike AS (
   SELECT a.store_key AS store_a, a.name AS name_a, b.store_key AS store_b, b.name AS name_b
   FROM fz_each a JOIN fz_each b ON a.word = b.word AND a.store_key < b.store_key GROUP BY ALL
-  HAVING count(*) >= 0.5 * greatest(max(a.n), max(b.n))
+  HAVING count(*) >= 0.66 * greatest(max(a.n), max(b.n))
 ), fz_sorted AS (
   SELECT fz_alike.*, array_to_string(list_sort(x.parts), ' ') AS sa, array_to_string(list_sort(y.parts), ' ') AS sb
   FROM fz_alike JOIN fz_worded x ON x.store_key = store_a AND x.name = name_a JOIN fz_worded y ON y.store_key = store_b AND y.name = name_b

@@ -33,7 +33,7 @@ from shelfscan.functions.fixed_values import FUZZY_CUTOFF
 from shelfscan.functions.similarity import similarities
 from shelfscan.sources.staging import stage
 
-OVERLAP = 0.5
+OVERLAP = 0.66
 _LINKS = "pair INT, a BIGINT, b BIGINT, score DOUBLE"
 
 
@@ -72,18 +72,25 @@ def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: fl
     probes = F.slice(F.col("ranked.word"), F.lit(1), size - need + 1)
     rare = stage(
         words.join(ranked.withColumnRenamed("id", "id_"), F.col("id") == F.col("id_")).select(
-            "store_key", "id", "name", "words", F.explode(probes).alias("probe")
+            "store_key",
+            "id",
+            "name",
+            F.transform("words", lambda w: F.xxhash64(w)).alias("words"),
+            F.size("words").alias("n_words"),
+            F.explode(probes).alias("probe"),
         ),
         "probes",
     )
-    side = lambda s: rare.select(*(F.col(c).alias(f"{c}_{s}") for c in rare.columns))
-    shared = F.size(F.array_intersect("words_a", "words_b"))
-    sizes = F.greatest(F.size("words_a"), F.size("words_b"))
+    # small rows, much work for each: all partitions are wanted, so their number is given
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = lambda s: rare.repartition(parts, "probe").select(*(F.col(c).alias(f"{c}_{s}") for c in rare.columns))
+    fewer, more = F.least("n_words_a", "n_words_b"), F.greatest("n_words_a", "n_words_b")
+    shared = (fewer >= overlap * more) & (F.size(F.array_intersect("words_a", "words_b")) >= overlap * more)
     sorted_length = lambda s: F.length(F.array_join(F.sort_array(F.split(F.trim(f"name_{s}"), r"\s+")), " "))
     short, long = F.least(sorted_length("a"), sorted_length("b")), F.greatest(sorted_length("a"), sorted_length("b"))
     joined = (
         side("a")
-        .join(side("b"), (F.col("probe_a") == F.col("probe_b")) & (F.col("store_key_a") < F.col("store_key_b")) & (shared >= overlap * sizes))
+        .join(side("b"), (F.col("probe_a") == F.col("probe_b")) & (F.col("store_key_a") < F.col("store_key_b")) & shared)
         .filter(200 * short >= cutoff * (short + long))
         .select(
             F.col("store_key_a").alias("store_a"), F.col("id_a").alias("a"), "name_a",
