@@ -98,6 +98,6 @@ def test_boost_does_not_depend_on_what_is_matched_already(spark):
     rows = frame(spark, listings)
     matched = rows.withColumn("match_group", F.lit("g")).withColumn("match_pass", F.lit(1))
     assert fuzzy.fuzzy_boost(matched).filter("match_pass = 4").count() == 0
-    boosted = fuzzy.fuzzy_boost(rows.unionByName(matched)).filter("match_pass = 4")
+    boosted = fuzzy.fuzzy_boost(rows.unionByName(matched), overlap=0.5).filter("match_pass = 4")
     groups = {tuple(sorted(r["n"])) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
     assert groups == {("red widget", "red widgett"), ("blue gear", "blue gearr")}

@@ -51,7 +51,7 @@ def test_batch_writes_all_layers(spark, folder):
     assert counts["match_summary"] == counts["price_dispersion"] == 463
     assert counts["basic_ldi"] > 0 and counts["rejections"] == 1 and len(paths) >= 30
     matched, processed = layer_files.read_matched_pair(spark, paths["matched_products"], f"{folder}/nothing")
-    assert matched.count() == 3925 and processed is None
+    assert matched.count() == 3940 and processed is None
 
 
 def test_shop_payload_rules(spark):
