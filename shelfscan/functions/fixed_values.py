@@ -17,32 +17,21 @@ FILLER_WORDS = (
 
 # Known brands; the first one in this order that prefixes a name wins.
 KNOWN_BRANDS = (
-    # tea and coffee
     "Tapal", "Lipton", "Vital", "Supreme", "Tetley", "Nescafe",
-    # dairy
     "Olpers", "Milkpak", "Nurpur", "Haleeb", "Good Milk", "Dairy Queen",
     "Nestle", "Adams",
-    # oil and ghee
     "Dalda", "Habib", "Sufi", "Mezan", "Eva", "Seasons", "Soya Supreme",
-    # rice and flour
     "Guard", "Matco", "Falak", "Sunridge", "Reem",
-    # beverages
     "Pepsi", "Coca Cola", "7Up", "Sprite", "Fanta", "Dew", "Pakola",
     "Sting", "Red Bull", "Tang", "Rooh Afza",
-    # snacks
     "Lays", "Kurkure", "Super Crisp", "Kolson", "Peek Freans", "LU",
     "Bisconni", "Oreo", "Prince",
-    # personal care
     "Safeguard", "Lifebuoy", "Lux", "Dove", "Pantene", "Head Shoulders",
     "Sunsilk", "Clear", "Colgate", "Sensodyne", "Close Up", "Pepsodent",
-    # cleaning
     "Surf Excel", "Ariel", "Bonus", "Brite", "Express Power",
     "Harpic", "Vim", "Dettol",
-    # baby
     "Pampers", "Huggies", "Canbebe", "Baby Dee",
-    # spices
     "National", "Shan", "Mehran",
-    # sauces
     "Mitchell", "Shangrila", "National", "Heinz", "Knorr",
 )
 
