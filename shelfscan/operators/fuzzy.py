@@ -1,12 +1,13 @@
 """Fuzzy links between the names that the key tiers left unmatched.
 
-Definition: two names of different stores are comparable if they share at least ``overlap``
-of the words of the one with more words (distinct words, at least one), and their token-sort similarity
-reaches the cutoff. For every pair of stores, in store order, each name of the first store (most
+Definition: two names of different stores are comparable if their token-sort similarity reaches the
+cutoff. A caller who sets ``overlap`` above 0 asks also that they share at least that part of the words of the
+one with more words (distinct words, at least one), which leaves out most similar names. For every pair of stores, in store order, each name of the first store (most
 listings first) takes the most similar comparable name of the second store that is still free.
 
 How it runs:
-* Comparable names are found by an equi-join that loses none: if two names share ``need`` of a name's n
+* Without ``overlap`` all names of two stores are paired. With it, comparable names are found by an equi-join
+  that loses none: if two names share ``need`` of a name's n
   words, they share one of its n - need + 1 rarest. So only those words of a name are joined.
   Similarity's own bound on lengths drops pairs before they are scored.
 * Candidates are scored once, pair by pair, in Arrow batches.
@@ -16,7 +17,7 @@ How it runs:
 * Pairs of stores whose positions have the same sum share no store and run together.
 * Names a pair has linked are free for no later pair, on either side.
 
-The work follows the number of comparable names. A word that very many names have is joined only for
+Without ``overlap`` the work grows with the square of the names. With it, it follows the number of comparable names. A word that very many names have is joined only for
 names made of such words; adaptive execution splits its partition.
 """
 
@@ -33,7 +34,8 @@ from shelfscan.functions.fixed_values import FUZZY_CUTOFF
 from shelfscan.functions.similarity import similarities
 from shelfscan.sources.staging import stage
 
-OVERLAP = 0.66
+#: No word has to be shared: every pair of names is scored.
+OVERLAP = 0.0
 _LINKS = "pair INT, a BIGINT, b BIGINT, score DOUBLE"
 
 
@@ -60,9 +62,8 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
 
 
-def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
-    """(store_a, a, name_a, store_b, b, name_b, score) of comparable names, each pair of stores once, store_a first by name."""
-    words = names.select("store_key", "id", "name", _words("name").alias("words")).filter(F.size("words") > 0)
+def _probes(words: DataFrame, overlap: float) -> DataFrame:
+    """A row for each name and each of its rarest words, as many as names that share ``overlap`` of their words cannot all lack."""
     each = words.select("id", F.explode("words").alias("word"))
     counts = each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("word", "word_")
     ranked = each.join(counts, F.col("word") == F.col("word_")).groupBy("id").agg(
@@ -70,7 +71,7 @@ def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: fl
     )
     size, need = F.size("ranked"), F.ceil(F.size("ranked") * overlap).cast("int")
     probes = F.slice(F.col("ranked.word"), F.lit(1), size - need + 1)
-    rare = stage(
+    return stage(
         words.join(ranked.withColumnRenamed("id", "id_"), F.col("id") == F.col("id_")).select(
             "store_key",
             "id",
@@ -81,23 +82,34 @@ def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: fl
         ),
         "probes",
     )
+
+
+def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
+    """(store_a, a, name_a, store_b, b, name_b, score) of comparable names, each pair of stores once, store_a first by name."""
+    words = names.select("store_key", "id", "name", _words("name").alias("words")).filter(F.size("words") > 0)
     # small rows, much work for each: all partitions are wanted, so their number is given
     parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = lambda s: rare.repartition(parts, "probe").select(*(F.col(c).alias(f"{c}_{s}") for c in rare.columns))
-    fewer, more = F.least("n_words_a", "n_words_b"), F.greatest("n_words_a", "n_words_b")
-    shared = (fewer >= overlap * more) & (F.size(F.array_intersect("words_a", "words_b")) >= overlap * more)
     sorted_length = lambda s: F.length(F.array_join(F.sort_array(F.split(F.trim(f"name_{s}"), r"\s+")), " "))
     short, long = F.least(sorted_length("a"), sorted_length("b")), F.greatest(sorted_length("a"), sorted_length("b"))
+    stores = F.col("store_key_a") < F.col("store_key_b")
+    if overlap > 0:
+        rare = _probes(words, overlap)
+        side = lambda s: rare.repartition(parts, "probe").select(*(F.col(c).alias(f"{c}_{s}") for c in rare.columns))
+        fewer, more = F.least("n_words_a", "n_words_b"), F.greatest("n_words_a", "n_words_b")
+        shared = (fewer >= overlap * more) & (F.size(F.array_intersect("words_a", "words_b")) >= overlap * more)
+        paired = side("a").join(side("b"), (F.col("probe_a") == F.col("probe_b")) & stores & shared)
+    else:
+        side = lambda s: words.repartition(parts, "id").select(*(F.col(c).alias(f"{c}_{s}") for c in ("store_key", "id", "name")))
+        paired = side("a").join(side("b"), stores)
     joined = (
-        side("a")
-        .join(side("b"), (F.col("probe_a") == F.col("probe_b")) & (F.col("store_key_a") < F.col("store_key_b")) & shared)
-        .filter(200 * short >= cutoff * (short + long))
+        paired.filter(200 * short >= cutoff * (short + long))
         .select(
             F.col("store_key_a").alias("store_a"), F.col("id_a").alias("a"), "name_a",
             F.col("store_key_b").alias("store_b"), F.col("id_b").alias("b"), "name_b",
         )
-        .distinct()
     )
+    if overlap > 0:
+        joined = joined.distinct()  # found by several words
     return joined.mapInArrow(_score, "store_a STRING, a BIGINT, name_a STRING, store_b STRING, b BIGINT, name_b STRING, score DOUBLE").filter(
         F.col("score") >= cutoff
     )

@@ -101,3 +101,36 @@ def test_boost_does_not_depend_on_what_is_matched_already(spark):
     boosted = fuzzy.fuzzy_boost(rows.unionByName(matched), overlap=0.5).filter("match_pass = 4")
     groups = {tuple(sorted(r["n"])) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
     assert groups == {("red widget", "red widgett"), ("blue gear", "blue gearr")}
+
+
+def test_boost_links_every_similar_name_by_default(spark):
+    listings = [
+        ("s1", "red widgett"), ("s2", "red widget"), ("s1", "lux soap"), ("s2", "lux soaps"), ("s1", "coca cola 1.5 l"), ("s2", "cocacola 1.5 l"),
+        ("s1", "dalda cooking oil"), ("s2", "dalda cookng oil 5l"), ("s1", "toothbrush"), ("s2", "tooth-brush"),
+    ]
+    boosted = fuzzy.fuzzy_boost(frame(spark, listings)).filter("match_pass = 4")
+    groups = {frozenset(r["n"]) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
+    assert groups == {frozenset(n for _, n in listings[i : i + 2]) for i in range(0, len(listings), 2)}
+
+
+def test_default_leaves_out_no_similar_pair(spark):
+    rng = random.Random(11)
+    listings = sorted({(s, n) for s in ("s1", "s2", "s3") for n in some_names(rng, 40)})
+    got = [(r["store_a"], r["name_a"], r["store_b"], r["name_b"]) for r in fuzzy.comparable_pairs(fuzzy.unmatched_names(frame(spark, listings))).collect()]
+    assert sorted(got) == sorted((s, a, t, b) for s, a in listings for t, b in listings if s < t and similarity(a, b) >= 55)
+    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)))
+    assert {tuple(r) for r in links.select("store_a", "name_a", "store_b", "name_b").collect()} == greedy_all(listings)
+
+
+def greedy_all(listings):
+    """The definition without a share of words."""
+    stores, taken, links = list(dict.fromkeys(s for s, _ in listings)), set(), set()
+    for i, a in enumerate(stores):
+        for b in stores[i + 1 :]:
+            for name in (n for s, n in listings if s == a and (s, n) not in taken):
+                usable = [n for s, n in listings if s == b and (s, n) not in taken and similarity(name, n) >= 55]
+                if usable:
+                    best = max(usable, key=lambda other: similarity(name, other))
+                    taken |= {(a, name), (b, best)}
+                    links.add((a, name, b, best))
+    return links
