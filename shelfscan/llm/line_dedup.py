@@ -1,21 +1,26 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by repeated passages of lines.
 
-Lines are hashed; a rolling hash over the last ``window`` line hashes ends a chunk where it is divisible by
-``divisor``. Boundaries depend on the lines at hand only, so a passage that was moved,
-or has lines added before it, is cut as before. A chunk of two or more lines that occurs
-again, in another document or the same, is removed there after its bytes have been compared with
-the first occurrence (smallest id, then position). Chunks with one line are left alone.
+Lines are hashed. The unit is a passage of two neighbouring lines that are not blank, with the blank lines between
+them; every line starts one, so passages overlap, and a longer repeated passage is the union of its pairs.
+A pair that occurs again, in another document or the same, is removed there after its bytes have been compared
+with the first occurrence (smallest id, then position); so any repeated passage of two or more lines
+goes, whatever stands around it. A line that is alone in being repeated stays, and so does
+the first occurrence of every line. A pair that shares a line with its first occurrence stays.
+
+``repeated_chunks`` with ``Chunks`` is the coarser form: a rolling hash over the last ``window`` line hashes ends a chunk where
+it is divisible by ``divisor``, and chunks of two or more lines are the units. It sends
+a row for each chunk and misses most short passages.
 
 * null text: stays null, no lines; empty text: one empty line, nothing to remove
-* a chunk with the hash but not the bytes of an earlier one stays
+* a pair or chunk with the hash but not the bytes of an earlier one stays
 * null id: the row stays whole and is no first occurrence for others
-* rows that share an id name one document: equal chunks at the same place of both stay
+* rows that share an id name one document: equal pairs or chunks at the same place of both stay
 * a text of which everything is removed becomes empty; the row stays
 * empty table: empty result; other columns are kept, whatever their names
 
-At scale: hashes are shuffled first, one row per chunk; bodies only of chunks that pass a
+At scale: hashes are shuffled first, one row per pair; bodies only of pairs that pass a
 filter of fixed size holding the repeated hashes; whole texts once, to meet their removal lists. No group
-is gathered; joins on hot chunks can be split.
+is gathered; joins on hot pairs can be split.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscan.llm.bitmaps import key_filter, passes
-from shelfscan.llm.words import Lines, RangeHash, pieces
+from shelfscan.llm.words import NOT_SPACE, Lines, RangeHash, covered, pieces
 from shelfscan.sources.shipping import ship
 from shelfscan.sources.staging import stage
 
@@ -38,6 +43,9 @@ FILTER_BITS = 1 << 26
 class Chunks:
     """Chunks of the rows of a text column: line ranges, row, number in the row, hash."""
 
+    #: Units whose numbers differ by less share lines.
+    reach = 1
+
     def __init__(self, column: pa.Array, window: int = WINDOW, divisor: int = DIVISOR):
         self.lines = lines = Lines(column)
         n = len(lines)
@@ -57,10 +65,27 @@ class Chunks:
         return self.lines.data[self.lines.starts[self.first[chunk]] : self.lines.ends[self.last[chunk]]].tobytes()
 
 
-def _hashes(docs: DataFrame) -> DataFrame:
+class Pairs(Chunks):
+    """Every two neighbouring lines that are not blank, with the blank ones between them."""
+
+    reach = 2
+
+    def __init__(self, column: pa.Array):
+        self.lines = lines = Lines(column)
+        marks = np.append(0, np.cumsum(NOT_SPACE[lines.data]))
+        full = np.flatnonzero(marks[lines.ends] > marks[lines.starts])
+        row = lines.row_of[full]
+        at = np.flatnonzero(row[1:] == row[:-1])
+        self.first, self.last, self.row = full[at], full[at + 1], row[at]
+        self.number = np.arange(len(at)) - np.searchsorted(self.row, self.row)
+        self.hash = RangeHash(lines.hashes())(self.first, self.last + 1)
+        self.several = np.ones(len(at), dtype=bool)
+
+
+def _hashes(docs: DataFrame, units: type[Chunks]) -> DataFrame:
     def rows(batches):
         for batch in pieces(batches, "text"):
-            chunks = Chunks(batch.column("text"))
+            chunks = units(batch.column("text"))
             at = np.flatnonzero(chunks.several)
             ids = batch.column("id").take(pa.array(chunks.row[at]))
             columns = [pa.array(chunks.hash[at].view(np.int64)), ids, pa.array(chunks.number[at])]
@@ -69,10 +94,10 @@ def _hashes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(rows, f"hash long, id {docs.schema['id'].dataType.simpleString()}, number long")
 
 
-def _bodies(docs: DataFrame, repeated) -> DataFrame:
+def _bodies(docs: DataFrame, repeated, units: type[Chunks]) -> DataFrame:
     def rows(batches):
         for batch in pieces(batches, "text", 1 << 21):
-            chunks = Chunks(batch.column("text"))
+            chunks = units(batch.column("text"))
             at = np.flatnonzero(chunks.several & passes(repeated.value, chunks.hash))
             ids = batch.column("id").take(pa.array(chunks.row[at]))
             body = pa.array([chunks.body(i) for i in at.tolist()], type=pa.binary())
@@ -82,29 +107,30 @@ def _bodies(docs: DataFrame, repeated) -> DataFrame:
     return docs.mapInArrow(rows, f"hash long, id {docs.schema['id'].dataType.simpleString()}, number long, body binary")
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, hash, number) of every chunk that equals an earlier one byte by byte."""
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", units: type[Chunks] = Chunks) -> DataFrame:
+    """(id, hash, number) of every unit that equals an earlier one byte by byte."""
     ship(docs.sparkSession)
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
     first = F.min(F.struct("id", "number")).alias("first")
-    owners = _hashes(plain).groupBy("hash").agg(first, F.max(F.struct("id", "number")).alias("latest")).where("first != latest")
+    owners = _hashes(plain, units).groupBy("hash").agg(first, F.max(F.struct("id", "number")).alias("latest")).where("first != latest")
     owners = stage(owners.select(F.col("hash").alias("hash_"), "first"), "owners")
-    bodies = stage(_bodies(plain, key_filter(owners, "hash_", FILTER_BITS)), "bodies")
+    bodies = stage(_bodies(plain, key_filter(owners, "hash_", FILTER_BITS), units), "bodies")
     here = F.struct("id", "number")
     own = bodies.join(owners, (F.col("hash") == F.col("hash_")) & (here == F.col("first")))
     own = own.groupBy(F.col("hash").alias("hash_")).agg(F.min("body").alias("body_"), F.first("first").alias("first"))
     own = stage(own, "own")
     same = (F.col("hash") == F.col("hash_")) & (F.col("body") == F.col("body_")) & (here != F.col("first"))
-    return bodies.join(own, same).select("id", "hash", "number")
+    apart = (F.col("id") != F.col("first.id")) | (F.col("number") - F.col("first.number") >= units.reach)
+    return bodies.join(own, same & apart).select("id", "hash", "number")
 
 
-def _without(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """id, text without the listed chunks, line counts; a chunk is listed by number and hash."""
-    chunks = Chunks(batch.column("text"))
-    lines = chunks.lines
+def _without(batch: pa.RecordBatch, units: type[Chunks]) -> pa.RecordBatch:
+    """id, text without the lines of the listed units, line counts; a unit is listed by number and hash."""
+    found = units(batch.column("text"))
+    lines = found.lines
     data = memoryview(lines.data)
     kept, n_lines, n_removed = [], [], []
-    bounds = np.searchsorted(chunks.row, np.arange(batch.num_rows + 1))
+    bounds = np.searchsorted(found.row, np.arange(batch.num_rows + 1))
     for r, (text, listed) in enumerate(zip(batch.column("text"), batch.column("gone").to_pylist(), strict=True)):
         first, end = int(lines.rows[r]), int(lines.rows[r + 1])
         if not text.is_valid or not listed:
@@ -113,37 +139,41 @@ def _without(batch: pa.RecordBatch) -> pa.RecordBatch:
             n_removed.append(0)
             continue
         gone = {(g["number"], g["hash"]) for g in listed}
-        parts, removed = [], 0
-        for c in range(int(bounds[r]), int(bounds[r + 1])):
-            if chunks.several[c] and (int(chunks.number[c]), int(chunks.hash[c].astype(np.int64))) in gone:
-                removed += int(chunks.last[c] - chunks.first[c]) + 1
-            else:
-                parts.append(bytes(data[lines.starts[chunks.first[c]] : lines.ends[chunks.last[c]]]))
+        at = range(int(bounds[r]), int(bounds[r + 1]))
+        at = [u for u in at if found.several[u] and (int(found.number[u]), int(found.hash[u].astype(np.int64))) in gone]
+        left = ~covered(end - first, found.first[at] - first, found.last[at] + 1 - first)
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], left, [False]]).astype(np.int8))).tolist()
+        parts = [bytes(data[lines.starts[first + a] : lines.ends[first + b - 1]]) for a, b in zip(edges[::2], edges[1::2], strict=True)]
         kept.append(b"\n".join(parts).decode())
         n_lines.append(end - first)
-        n_removed.append(removed)
+        n_removed.append(end - first - int(left.sum()))
     columns = [pa.array(kept, type=pa.string()), pa.array(n_lines, type=pa.int64()), pa.array(n_removed, type=pa.int64())]
     return pa.RecordBatch.from_arrays(columns, ["text", "n_lines", "n_removed"])
 
 
-def _listed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _listed(docs: DataFrame, id_col: str, text_col: str, units: type[Chunks]) -> DataFrame:
     """docs with the removal list of each row in a column of its own."""
-    gone = repeated_chunks(docs, id_col, text_col).groupBy(F.col("id").alias("id__gone")).agg(F.collect_set(F.struct("number", "hash")).alias("list__gone"))
+    gone = repeated_chunks(docs, id_col, text_col, units).groupBy(F.col("id").alias("id__gone")).agg(F.collect_set(F.struct("number", "hash")).alias("list__gone"))
     return docs.join(gone, docs[id_col] == F.col("id__gone"), "left").drop("id__gone")
 
 
-def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For every row: id, text without its repeated passages, n_lines, n_removed."""
+    return remove_repeated_chunks(docs, id_col, text_col, Pairs)
+
+
+def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", units: type[Chunks] = Chunks) -> DataFrame:
     """For every row: id, text (what is left), n_lines, n_removed."""
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def rows(batches):
         for batch in pieces(batches, "text"):
             batch = batch.rename_columns(["id", "text", "gone"])
-            left = _without(batch)
+            left = _without(batch, units)
             yield pa.RecordBatch.from_arrays([batch.column("id"), *left.columns], ["id", *left.schema.names])
 
     schema = f"id {plain.schema['id'].dataType.simpleString()}, text string, n_lines long, n_removed long"
-    return _listed(plain, "id", "text").mapInArrow(rows, schema)
+    return _listed(plain, "id", "text", units).mapInArrow(rows, schema)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
@@ -153,10 +183,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def rows(batches):
         for batch in pieces(batches, text_col):
             work = pa.RecordBatch.from_arrays([batch.column(text_col), batch.column("list__gone")], ["text", "gone"])
-            left = _without(work).column("text")
+            left = _without(work, Pairs).column("text")
             yield pa.RecordBatch.from_arrays([left if c == text_col else batch.column(c) for c in names], names)
 
-    out = _listed(docs, id_col, text_col).mapInArrow(rows, docs.schema)
+    out = _listed(docs, id_col, text_col, Pairs).mapInArrow(rows, docs.schema)
     if size_col in names:
         out = out.withColumn(size_col, F.char_length(text_col).cast(docs.schema[size_col].dataType))
     return out

@@ -1,4 +1,4 @@
-from shelfscan.llm.line_dedup import DIVISOR, WINDOW, deduplicated, remove_repeated_chunks
+from shelfscan.llm.line_dedup import DIVISOR, WINDOW, deduplicated, remove_repeated_chunks, remove_repeated_passages
 
 MASK, BASE = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
@@ -74,3 +74,38 @@ def test_added_lines_do_not_shift_boundaries(spark):
 def test_stage_keeps_the_columns(awkward):
     out = deduplicated(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()
+
+
+def brute_pairs(rows):
+    """Rows with lines left and removed, one pair of lines after the other."""
+    first, found = {}, []
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        full = [n for n, line in enumerate(lines) if line.strip(" \t\n\v\f\r")]
+        for number, (a, b) in enumerate(zip(full, full[1:], strict=False)):
+            where = first.setdefault("\n".join(lines[a : b + 1]), (i, number))
+            if where[0] != i or number - where[1] >= 2:
+                found.append((i, a, b))
+    gone = {(i, n) for i, a, b in found for n in range(a, b + 1)}
+    kept = {i: [line for n, line in enumerate(text.split("\n")) if (i, n) not in gone] for i, text in rows}
+    return sorted((i, "\n".join(kept[i]), text.count("\n") + 1, text.count("\n") + 1 - len(kept[i])) for i, text in rows)
+
+
+def passages(docs):
+    return sorted(tuple(r) for r in remove_repeated_passages(docs).collect())
+
+
+def test_every_short_passage_is_found(spark):
+    planted = [[f"passage {p} line {n} of it" for n in range(2 + p % 2)] for p in range(40)]
+    rows = [(i, "\n".join([f"before {i}", *planted[i % 40], f"after {i}", "", f"end {i}"])) for i in range(120)]
+    rows += [(200, "same\nsame\nsame\nsame\nsame"), (201, "a\n\nb\n\n\nc"), (202, "x\na\n\nb"), (203, "\n\n\n"), (204, "a\nb")]
+    got = passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute_pairs(rows)
+    left = {r[0]: r[1] for r in got}
+    assert all(left[i] == f"before {i}\nafter {i}\n\nend {i}" for i in range(40, 120)) and left[200] == "same\nsame" and left[202] == "x"
+
+
+def test_passages_of_documents_equal_brute_force(spark, awkward, nothing):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null")
+    assert passages(docs) == brute_pairs([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert remove_repeated_passages(nothing).collect() == [] and remove_repeated_passages(awkward).count() == awkward.count()
