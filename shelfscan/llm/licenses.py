@@ -25,8 +25,53 @@ from pyspark.sql import functions as F
 
 from shelfscan.sources.staging import stage
 
-#: Usual short statements of licences.
+#: SPDX identifiers by licence, plain notices with each year, whole texts, and usual short statements of licences.
+SPDX = (
+    ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("BSD-2-Clause", "BSD-2-Clause"), ("BSD-3-Clause", "BSD-3-Clause"), ("ISC", "ISC"),
+    ("GPL-2.0", "GPL-2.0"), ("GPL-2.0", "GPL-2.0-only"), ("GPL-2.0", "GPL-2.0-or-later"), ("GPL-2.0", "GPL-2.0+"),
+    ("GPL-3.0", "GPL-3.0"), ("GPL-3.0", "GPL-3.0-only"), ("GPL-3.0", "GPL-3.0-or-later"), ("GPL-3.0", "GPL-3.0+"),
+    ("LGPL-2.1", "LGPL-2.1"), ("LGPL-2.1", "LGPL-2.1-only"), ("LGPL-2.1", "LGPL-2.1-or-later"),
+    ("LGPL-3.0", "LGPL-3.0"), ("LGPL-3.0", "LGPL-3.0-only"), ("LGPL-3.0", "LGPL-3.0-or-later"),
+    ("AGPL-3.0", "AGPL-3.0"), ("AGPL-3.0", "AGPL-3.0-only"), ("AGPL-3.0", "AGPL-3.0-or-later"),
+    ("MPL-2.0", "MPL-2.0"), ("EPL-1.0", "EPL-1.0"), ("EPL-2.0", "EPL-2.0"), ("CDDL-1.0", "CDDL-1.0"), ("BSL-1.0", "BSL-1.0"), ("Zlib", "Zlib"),
+    ("CC-BY-4.0", "CC-BY-4.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), ("CC0-1.0", "CC0-1.0"),
+    ("Unlicense", "Unlicense"), ("WTFPL", "WTFPL"), ("0BSD", "0BSD"), ("Apache-2.0 OR MIT", "Apache-2.0 OR MIT"),
+)
+YEARS = range(1990, 2031)
+_PERMIT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+    "in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = (
+    *((name, f"SPDX-License-Identifier: {spdx}") for name, spdx in SPDX),
+    ("Proprietary", "All rights reserved."),
+    ("Proprietary", "Copyright. All rights reserved."),
+    *(("Proprietary", f"Copyright {year} All rights reserved.") for year in YEARS),
+    *(("Proprietary", f"Copyright (c) {year} Inc. All rights reserved.") for year in YEARS),
+    ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+     'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+     "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+     "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+     "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+     "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+     "IN THE SOFTWARE."),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+     "derived from this software without specific prior written permission. " + _BSD_END),
+    ("ISC", _PERMIT + ", provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", _PERMIT + "."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License. See LICENSE file in the project root for license information."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),

@@ -62,3 +62,29 @@ def test_awkward_rows(awkward, nothing, spark):
 def test_plan_is_native(awkward):
     plan = scan_licenses(awkward, "doc_id", F.col("lang"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_lines_of_the_given_tables_and_plain_notices(spark):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "All rights reserved.": "Proprietary",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Released under the MIT License.": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "# Copyright 2020 Acme Inc. All rights reserved.": "Proprietary",
+        "// Copyright (c) 2013 Acme Inc. All rights reserved.": "Proprietary",
+        "# SPDX-License-Identifier: Unheard-of": None,
+        "see the license of the other file": None,
+    }
+    got = scan(spark, [(i, f"f{i}/x", "code\n" + line + "\nmore code") for i, line in enumerate(lines)])
+    assert [got[i]["license"] for i in range(len(lines))] == list(lines.values())
+
+
+def test_given_tables_leave_no_licence_line_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = scan_licenses(docs.select("doc_id", "text"), "doc_id", F.col("doc_id").cast("string")).select("id", "license")
+    rows = docs.where(F.col("text").contains("All rights reserved.")).join(found, F.col("doc_id") == F.col("id")).select("license").collect()
+    assert rows and all(r["license"] is not None for r in rows)
