@@ -1,6 +1,7 @@
 """Secret scans: a broad candidate rule, and a random forest that removes its false positives.
 
-Candidates are runs of 16 or more of ``A-Za-z0-9+/_-`` (with ``=`` at the end) that hold a digit or stand
+Candidates are values that follow a keyword and ``=`` or ``:`` up to white space or the closing quote, of any length and with any marks,
+and runs of 16 or more of ``A-Za-z0-9+/_-`` (with ``=`` at the end) that hold a digit or stand
 near a keyword. A candidate is described by its length, its character transitions (changes
 between upper case, lower case, digits and marks), shares of digits, upper case and
 distinct characters, the share of it that a dictionary of common pieces covers, its path, and the
@@ -34,6 +35,12 @@ MIN_LENGTH = 16
 SHAPE = rf"[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}={{0,2}}"
 #: Words that stand near secrets, near look-alikes, and near made-up examples; parts of ordinary words.
 KEYWORDS = r"(?i)token|secret|passw|pwd|api.?key|access.?key|private.?key|credential|auth|bearer"
+#: A keyword and = or :, then a value that ends in the last word of the text; quoted, or up to white space, a quote or the next parameter.
+ASSIGNED = (
+    KEYWORDS.replace("(?i)", "(?i)(?:") + r""")[\w.\-]*["'\])]*\s*(?:=>|[:=]+)\s*(?:(?:bearer|basic)\s+)?"""
+    r"""["'`]?((?<=")[^"\s]+|(?<=')[^'\s]+|(?<=`)[^`\s]+|(?<!["'`])(?:(?!&\w+=)[^\s"'`])*[^\s"'`,;)}\]:=])(?=\S*$)"""
+)
+ASSIGNMENT = KEYWORDS.replace("(?i)", "(?i)(?:") + r""")[\w.\-]*["'\])]*\s*[:=]"""
 HASHES = r"(?i)commit|sha\d*|md5|checksum|digest|etag|uuid|guid|revision|integrity"
 EXAMPLES = r"(?i)example|sample|dummy|fake|test|placeholder|your|xxx"
 CONFIG_PATH = r"(?i)\.(env|ya?ml|ini|toml|cfg|conf|properties|json)$|(^|/)\.?(config|settings|secrets?)"
@@ -59,16 +66,21 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     around = lambda i: F.coalesce(F.get("words", i), F.lit(""))
 
     def found(word: Column, i: Column) -> Column:
-        near = F.struct(
-            i.alias("at"), word.alias("word"), F.concat_ws(" ", around(i - 2), around(i - 1)).alias("before"), around(i + 1).alias("after")
-        )
-        return F.when((F.length(word) >= MIN_LENGTH) & word.rlike(SHAPE), near)
+        before = F.concat_ws(" ", around(i - 2), around(i - 1))
+        run = (F.length(word) >= MIN_LENGTH) & word.rlike(SHAPE)
+        given = F.when(F.col("assigns"), F.regexp_extract_all(F.concat_ws(" ", before, word), F.lit(ASSIGNED), F.lit(1))).otherwise(F.array().cast("array<string>"))
+        near = F.struct(i.alias("at"), word.alias("word"), before.alias("before"), around(i + 1).alias("after"), given.alias("given"))
+        return F.when(run | (F.size(given) > 0), near)
 
     hits = F.filter(F.transform("words", found), lambda hit: hit.isNotNull())
-    rows = plain.where(F.col("text").rlike(SHAPE)).select("id", "path", words.alias("words")).select("id", "path", F.explode(hits).alias("hit"))
-    rows = rows.select("id", "path", "hit.*").withColumn("value", F.explode(F.regexp_extract_all("word", F.lit(SHAPE), F.lit(0))))
+    assigns = F.col("text").rlike(ASSIGNMENT)
+    rows = plain.where(F.col("text").rlike(SHAPE) | assigns).select("id", "path", words.alias("words"), assigns.alias("assigns"))
+    rows = rows.select("id", "path", F.explode(hits).alias("hit")).select("id", "path", "hit.*")
+    runs = F.filter(F.regexp_extract_all("word", F.lit(SHAPE), F.lit(0)), lambda run: ~F.exists("given", lambda g: g.contains(run)))
+    rows = rows.withColumn("value", F.explode(F.concat(F.array_distinct("given"), runs)))
     rows = rows.withColumn("lead", F.expr("substring_index(word, value, 1)"))
-    return rows.where(F.col("value").rlike(r"\d") | F.concat_ws(" ", "before", "lead").rlike(KEYWORDS)).drop("word")
+    known = F.array_contains("given", F.col("value")) | F.col("value").rlike(r"\d") | F.concat_ws(" ", "before", "lead").rlike(KEYWORDS)
+    return rows.where(known).drop("word", "given")
 
 
 def _share(value: Column, left_out: str) -> Column:

@@ -66,3 +66,14 @@ def test_plan_is_native(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = candidates(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_values_after_a_keyword_are_whole_candidates(spark):
+    texts = {
+        'password = "S3cr3t!pass"': ["S3cr3t!pass"], "db_pwd=hunter2": ["hunter2"], "passwd: p@ss$word-2024": ["p@ss$word-2024"],
+        "token=eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.c2ln": ["eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.c2ln"],
+        '{"password":"a!b","token":"c?d"}': ["a!b", "c?d"], "a plain short word=abc": [],
+    }
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows = candidates(docs).collect()
+    assert [sorted(r["value"] for r in rows if r["id"] == i) for i in range(len(texts))] == list(texts.values())
