@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfscan.llm import op1_query, op2_query, op3_query, op4_query, op5_query, op6_query, op7_query, op8_query, op9_query, op10_query, op11_query, op13_query
+from shelfscan.llm import op1_query, op2_query, op3_query, op4_query, op5_query, op6_query, op7_query, op8_query, op9_query, op10_query, op11_query, op12_query, op13_query
 
-_MODULES = (op1_query, op2_query, op3_query, op4_query, op5_query, op6_query, op7_query, op8_query, op9_query, op10_query, op11_query, op13_query)
+_MODULES = (op1_query, op2_query, op3_query, op4_query, op5_query, op6_query, op7_query, op8_query, op9_query, op10_query, op11_query, op12_query, op13_query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
