@@ -190,27 +190,51 @@ def chain(sql: str, upto: str, extra: list[tuple[str, str]] = ()) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in steps) + "\n" + sql
 
 
-_FUZZY = r""", fz_names AS (
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def _fuzzy() -> str:
+    """Most similar name of every later store. Character counts bound what two names share; the similarity is computed where
+    the bound is not below the similarity of the pair with the highest bound."""
+    counts = ", ".join(f"length(s) - length(replace(s, '{c}', '')) AS c{i}" for i, c in enumerate(_LETTERS))
+    rest = "n - (" + " + ".join(f"c{i}" for i in range(len(_LETTERS))) + ")"
+    shared = " + ".join(f"least(a.c{i}, b.c{i})" for i in range(len(_LETTERS) + 1))
+
+    def scored(name: str, pairs: str) -> str:
+        # longest common subsequence with one addition per character; places of b's characters are bits
+        step = "((v + (v & m)) | (v - (v & m))) & ((1::HUGEINT << y.n) - 1)"
+        return f"""{name} AS MATERIALIZED (
+  SELECT a, b, store_b, 200.0 * (y.n - bit_count(list_reduce(list_select(masks, x.codes), lambda v, m: {step}, (1::HUGEINT << y.n) - 1)))
+    / total AS score
+  FROM {pairs} p JOIN fz_codes x ON x.k = p.a JOIN fz_sorted y ON y.k = p.b JOIN fz_masks z ON z.k = p.b
+)"""
+
+    return rf""", fz_names AS (
   SELECT DISTINCT store_key, product_name_clean AS name FROM allrows WHERE match_group IS NULL AND product_name_clean IS NOT NULL
-), fz_worded AS (
-  SELECT *, list_filter(regexp_split_to_array(name, '\s+'), lambda w: w <> '') AS parts FROM fz_names
-), fz_each AS (SELECT store_key, name, len(list_distinct(parts)) AS n, unnest(list_distinct(parts)) AS word FROM fz_worded),
-fz_alike AS (
-  SELECT a.store_key AS store_a, a.name AS name_a, b.store_key AS store_b, b.name AS name_b
-  FROM fz_each a JOIN fz_each b ON a.word = b.word AND a.store_key < b.store_key GROUP BY ALL
-  HAVING count(*) >= 0.66 * greatest(max(a.n), max(b.n))
-), fz_sorted AS (
-  SELECT fz_alike.*, array_to_string(list_sort(x.parts), ' ') AS sa, array_to_string(list_sort(y.parts), ' ') AS sb
-  FROM fz_alike JOIN fz_worded x ON x.store_key = store_a AND x.name = name_a JOIN fz_worded y ON y.store_key = store_b AND y.name = name_b
-), fz_masks AS (
-  SELECT sa, sb, (1::HUGEINT << length(sb)) - 1 AS whole, list_transform(string_split(sa, ''), lambda c: list_sum(list_transform(
-    range(1, length(sb) + 1), lambda k: CASE WHEN sb[k] = c THEN 1::HUGEINT << (k - 1) ELSE 0::HUGEINT END))::HUGEINT) AS masks
-  FROM (SELECT DISTINCT sa, sb FROM fz_sorted WHERE 200 * least(length(sa), length(sb)) >= 55 * (length(sa) + length(sb)))
-), fz_lcs AS (
-  SELECT sa, sb, length(sb) - bit_count(list_reduce(masks, lambda v, m: ((v + (v & m)) | (v - (v & m))) & whole, whole)) AS common FROM fz_masks
-)
-SELECT store_a, name_a, store_b, name_b, """ + rnd("200.0 * common / (length(sa) + length(sb))", 4) + """ AS score
-FROM fz_sorted JOIN fz_lcs USING (sa, sb) WHERE 200.0 * common / (length(sa) + length(sb)) >= 55"""
+), fz_sorted AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY name, store_key) AS k, *, length(s) AS n FROM (SELECT *,
+    array_to_string(list_sort(list_filter(regexp_split_to_array(name, '\s+'), lambda w: w <> '')), ' ') AS s FROM fz_names)
+), fz_counted AS (SELECT *, {counts} FROM fz_sorted),
+fz_bags AS MATERIALIZED (SELECT *, {rest} AS c{len(_LETTERS)} FROM fz_counted),
+fz_placed AS (SELECT k, unnest(string_split(s, '')) AS letter, unnest(range(0, n)) AS i FROM fz_sorted WHERE n > 0),
+fz_letters AS MATERIALIZED (
+  SELECT letter, row_number() OVER (ORDER BY letter) AS code FROM (SELECT DISTINCT letter FROM fz_placed)
+), fz_codes AS MATERIALIZED (SELECT k, list(code ORDER BY i) AS codes FROM fz_placed JOIN fz_letters USING (letter) GROUP BY k),
+fz_bits AS (SELECT k, code, sum(1::HUGEINT << i)::HUGEINT AS bits FROM fz_placed JOIN fz_letters USING (letter) GROUP BY k, code),
+fz_masks AS MATERIALIZED (
+  SELECT k, list(coalesce(bits, 0)::HUGEINT ORDER BY code) AS masks
+  FROM (SELECT k, code FROM fz_sorted, fz_letters) LEFT JOIN fz_bits USING (k, code) GROUP BY k
+), fz_bound AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT a.k AS a, b.k AS b, b.store_key AS store_b, a.n + b.n AS total, 200.0 * ({shared}) / (a.n + b.n) AS bound
+    FROM fz_bags a JOIN fz_bags b ON a.store_key < b.store_key WHERE a.n > 0 AND b.n > 0
+  ) WHERE bound >= 55
+), fz_first AS (SELECT a, arg_max(b, bound) AS b, store_b, arg_max(total, bound) AS total FROM fz_bound GROUP BY a, store_b),
+{scored("fz_floor", "fz_first")},
+{scored("fz_near", "(SELECT e.* FROM fz_bound e JOIN fz_floor f USING (a, store_b) WHERE e.bound >= f.score - 1e-6)")}
+SELECT x.store_key AS store_a, x.name AS name_a, y.store_key AS store_b, y.name AS name_b, {rnd("score", 4)} AS score
+FROM (SELECT a, b, score, row_number() OVER (PARTITION BY a, store_b ORDER BY score DESC, b) AS place FROM fz_near WHERE score >= 55)
+JOIN fz_sorted x ON x.k = a JOIN fz_sorted y ON y.k = b WHERE place = 1"""
 
 
 def _corr(x: str, y: str, source: str, metric: str) -> str:
@@ -409,7 +433,7 @@ def statements() -> dict[str, str]:
     out["top_brands"] = chain("SELECT brand, count(*) AS num_rows FROM processed GROUP BY brand ORDER BY num_rows DESC, brand LIMIT 10", "processed")
     out["extraction_coverage"] = chain("SELECT count(*) AS num_rows, count(*) FILTER (quantity IS NOT NULL AND unit IS NOT NULL) AS with_size, count(price_per_unit) AS with_unit_price FROM processed", "processed")
     out["store_reach"] = chain("SELECT store_key, count(*) AS num_rows, count(DISTINCT city) AS num_cities, count(CASE WHEN old_price IS NOT NULL THEN sku END) AS with_url FROM raw GROUP BY store_key", "raw")
-    out["fuzzy_scores"] = chain(_FUZZY, "allrows")
+    out["fuzzy_scores"] = chain(_fuzzy(), "allrows")
     out["replicate_cities"] = chain("""SELECT store_key, t.city, product_name, price FROM deduped d, (SELECT unnest(['automobile', 'building', 'lahore', 'karachi']) AS city) t
   WHERE d.city = 'automobile' AND NOT EXISTS (SELECT 1 FROM raw e WHERE e.store_key = d.store_key AND e.city = t.city)""", "deduped")
     out["merge_partition"] = chain(f"""SELECT store_key, product_name, city, price FROM (SELECT *, row_number() OVER (PARTITION BY store_key, product_name, city ORDER BY src, {ORD}) AS rn

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _CELLS = 1 << 22
+_WORD = 64
 
 
 def sorted_tokens(name: str) -> str:
@@ -19,15 +20,100 @@ def _codes(texts: list[str], filler: int) -> np.ndarray:
     return out
 
 
+class CharacterBags:
+    """Texts with their character counts, and what two of them can have in common at most."""
+
+    BUCKETS, LEVELS = 128, 6
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        self.codes = _codes(texts, -1)
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.counts = np.zeros((len(texts), self.BUCKETS), dtype=np.int64)
+        row, column = np.nonzero(self.codes >= 0)
+        np.add.at(self.counts, (row, self._buckets(self.codes[row, column])), 1)
+        self._spread = None
+
+    @staticmethod
+    def _buckets(codes: np.ndarray) -> np.ndarray:
+        """Printable ASCII each for itself, everything else in 32 buckets."""
+        return np.where((codes >= 32) & (codes < 127), codes - 32, 96 + codes % 32)
+
+    @classmethod
+    def bucket(cls, character: str) -> int:
+        return int(cls._buckets(np.array([ord(character)]))[0])
+
+    def spread(self) -> tuple[np.ndarray, np.ndarray]:
+        """A column for each bucket and number of repeats (1 where a text has as many), and the characters beyond."""
+        if self._spread is None:
+            levels = [(self.counts >= j).astype(np.float32) for j in range(1, self.LEVELS + 1)]
+            self._spread = np.concatenate(levels, axis=1), np.maximum(self.counts - self.LEVELS, 0).sum(axis=1)
+        return self._spread
+
+    def bounds(self, other: CharacterBags) -> np.ndarray:
+        """Upper bounds of the similarity of every text with every text of ``other``."""
+        mine, beyond = self.spread()
+        theirs, theirs_beyond = other.spread()
+        used = mine.any(axis=0) & theirs.any(axis=0)
+        shared = mine[:, used] @ theirs[:, used].T + np.minimum(beyond[:, None], theirs_beyond[None, :])
+        total = self.lengths[:, None] + other.lengths[None, :]
+        # a little more, for the rounding of the division
+        return np.where(total > 0, 200.0 * shared / np.maximum(total, 1), 100.0) + 1e-6
+
+
+def common_lengths(left: CharacterBags, right: CharacterBags, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Longest common subsequence of left[rows[i]] and right[columns[i]]."""
+    out = np.zeros(len(rows), dtype=np.int64)
+    short = right.lengths[columns] <= _WORD
+    words = np.flatnonzero(short)
+    if len(words):
+        masks = _Masks(right)
+        for at in range(0, len(words), 1 << 16):
+            part = words[at : at + (1 << 16)]
+            out[part] = masks.common(left, rows[part], columns[part])
+    long = np.flatnonzero(~short)
+    if len(long):
+        step = max(1, _CELLS // (1 + int(right.lengths.max())))
+        for at in range(0, len(long), step):
+            part = long[at : at + step]
+            out[part] = _common([left.texts[i] for i in rows[part]], [right.texts[j] for j in columns[part]])
+    return out
+
+
+class _Masks:
+    """Of every text of up to 64 characters, the places of each character as bits of one word."""
+
+    def __init__(self, bags: CharacterBags):
+        codes = bags.codes[:, :_WORD]
+        self.alphabet, number = np.unique(codes, return_inverse=True)
+        number = number.reshape(codes.shape)
+        self.bits = np.zeros((len(self.alphabet) + 1, len(codes)), dtype=np.uint64)
+        row, column = np.nonzero(codes >= 0)
+        np.bitwise_or.at(self.bits, (number[row, column], row), np.uint64(1) << column.astype(np.uint64))
+        size = np.minimum(bags.lengths, _WORD).astype(np.uint64)
+        self.whole = np.where(size == _WORD, ~np.uint64(0), (np.uint64(1) << (size % np.uint64(_WORD))) - np.uint64(1))
+
+    def common(self, left: CharacterBags, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """One addition per character of the left texts, for all pairs together; cleared bits count the sequence."""
+        place = np.minimum(np.searchsorted(self.alphabet, left.codes), len(self.alphabet) - 1)
+        number = np.where(self.alphabet[place] == left.codes, place, len(self.alphabet))
+        number[left.codes < 0] = len(self.alphabet)  # no bits: nothing changes
+        open_ = np.full(len(rows), ~np.uint64(0))
+        for step in range(int(left.lengths[rows].max(initial=0))):
+            mask = self.bits[number[rows, step], columns]
+            hit = open_ & mask
+            open_ = (open_ + hit) | (open_ - hit)
+        return np.bitwise_count(~open_ & self.whole[columns])
+
+
 def similarities(left: list[str], right: list[str]) -> np.ndarray:
     """Similarity of left[i] and right[i]; two empty names are equal."""
     if not left:
         return np.empty(0)
-    a_texts, b_texts = [sorted_tokens(t) for t in left], [sorted_tokens(t) for t in right]
-    total = np.array([len(a) + len(b) for a, b in zip(a_texts, b_texts, strict=True)])
-    step = max(1, _CELLS // (1 + max(map(len, b_texts))))
-    common = [_common(a_texts[i : i + step], b_texts[i : i + step]) for i in range(0, len(left), step)]
-    return np.where(total > 0, 200.0 * np.concatenate(common) / np.maximum(total, 1), 100.0)
+    a, b = CharacterBags([sorted_tokens(t) for t in left]), CharacterBags([sorted_tokens(t) for t in right])
+    each = np.arange(len(left))
+    total = a.lengths + b.lengths
+    return np.where(total > 0, 200.0 * common_lengths(a, b, each, each) / np.maximum(total, 1), 100.0)
 
 
 def _common(left: list[str], right: list[str]) -> np.ndarray:

@@ -1,41 +1,43 @@
 """Fuzzy links between the names that the key tiers left unmatched.
 
-Definition: two names of different stores are comparable if their token-sort similarity reaches the
-cutoff. A caller who sets ``overlap`` above 0 asks also that they share at least that part of the words of the
-one with more words (distinct words, at least one), which leaves out most similar names. For every pair of stores, in store order, each name of the first store (most
-listings first) takes the most similar comparable name of the second store that is still free.
+Definition: for every pair of stores, in store order, each name of the first store (most listings first) takes the
+most similar name of the second store that is still free, if their token-sort similarity reaches the cutoff (ties: the name with more listings).
 
 How it runs:
-* Without ``overlap`` all names of two stores are paired. With it, comparable names are found by an equi-join
-  that loses none: if two names share ``need`` of a name's n
-  words, they share one of its n - need + 1 rarest. So only those words of a name are joined.
-  Similarity's own bound on lengths drops pairs before they are scored.
-* Candidates are scored once, pair by pair, in Arrow batches.
+
+* A name's best partners are searched, not scored pair by pair. Names are put into blocks by a signature of their characters, so
+  that a block holds similar names. A block of one store meets the blocks of the other, nearest signatures first. What two names can share at most
+  follows from their character counts; only where that exceeds a name's worst kept partner is the
+  similarity computed. Nothing is lost: the bound is never below the similarity.
 * "Takes the best that is still free, in order" is the stable matching in which every
-  name of the second store prefers the earliest proposer. It is found by rounds of
-  proposals over tables.
+  name of the second store prefers the earliest proposer. It is found by rounds over tables: open names ask the best of their list
+  that no earlier name holds. A name whose list ends searches again, among what it could still get.
 * Pairs of stores whose positions have the same sum share no store and run together.
 * Names a pair has linked are free for no later pair, on either side.
 
-Without ``overlap`` the work grows with the square of the names. With it, it follows the number of comparable names. A word that very many names have is joined only for
-names made of such words; adaptive execution splits its partition.
+Block pairs grow with the square of the number of blocks; each block is sent to a task once per block it meets.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfscan.functions.fixed_values import FUZZY_CUTOFF
-from shelfscan.functions.similarity import similarities
+from shelfscan.functions.similarity import CharacterBags, common_lengths, sorted_tokens
+from shelfscan.sources.shipping import ship
 from shelfscan.sources.staging import stage
 
-#: No word has to be shared: every pair of names is scored.
-OVERLAP = 0.0
+#: Partners kept for a name, and names of a block.
+LIST, BLOCK = 128, 512
+_FREE = (1 << 63) - 1
+_LISTS = "pair INT, a BIGINT, bs ARRAY<BIGINT>, scores ARRAY<DOUBLE>, more BOOLEAN"
 _LINKS = "pair INT, a BIGINT, b BIGINT, score DOUBLE"
 
 
@@ -52,125 +54,199 @@ def unmatched_names(rows: DataFrame, name: str = "product_name_clean") -> DataFr
     return stage(names.sort(*order).withColumn("id", F.monotonically_increasing_id()), "names")
 
 
-def _words(name: str) -> Column:
-    return F.array_distinct(F.filter(F.split(name, r"\s+"), lambda w: w != ""))
-
-
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        scores = similarities(batch.column("name_a").to_pylist(), batch.column("name_b").to_pylist())
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
-
+def _signature(names: list[str]) -> np.ndarray:
+    """Names with similar characters get near numbers: which of the commonest letters and digits they hold often."""
+    bags = CharacterBags(names)
+    out = np.zeros(len(names), dtype=np.int64)
+    for character in "eaolnrtisdmcgp0123456789":
+        out = out << 2 | np.minimum(bags.counts[:, CharacterBags.bucket(character)], 3)
+    return out
+
+
+def _blocks(names: DataFrame) -> DataFrame:
+    """Rows (pair, code, ids, names, holders), each with up to BLOCK names of a pair that are neighbours by signature."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [sorted_tokens(t) for t in batch.column("name").to_pylist()]
+            columns = [batch.column("pair"), batch.column("id"), pa.array(texts, type=pa.string()), batch.column("holder"), pa.array(_signature(texts))]
+            yield pa.RecordBatch.from_arrays(columns, ["pair", "id", "name", "holder", "code"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = batch.column("pair").to_numpy()
+            cuts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.empty(0, dtype=int)
+            starts = sorted({s for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pair)], strict=True) for s in range(a, b, BLOCK)})
+            spans = list(zip(starts, [*starts[1:], len(pair)], strict=True))
+            lists = {c: [batch.column(c).slice(a, b - a).to_pylist() for a, b in spans] for c in ("id", "name", "holder")}
+            first = batch.take(pa.array(starts, type=pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    first.column("pair"), first.column("code"), pa.array(lists["id"], type=pa.list_(pa.int64())),
+                    pa.array(lists["name"], type=pa.list_(pa.string())), pa.array(lists["holder"], type=pa.list_(pa.int64())),
+                ],
+                ["pair", "code", "ids", "names", "holders"],
+            )
+
+    coded_rows = names.mapInArrow(coded, "pair INT, id BIGINT, name STRING, holder BIGINT, code BIGINT")
+    order = ["pair", "code", "id"]
+    rows = coded_rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.mapInArrow(packed, "pair INT, code BIGINT, ids ARRAY<BIGINT>, names ARRAY<STRING>, holders ARRAY<BIGINT>")
+
+
+class _Best:
+    """The best partners of a block's names so far; ties to the smaller id."""
+
+    def __init__(self, pair: int, ids: list[int], names: list[str], k: int, cutoff: float):
+        self.pair, self.k, self.cutoff = pair, k, cutoff
+        self.ids, self.bags = np.array(ids), CharacterBags(names)
+        self.scores = np.full((len(ids), k), -1.0)
+        self.partners = np.full((len(ids), k), _FREE)
+
+    def meet(self, ids: np.ndarray, bags: CharacterBags, holders: np.ndarray) -> None:
+        bound = self.bags.bounds(bags)
+        worst = np.maximum(self.scores[:, -1], self.cutoff)
+        row, column = np.nonzero((bound >= worst[:, None]) & (holders[None, :] > self.ids[:, None]))
+        total = self.bags.lengths[row] + bags.lengths[column]
+        score = np.where(total > 0, 200.0 * common_lengths(self.bags, bags, row, column) / np.maximum(total, 1), 100.0)
+        good = score >= self.cutoff
+        row, score, partner = row[good], score[good], ids[column[good]]
+        if not len(row):
+            return
+        touched = np.unique(row)
+        row = np.concatenate([row, np.repeat(touched, self.k)])
+        score = np.concatenate([score, self.scores[touched].ravel()])
+        partner = np.concatenate([partner, self.partners[touched].ravel()])
+        order = np.lexsort((partner, -score, row))
+        row, score, partner = row[order], score[order], partner[order]
+        starts = np.searchsorted(row, touched)
+        rank = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+        kept = rank < self.k
+        self.scores[row[kept], rank[kept]], self.partners[row[kept], rank[kept]] = score[kept], partner[kept]
+
+    def batch(self) -> pa.RecordBatch:
+        sizes = (self.scores >= 0).sum(axis=1)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        held = self.scores >= 0
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[held])) for x in (self.partners, self.scores)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(self.ids), self.pair, dtype=np.int32)), pa.array(self.ids), *lists, pa.array(sizes == self.k)],
+            ["pair", "a", "bs", "scores", "more"],
+        )
 
-def _probes(words: DataFrame, overlap: float) -> DataFrame:
-    """A row for each name and each of its rarest words, as many as names that share ``overlap`` of their words cannot all lack."""
-    each = words.select("id", F.explode("words").alias("word"))
-    counts = each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("word", "word_")
-    ranked = each.join(counts, F.col("word") == F.col("word_")).groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("n", "word"))).alias("ranked")
-    )
-    size, need = F.size("ranked"), F.ceil(F.size("ranked") * overlap).cast("int")
-    probes = F.slice(F.col("ranked.word"), F.lit(1), size - need + 1)
-    return stage(
-        words.join(ranked.withColumnRenamed("id", "id_"), F.col("id") == F.col("id_")).select(
-            "store_key",
-            "id",
-            "name",
-            F.transform("words", lambda w: F.xxhash64(w)).alias("words"),
-            F.size("words").alias("n_words"),
-            F.explode(probes).alias("probe"),
-        ),
-        "probes",
-    )
 
+def best_partners(asking: DataFrame, offered: DataFrame, cutoff: float = FUZZY_CUTOFF, k: int = LIST) -> DataFrame:
+    """(pair, a, bs, scores, more): the k most similar names offered to each asking name, best first, and whether there may be others.
 
-def comparable_pairs(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
-    """(store_a, a, name_a, store_b, b, name_b, score) of comparable names, each pair of stores once, store_a first by name."""
-    words = names.select("store_key", "id", "name", _words("name").alias("words")).filter(F.size("words") > 0)
-    # small rows, much work for each: all partitions are wanted, so their number is given
-    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_length = lambda s: F.length(F.array_join(F.sort_array(F.split(F.trim(f"name_{s}"), r"\s+")), " "))
-    short, long = F.least(sorted_length("a"), sorted_length("b")), F.greatest(sorted_length("a"), sorted_length("b"))
-    stores = F.col("store_key_a") < F.col("store_key_b")
-    if overlap > 0:
-        rare = _probes(words, overlap)
-        side = lambda s: rare.repartition(parts, "probe").select(*(F.col(c).alias(f"{c}_{s}") for c in rare.columns))
-        fewer, more = F.least("n_words_a", "n_words_b"), F.greatest("n_words_a", "n_words_b")
-        shared = (fewer >= overlap * more) & (F.size(F.array_intersect("words_a", "words_b")) >= overlap * more)
-        paired = side("a").join(side("b"), (F.col("probe_a") == F.col("probe_b")) & stores & shared)
-    else:
-        side = lambda s: words.repartition(parts, "id").select(*(F.col(c).alias(f"{c}_{s}") for c in ("store_key", "id", "name")))
-        paired = side("a").join(side("b"), stores)
-    joined = (
-        paired.filter(200 * short >= cutoff * (short + long))
-        .select(
-            F.col("store_key_a").alias("store_a"), F.col("id_a").alias("a"), "name_a",
-            F.col("store_key_b").alias("store_b"), F.col("id_b").alias("b"), "name_b",
-        )
-    )
-    if overlap > 0:
-        joined = joined.distinct()  # found by several words
-    return joined.mapInArrow(_score, "store_a STRING, a BIGINT, name_a STRING, store_b STRING, b BIGINT, name_b STRING, score DOUBLE").filter(
-        F.col("score") >= cutoff
+    ``asking``: pair, id, name. ``offered``: pair, id, name, holder (an id; names from the holder's on may not have it; null: free).
+    """
+    spark = asking.sparkSession
+    ship(spark)
+    free = F.lit(_FREE).cast("bigint")
+    left = stage(_blocks(asking.select("pair", "id", "name", free.alias("holder"))).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    right = _blocks(offered.select("pair", "id", "name", F.coalesce("holder", free).alias("holder")))
+    # few pairs, many blocks: blocks are dealt over salts, and their partners sent to each
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mine = left.select("pair", "block", F.col("code").alias("at"), F.pmod("block", F.lit(salts)).alias("salt"))
+    other = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    met = mine.join(other, ["pair", "salt"]).select(
+        "block", F.abs(F.col("at") - F.col("code")).alias("distance"), "pair", "ids", "names", "holders"
     )
+    own = left.select("block", F.lit(-1).cast("bigint").alias("distance"), "pair", "ids", "names", "holders")
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["distance"] < 0:
+                    if best is not None:
+                        yield best.batch()
+                    best = _Best(row["pair"], row["ids"], row["names"], k, cutoff)
+                else:
+                    best.meet(np.array(row["ids"]), CharacterBags(row["names"]), np.array(row["holders"]))
+        if best is not None:
+            yield best.batch()
+
+    rows = own.unionByName(met).repartition(salts, "block").sortWithinPartitions("block", "distance")
+    return rows.mapInArrow(searched, _LISTS)
+
+
+def _asked(state: DataFrame) -> DataFrame:
+    """One round: names without a partner ask the best of their list that no earlier name holds; everyone keeps the earliest who asks."""
+    held = state.where("b IS NOT NULL").select("b", "a", "place", F.lit(False).alias("new"))
+    asks = state.where("b IS NULL").select("a", F.posexplode("bs").alias("place", "b"))
+    asks = asks.join(held.select(F.col("b").alias("b_"), F.col("a").alias("holder")), F.col("b") == F.col("b_"), "left")
+    choice = asks.where("holder IS NULL OR a < holder").groupBy("a").agg(F.min("place").alias("place"), F.min_by("b", "place").alias("b"))
+    claims = choice.select("b", "a", "place", F.lit(True).alias("new")).unionByName(held)
+    won = claims.groupBy("b").agg(F.min("a").alias("w"), F.min_by("place", "a").alias("place"), F.min_by("new", "a").alias("new"))
+    return state.drop("b", "place", "new").join(won, F.col("a") == F.col("w"), "left").drop("w")
+
+
+def _rounds(state: DataFrame) -> DataFrame:
+    """Rounds until nobody asks: whoever asks is taken, or gives way to another who asks."""
+    while True:
+        watch = Observation()
+        state = stage(_asked(state).observe(watch, F.bool_or("new").alias("asked")), "proposals")
+        if not watch.get["asked"]:
+            return state
 
 
-def _propose(candidates: DataFrame, held: DataFrame) -> DataFrame:
-    """Every name without a partner asks its best candidate not held by an earlier one; each keeps its earliest proposer."""
-    holders = held.select(F.col("b").alias("b_"), F.col("a").alias("holder"))
-    asking = candidates.join(held.select("a"), "a", "left_anti").join(holders, F.col("b") == F.col("b_"), "left")
-    asking = asking.filter(F.col("holder").isNull() | (F.col("a") < F.col("holder")))
-    choice = asking.groupBy("pair", "a").agg(F.min(F.struct((-F.col("score")).alias("s"), "b")).alias("c"))
-    proposals = choice.select("pair", F.col("c.b").alias("b"), "a", (-F.col("c.s")).alias("score"), F.lit(True).alias("new"))
-    before = held.select("pair", "b", "a", "score", F.lit(False).alias("new"))
-    earliest = F.min(F.struct("a", "score", "new", "pair")).alias("w")
-    return before.unionByName(proposals).groupBy("b").agg(earliest).select("w.pair", "w.a", "b", "w.score", "w.new")
+def _listed(lists: DataFrame) -> DataFrame:
+    """The state of names that have a list and no partner."""
+    none = F.lit(None)
+    return lists.select("*", none.cast("bigint").alias("b"), none.cast("int").alias("place"), none.cast("boolean").alias("new"))
 
 
-def _matched(candidates: DataFrame) -> DataFrame:
+def _matched(asking: DataFrame, offered: DataFrame, cutoff: float, k: int) -> DataFrame:
     """Links (pair, a, b, score) of store pairs that share no store."""
-    held = candidates.sparkSession.createDataFrame([], _LINKS)
-    while True:
-        held = stage(_propose(candidates, held), "held")
-        if held.filter("new").isEmpty():
-            return held.select("pair", "a", "b", "score")
-
-
-def fuzzy_links(names: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
+    none = F.lit(None).cast("bigint")
+    state = _rounds(stage(_listed(best_partners(asking, offered.withColumn("holder", none), cutoff, k)), "lists"))
+    # nothing left on a list that was full: there may be more than the list
+    while not state.where("b IS NULL AND more").isEmpty():
+        wanting = asking.join(state.where("b IS NULL AND more").select(F.col("a").alias("id")), "id").select("pair", "id", "name")
+        holders = state.where("b IS NOT NULL").select(F.col("b").alias("id"), F.col("a").alias("holder"))
+        renewed = _listed(best_partners(wanting, offered.join(holders, "id", "left"), cutoff, k))
+        state = _rounds(stage(state.where("b IS NOT NULL OR NOT more").unionByName(renewed), "lists"))
+    return state.where("b IS NOT NULL").select("pair", "a", "b", F.get("scores", F.col("place")).alias("score"))
+
+
+def fuzzy_links(names: DataFrame, cutoff: float = FUZZY_CUTOFF, k: int = LIST) -> DataFrame:
     """One row per link: both stores and names, similarity, rows, and the order in which it was made."""
     spark = names.sparkSession
     first = names.groupBy("store_key").agg(F.min("first_row").alias("f"))
     # bounded by the number of stores
     stores = [r["store_key"] for r in first.orderBy("f").collect()]
     links = spark.createDataFrame([], _LINKS)
-    place = {s: i for i, s in enumerate(stores)}
-    if len(stores) < 2:
-        return _describe(links, names, stores)
-    position = F.create_map(*[F.lit(x) for kv in place.items() for x in kv])
-    pairs = comparable_pairs(names, cutoff, overlap).select(
-        F.try_element_at(position, F.col("store_a")).alias("i"), F.try_element_at(position, F.col("store_b")).alias("j"), "a", "b", "score"
-    )
-    swapped = F.col("i") > F.col("j")
-    pairs = stage(
-        pairs.select(
-            (F.col("i") + F.col("j")).alias("level"),
-            F.least("i", "j").alias("pair"),
-            F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("a"),
-            F.when(swapped, F.col("a")).otherwise(F.col("b")).alias("b"),
-            "score",
-        ),
-        "pairs",
-    )
-    levels = sorted(r["level"] for r in pairs.select("level").distinct().collect())  # fewer than two per store
-    for level in levels:
+    for level in range(1, 2 * len(stores) - 2):
+        pairs = [(i, level - i) for i in range(len(stores)) if i < level - i < len(stores)]
         taken = links.select(F.explode(F.array("a", "b")).alias("id"))
-        here = pairs.filter(F.col("level") == level).drop("level")
-        for side in "ab":
-            here = here.join(taken, F.col(side) == F.col("id"), "left_anti")
-        links = stage(links.unionByName(_matched(stage(here, "candidates"))), "links")
+        free = stage(names.join(taken, "id", "left_anti").select("store_key", "id", "name"), "free")
+        sides = [
+            free.join(spark.createDataFrame([(stores[p[side]], p[0]) for p in pairs], "store_key STRING, pair INT"), "store_key").select("pair", "id", "name")
+            for side in (0, 1)
+        ]
+        links = stage(links.unionByName(_matched(*sides, cutoff, k)), "links")
     return _describe(links, names, stores)
 
 
+def best_scores(names: DataFrame, cutoff: float = FUZZY_CUTOFF, k: int = 1) -> DataFrame:
+    """(store_a, name_a, store_b, name_b, rank, score): the k most similar names of every later store (by name), ties in order of name."""
+    spark = names.sparkSession
+    ordered = stage(names.select("store_key", "name").sort("name").withColumn("id", F.monotonically_increasing_id()), "ordered")
+    stores = sorted(r["store_key"] for r in names.select("store_key").distinct().collect())
+    pairs = list(itertools.combinations(stores, 2))
+    if not pairs:
+        return spark.createDataFrame([], "store_a STRING, name_a STRING, store_b STRING, name_b STRING, rank INT, score DOUBLE")
+    sides = [
+        ordered.join(spark.createDataFrame([(p[side], n) for n, p in enumerate(pairs)], "store_key STRING, pair INT"), "store_key") for side in (0, 1)
+    ]
+    found = best_partners(sides[0], sides[1].withColumn("holder", F.lit(None).cast("bigint")), cutoff, k)
+    found = found.select("a", F.posexplode(F.arrays_zip("bs", "scores")).alias("rank", "found"))
+    end = lambda s: ordered.select(F.col("id").alias(s), F.col("store_key").alias(f"store_{s}"), F.col("name").alias(f"name_{s}"))
+    found = found.select("a", F.col("found.bs").alias("b"), (F.col("rank") + 1).alias("rank"), F.col("found.scores").alias("score"))
+    return found.join(end("a"), "a").join(end("b"), "b").select("store_a", "name_a", "store_b", "name_b", "rank", "score")
+
+
 def _describe(links: DataFrame, names: DataFrame, stores: list[str]) -> DataFrame:
     def side(s: str) -> DataFrame:
         return names.select(
@@ -206,6 +282,6 @@ def apply_links(rows: DataFrame, links: DataFrame, name: str = "product_name_cle
     )
 
 
-def fuzzy_boost(rows: DataFrame, cutoff: float = FUZZY_CUTOFF, overlap: float = OVERLAP) -> DataFrame:
+def fuzzy_boost(rows: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
     """Rows with fuzzy groups added to the unmatched ones; the same at every size."""
-    return apply_links(rows, fuzzy_links(unmatched_names(rows), cutoff, overlap))
+    return apply_links(rows, fuzzy_links(unmatched_names(rows), cutoff))

@@ -507,9 +507,9 @@ def failure_streaks(spark, sf):
 
 @register
 def fuzzy_scores(spark, sf):
-    """Comparable unmatched names of different stores with their similarity."""
-    pairs = fuzzy.comparable_pairs(fuzzy.unmatched_names(layers_of(spark, sf).all_rows))
-    return pairs.select("store_a", "name_a", "store_b", "name_b", round_half_up(F.col("score"), 4).alias("score"))
+    """For every unmatched name and every later store, the most similar name there, if similar enough."""
+    best = fuzzy.best_scores(fuzzy.unmatched_names(layers_of(spark, sf).all_rows))
+    return best.select("store_a", "name_a", "store_b", "name_b", round_half_up(F.col("score"), 4).alias("score"))
 
 
 @register

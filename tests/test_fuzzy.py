@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfscan.functions.similarity import similarities, sorted_tokens
+from shelfscan.functions.similarity import CharacterBags, similarities, sorted_tokens
 from shelfscan.operators import fuzzy
 
 WORDS = ["red", "blue", "widget", "gear", "gearr", "bolt", "small", "smal", "large", "rod", "12kg", "500gm"]
@@ -35,12 +35,7 @@ def test_scores_equal_dynamic_programming():
     assert list(similarities([], [])) == []
 
 
-def comparable(a, b, overlap):
-    a, b = set(a.split()), set(b.split())
-    return len(a & b) >= max(1, overlap * max(len(a), len(b)))
-
-
-def greedy(listings, cutoff, overlap):
+def greedy(listings, cutoff=55):
     """The definition, one name at a time."""
     names = {}
     for store, name in listings:
@@ -50,15 +45,11 @@ def greedy(listings, cutoff, overlap):
     stores, taken, links = list(names), set(), set()
     for i, a in enumerate(stores):
         for b in stores[i + 1 :]:
-            free = [n for n in order[b] if (b, n) not in taken]
             for name in order[a]:
-                if (a, name) in taken or not free:
-                    continue
-                usable = [n for n in free if comparable(name, n, overlap) and similarity(name, n) >= cutoff]
-                if usable:
+                usable = [n for n in order[b] if (b, n) not in taken and similarity(name, n) >= cutoff]
+                if (a, name) not in taken and usable:
                     best = max(usable, key=lambda other: similarity(name, other))
                     taken |= {(a, name), (b, best)}
-                    free.remove(best)
                     links.add((a, name, b, best))
     return links
 
@@ -71,39 +62,73 @@ def frame(spark, listings):
     )
 
 
-@pytest.mark.parametrize("seed,overlap", [(3, 0.5), (4, 0.3), (5, 1.0)])
-def test_links_equal_the_greedy_definition(spark, seed, overlap):
+def linked(spark, listings, cutoff=55, k=fuzzy.LIST):
+    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)), cutoff, k)
+    rows = links.select("store_a", "name_a", "store_b", "name_b", "score").collect()
+    assert all(abs(r["score"] - similarity(r["name_a"], r["name_b"])) < 1e-9 for r in rows)
+    return {tuple(r)[:4] for r in rows}
+
+
+@pytest.mark.parametrize("seed,cutoff,k", [(3, 55, 48), (4, 55, 2), (5, 80, 1)])
+def test_links_equal_the_greedy_definition(spark, seed, cutoff, k):
+    """Short lists end again and again, so that names search a second time."""
     rng = random.Random(seed)
-    listings = [(s, n) for s in ("s2", "s1", "s3", "s4") for n in some_names(rng, 14) for _ in range(rng.randint(1, 2))]
-    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)), 55, overlap)
-    got = {tuple(r) for r in links.select("store_a", "name_a", "store_b", "name_b").collect()}
-    assert got == greedy(listings, 55, overlap)
+    listings = [(s, n) for s in ("s2", "s1", "s3", "s4") for n in some_names(rng, 30) for _ in range(rng.randint(1, 2))]
+    assert linked(spark, listings, cutoff, k) == greedy(listings, cutoff)
+
+
+def test_links_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "BLOCK", 7)
+    rng = random.Random(6)
+    listings = sorted({(s, n) for s in ("s1", "s2") for n in some_names(rng, 80)}) + [("s2", "x" * 90), ("s1", "x" * 80 + "yy"), ("s1", " "), ("s2", "")]
+    assert linked(spark, listings, k=5) == greedy(listings)
 
 
-def test_no_comparable_pair_is_lost(spark):
+def test_one_store_or_none(spark):
+    assert linked(spark, [("s1", "red bolt")]) == set() and linked(spark, []) == set()
+    assert fuzzy.best_scores(fuzzy.unmatched_names(frame(spark, [("s1", "red bolt")]))).count() == 0
+
+
+def test_best_scores_equal_all_pairs(spark):
     rng = random.Random(9)
-    listings = [(s, n) for s in ("s1", "s2", "s3") for n in some_names(rng, 60)] + [("s1", "red " * 3), ("s2", "  "), ("s3", "red")]
+    listings = sorted({(s, n) for s in ("s1", "s2", "s3") for n in some_names(rng, 60)}) + [("s3", "  "), ("s2", "é" * 70)]
     names = fuzzy.unmatched_names(frame(spark, listings))
-    for overlap in (0.01, 0.5, 0.75):
-        got = {(r["name_a"], r["store_a"], r["name_b"], r["store_b"]) for r in fuzzy.comparable_pairs(names, 55, overlap).collect()}
-        every = {
-            (a, s, b, t) for s, a in set(listings) for t, b in set(listings)
-            if s < t and comparable(a, b, overlap) and similarity(a, b) >= 55
-        }
-        assert got == every
+    got = {tuple(r) for r in fuzzy.best_scores(names).select("store_a", "name_a", "store_b", "name_b").collect()}
+    every = set()
+    for s, a in set(listings):
+        for t in {t for t, _ in listings if t > s}:
+            near = sorted((-similarity(a, b), b) for u, b in set(listings) if u == t)
+            if near and near[0][0] <= -55:
+                every.add((s, a, t, near[0][1]))
+    assert got == every
+
+
+def test_bounds_are_never_below_the_similarity():
+    rng = random.Random(10)
+    names = [sorted_tokens(n) for n in [*some_names(rng, 60), "a" * 30, "aab" * 9, "", "é ü ö", "漢字 " * 20, "b" * 70]]
+    bags = CharacterBags(names)
+    bound = bags.bounds(bags)
+    assert all(bound[i, j] >= similarity(a, b) for i, a in enumerate(names) for j, b in enumerate(names))
+
 
+def test_no_product_of_all_names_in_the_plan(spark):
+    listings = [(s, n) for s in ("s1", "s2") for n in some_names(random.Random(1), 20)]
+    names = fuzzy.unmatched_names(frame(spark, listings)).select(F.lit(0).alias("pair"), "id", "name")
+    plan = fuzzy.best_partners(names, names.withColumn("holder", F.lit(None).cast("bigint")))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
-def test_boost_does_not_depend_on_what_is_matched_already(spark):
+
+def test_boost_leaves_matched_rows_alone(spark):
     listings = [("s1", "red widgett"), ("s2", "red widget"), ("s1", "blue gear"), ("s2", "blue gearr")]
     rows = frame(spark, listings)
     matched = rows.withColumn("match_group", F.lit("g")).withColumn("match_pass", F.lit(1))
     assert fuzzy.fuzzy_boost(matched).filter("match_pass = 4").count() == 0
-    boosted = fuzzy.fuzzy_boost(rows.unionByName(matched), overlap=0.5).filter("match_pass = 4")
+    boosted = fuzzy.fuzzy_boost(rows.unionByName(matched)).filter("match_pass = 4")
     groups = {tuple(sorted(r["n"])) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
     assert groups == {("red widget", "red widgett"), ("blue gear", "blue gearr")}
 
 
-def test_boost_links_every_similar_name_by_default(spark):
+def test_boost_links_names_that_share_no_word(spark):
     listings = [
         ("s1", "red widgett"), ("s2", "red widget"), ("s1", "lux soap"), ("s2", "lux soaps"), ("s1", "coca cola 1.5 l"), ("s2", "cocacola 1.5 l"),
         ("s1", "dalda cooking oil"), ("s2", "dalda cookng oil 5l"), ("s1", "toothbrush"), ("s2", "tooth-brush"),
@@ -111,26 +136,3 @@ def test_boost_links_every_similar_name_by_default(spark):
     boosted = fuzzy.fuzzy_boost(frame(spark, listings)).filter("match_pass = 4")
     groups = {frozenset(r["n"]) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
     assert groups == {frozenset(n for _, n in listings[i : i + 2]) for i in range(0, len(listings), 2)}
-
-
-def test_default_leaves_out_no_similar_pair(spark):
-    rng = random.Random(11)
-    listings = sorted({(s, n) for s in ("s1", "s2", "s3") for n in some_names(rng, 40)})
-    got = [(r["store_a"], r["name_a"], r["store_b"], r["name_b"]) for r in fuzzy.comparable_pairs(fuzzy.unmatched_names(frame(spark, listings))).collect()]
-    assert sorted(got) == sorted((s, a, t, b) for s, a in listings for t, b in listings if s < t and similarity(a, b) >= 55)
-    links = fuzzy.fuzzy_links(fuzzy.unmatched_names(frame(spark, listings)))
-    assert {tuple(r) for r in links.select("store_a", "name_a", "store_b", "name_b").collect()} == greedy_all(listings)
-
-
-def greedy_all(listings):
-    """The definition without a share of words."""
-    stores, taken, links = list(dict.fromkeys(s for s, _ in listings)), set(), set()
-    for i, a in enumerate(stores):
-        for b in stores[i + 1 :]:
-            for name in (n for s, n in listings if s == a and (s, n) not in taken):
-                usable = [n for s, n in listings if s == b and (s, n) not in taken and similarity(name, n) >= 55]
-                if usable:
-                    best = max(usable, key=lambda other: similarity(name, other))
-                    taken |= {(a, name), (b, best)}
-                    links.add((a, name, b, best))
-    return links
