@@ -10,6 +10,8 @@ words around it. The forest is trained from labelled findings, on a bounded samp
 
 * null or empty text: no findings; null path: no path features set
 * null id and repeated rows: findings like any others
+* very long texts and words: patterns read a name or value once, without a group that repeats, so time grows with the word and no
+  stack is filled; ``LEAD`` characters before a value in its word count as its surroundings
 * labels of one kind only, or none: nothing can be learned, all candidates are kept with a null probability
 * empty table: empty result; other columns are ignored
 
@@ -35,12 +37,24 @@ MIN_LENGTH = 16
 SHAPE = rf"[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}={{0,2}}"
 #: Words that stand near secrets, near look-alikes, and near made-up examples; parts of ordinary words.
 KEYWORDS = r"(?i)token|secret|passw|pwd|api.?key|access.?key|private.?key|credential|auth|bearer"
-#: A keyword and = or :, then a value that ends in the last word of the text; quoted, or up to white space, a quote or the next parameter.
-ASSIGNED = (
-    KEYWORDS.replace("(?i)", "(?i)(?:") + r""")[\w.\-]*["'\])]*\s*(?:=>|[:=]+)\s*(?:(?:bearer|basic)\s+)?"""
-    r"""["'`]?((?<=")[^"\s]+|(?<=')[^'\s]+|(?<=`)[^`\s]+|(?<!["'`])(?:(?!&\w+=)[^\s"'`])*[^\s"'`,;)}\]:=])(?=\S*$)"""
+#: A name that holds a keyword, from its first character on, so that a long name is read once.
+_NAME = (
+    r"(?i)(?<![\w.\-])(?=[\w.\-]*?(?:" + KEYWORDS.replace("(?i)", "") + r"))[\w.\-]++(?:(?<=api|access|private)[^\w.\-]key[\w.\-]*+)?+"
+    r"""["'\])]*+\s*+"""
 )
-ASSIGNMENT = KEYWORDS.replace("(?i)", "(?i)(?:") + r""")[\w.\-]*["'\])]*\s*[:=]"""
+_GIVEN = r"""["'`]?+((?<=")[^"\s]++|(?<=')[^'\s]++|(?<=`)[^`\s]++|(?<!["'`])[^\s"'`]*[^\s"'`,;)}\]:=])"""
+_SIGN = r"(?:=>|[:=]++)"
+_SCHEME = r"(?:bearer|basic)?+"
+#: Name, = or : and value, all in one word.
+ASSIGNED = _NAME + _SIGN + _GIVEN
+#: The same with the value in the word after the mark, where words before it end in name and sign, or in the name.
+CROSSING = _NAME + r"(?:" + _SIGN + r"\s*+" + _SCHEME + "\u0001" + r"|\u0001" + _SIGN + r")" + _GIVEN
+ASSIGNMENT = _NAME + "[:=]"
+_KEPT_HEAD = "(" + _NAME + _SIGN + r"""["'`]?+)""" + _GIVEN.removeprefix("""["'`]?+""")
+#: Where a value of a query string ends.
+NEXT_PARAMETER = r"&(?=\w++=)"
+#: Characters before a value that are looked at.
+LEAD = 200
 HASHES = r"(?i)commit|sha\d*|md5|checksum|digest|etag|uuid|guid|revision|integrity"
 EXAMPLES = r"(?i)example|sample|dummy|fake|test|placeholder|your|xxx"
 CONFIG_PATH = r"(?i)\.(env|ya?ml|ini|toml|cfg|conf|properties|json)$|(^|/)\.?(config|settings|secrets?)"
@@ -65,22 +79,35 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words = F.split("text", r"[\x20\x09-\x0D]+")
     around = lambda i: F.coalesce(F.get("words", i), F.lit(""))
 
+    none = F.array().cast("array<string>")
+
     def found(word: Column, i: Column) -> Column:
         before = F.concat_ws(" ", around(i - 2), around(i - 1))
+        first = F.when(F.col("assigns"), F.regexp_extract(F.concat(before, F.lit("\u0001"), F.split(word, NEXT_PARAMETER, 2)[0]), CROSSING, 1)).otherwise("")
         run = (F.length(word) >= MIN_LENGTH) & word.rlike(SHAPE)
-        given = F.when(F.col("assigns"), F.regexp_extract_all(F.concat_ws(" ", before, word), F.lit(ASSIGNED), F.lit(1))).otherwise(F.array().cast("array<string>"))
-        near = F.struct(i.alias("at"), word.alias("word"), before.alias("before"), around(i + 1).alias("after"), given.alias("given"))
-        return F.when(run | (F.size(given) > 0), near)
+        assigns = F.col("assigns") & word.rlike(ASSIGNMENT)
+        near = F.struct(
+            i.alias("at"), word.alias("word"), before.alias("before"), around(i + 1).alias("after"), first.alias("first"), assigns.alias("assigns")
+        )
+        return F.when(run | assigns | (first != ""), near)
 
     hits = F.filter(F.transform("words", found), lambda hit: hit.isNotNull())
     assigns = F.col("text").rlike(ASSIGNMENT)
     rows = plain.where(F.col("text").rlike(SHAPE) | assigns).select("id", "path", words.alias("words"), assigns.alias("assigns"))
     rows = rows.select("id", "path", F.explode(hits).alias("hit")).select("id", "path", "hit.*")
-    runs = F.filter(F.regexp_extract_all("word", F.lit(SHAPE), F.lit(0)), lambda run: ~F.exists("given", lambda g: g.contains(run)))
-    rows = rows.withColumn("value", F.explode(F.concat(F.array_distinct("given"), runs)))
-    rows = rows.withColumn("lead", F.expr("substring_index(word, value, 1)"))
+    rest = F.expr("if(first = '', word, substring(word, locate(first, word) + length(first)))")
+    rows = rows.withColumn("rest", rest)
+    parts = F.split("rest", NEXT_PARAMETER)
+    inside = F.when(F.col("assigns"), F.flatten(F.transform(parts, lambda p: F.regexp_extract_all(p, F.lit(ASSIGNED), F.lit(1))))).otherwise(none)
+    given = F.concat(F.when(F.col("first") != "", F.array("first")).otherwise(none), inside)
+    rows = rows.withColumn("given", F.filter(given, lambda g: g != ""))
+    # what is left when values are taken out
+    left = F.when(F.col("assigns"), F.regexp_replace("rest", _KEPT_HEAD, "$1 ")).otherwise(F.col("rest"))
+    runs = F.array_except(F.regexp_extract_all(left, F.lit(SHAPE), F.lit(0)), "given")
+    rows = rows.withColumn("value", F.explode(F.array_distinct(F.concat("given", runs))))
+    rows = rows.withColumn("lead", F.expr(f"right(substring_index(word, value, 1), {LEAD})"))
     known = F.array_contains("given", F.col("value")) | F.col("value").rlike(r"\d") | F.concat_ws(" ", "before", "lead").rlike(KEYWORDS)
-    return rows.where(known).drop("word", "given")
+    return rows.where(known).drop("word", "given", "first", "assigns", "rest")
 
 
 def _share(value: Column, left_out: str) -> Column:

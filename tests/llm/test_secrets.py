@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -77,3 +78,28 @@ def test_values_after_a_keyword_are_whole_candidates(spark):
     docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     rows = candidates(docs).collect()
     assert [sorted(r["value"] for r in rows if r["id"] == i) for i in range(len(texts))] == list(texts.values())
+
+
+def values_of(spark, text):
+    found = candidates(spark.createDataFrame([(1, text, "p")], "doc_id long, text string, source string"))
+    return sorted({r["value"] for r in found.collect()})
+
+
+def test_values_end_where_they_should(spark):
+    assert "abc.def.ghi" in values_of(spark, "Authorization: Bearer abc.def.ghi")
+    assert values_of(spark, "url?token=abc&secret=def&x=1") == ["abc", "def"]
+    assert values_of(spark, "password=a&b, token =v9 api key: zzz9;") == ["a&b", "v9", "zzz9"]
+    assert values_of(spark, '{"api_key":"k,1","secret":"k2"}') == ["k,1", "k2"]
+
+
+def test_very_long_words_take_one_look(spark):
+    """Words that once filled the stack or were read again from every keyword."""
+    started = time.time()
+    emoji = "a\N{GRINNING FACE}" * 100_000
+    assert values_of(spark, "token=" + emoji) == [emoji]
+    assert values_of(spark, "token," * 200_000) == []
+    assert values_of(spark, 'token="a"' * 20_000) == ["a"]
+    assert values_of(spark, "token=" + "a&" * 300_000 + "b") == ["a&" * 300_000 + "b"]
+    assert values_of(spark, "token=x" + "=" * 500_000) == ["x"]
+    assert values_of(spark, "secret" + '"' * 500_000) == []
+    assert time.time() - started < 60
