@@ -41,13 +41,14 @@ NEIGHBOURS = 32
 FORESTS = 4
 BLOCK = 512
 PLANES = 20
-ROUNDS = 5
+ROUNDS = 4
 SETTLED = 0.03
 ENTRIES = 256
 BEAM = 192
-EXPAND = 48
+EXPAND = 96
 _HELD = 1 << 20
 _LINKS = "u long, w long, s double, fresh boolean"
+_GRAPH = "node long, small binary, scale double, ws array<long>, ss array<double>, news array<boolean>"
 _BEAM = "query long, qvec binary, ids array<long>, scores array<double>, done array<boolean>, next array<long>"
 
 
@@ -194,31 +195,40 @@ def _first_links(nodes: DataFrame, k: int, forests: int, block: int) -> DataFram
     return codes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(linked, _LINKS)
 
 
-def _kept(links: DataFrame, k: int) -> DataFrame:
-    """One row per node: its k best neighbours, best first, and which of them are new."""
+def _kept(links: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """One row per node: its k best neighbours, best first, which of them are new, and its rounded vector."""
 
     def best(batches):
-        held, out = None, []  # the node in hand: id, neighbours, scores, fresh
+        held, out = None, []  # the node in hand: id, vector, scale, neighbours, scores, fresh
         for batch in batches:
             u, w, s, fresh = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("u", "w", "s", "fresh"))
+            # a node's own row comes first; of equal links the older one
             new = np.append(True, (u[1:] != u[:-1]) | (w[1:] != w[:-1]))
-            u, w, s, fresh = u[new], w[new], s[new], fresh[new]
             for a, b in zip(*_spans(u), strict=True):
                 if held is None or held[0] != u[a]:
                     if held:
                         out.append(held)
-                    held = (u[a], [], [], [])
-                a += bool(held[1]) and held[1][-1] == w[a]
-                room = k - len(held[1])
-                for have, more in zip(held[1:], (w, s, fresh), strict=True):
-                    have.extend(more[a : min(b, a + room)].tolist())
+                    held = (u[a], batch.column("small")[a].as_py(), batch.column("scale")[a].as_py(), [], [], [])
+                    a += 1
+                have = held[3:]
+                at = np.flatnonzero(new[a:b]) + a
+                if len(at) and have[0] and have[0][-1] == w[at[0]]:
+                    at = at[1:]
+                at = at[: k - len(have[0])]
+                for kept, more in zip(have, (w, s, fresh), strict=True):
+                    kept.extend(more[at].tolist())
             yield _graph_batch(out)
             out = []
         if held:
             yield _graph_batch([held])
 
+    empty = lambda kind: F.lit(None).cast(kind)
+    own = nodes.select(
+        F.col("node").alias("u"), F.lit(-1).cast("long").alias("w"), F.lit(float("inf")).alias("s"), F.lit(False).alias("fresh"), "small", "scale"
+    )
+    rows = own.unionByName(links.select("u", "w", "s", "fresh", empty("binary").alias("small"), empty("double").alias("scale")))
     order = ["u", F.desc("s"), "w", "fresh"]
-    return links.repartition("u").sortWithinPartitions(*order).mapInArrow(best, "node long, ws array<long>, ss array<double>, news array<boolean>")
+    return rows.repartition("u").sortWithinPartitions(*order).mapInArrow(best, _GRAPH)
 
 
 def _spans(sorted_values: np.ndarray) -> tuple[list[int], list[int]]:
@@ -227,18 +237,17 @@ def _spans(sorted_values: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _graph_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], ["node", "ws", "ss", "news"])
+    types = [pa.int64(), pa.binary(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], ["node", "small", "scale", "ws", "ss", "news"]
+    )
 
 
-def _local_joins(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+def _local_joins(graph: DataFrame, k: int) -> DataFrame:
     """What nodes with new links find: pairs of their neighbours, and themselves for their new neighbours."""
-    worst = graph.select(
-        F.col("node").alias("w_"), F.when(F.size("ss") >= k, F.element_at("ss", -1)).otherwise(F.lit(float("-inf"))).alias("worst")
-    )
-    known = nodes.select(F.col("node").alias("w"), "small", "scale").join(worst, F.col("w") == F.col("w_")).drop("w_")
-    known = stage(known, "known")
+    full = F.when(F.size("ss") >= k, F.element_at("ss", -1))
+    known = graph.select(F.col("node").alias("w"), "small", "scale", F.coalesce(full, F.lit(float("-inf"))).alias("worst"))
     busy = graph.where(F.exists("news", lambda x: x)).select("node", F.explode(F.arrays_zip("ws", "ss", "news")).alias("l"))
     sent = busy.select("node", F.col("l.ws").alias("w_"), F.col("l.ss").alias("s"), F.col("l.news").alias("fresh"))
     sent = sent.join(known, F.col("w_") == F.col("w")).drop("w_")
@@ -291,12 +300,12 @@ def _pairs(table: pa.RecordBatch, k: int, held: _Held) -> None:
 def neighbour_graph(
     nodes: DataFrame, k: int = NEIGHBOURS, forests: int = FORESTS, block: int = BLOCK, rounds: int = ROUNDS, settled: float = SETTLED
 ) -> DataFrame:
-    """node, ws (neighbours, best first), ss (their scores) and news (which were found in the last round)."""
-    graph = stage(_kept(_first_links(nodes, k, forests, block), k), "graph")
+    """node, its rounded vector (small, scale), ws (neighbours, best first), ss (their scores) and news (found in the last round)."""
+    graph = stage(_kept(_first_links(nodes, k, forests, block), nodes, k), "graph")
     for _ in range(rounds):
         old = graph.select(F.col("node").alias("u"), F.explode(F.arrays_zip("ws", "ss")).alias("l"))
         old = old.select("u", F.col("l.ws").alias("w"), F.col("l.ss").alias("s"), F.lit(False).alias("fresh"))
-        graph = stage(_kept(old.unionByName(_local_joins(graph, nodes, k)), k), "graph")
+        graph = stage(_kept(old.unionByName(_local_joins(graph, k)), nodes, k), "graph")
         news = F.size(F.filter("news", lambda x: x))
         links, new = graph.agg(F.sum(F.size("ws")), F.sum(news)).first()
         if not links or new < settled * links:
