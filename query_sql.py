@@ -438,6 +438,11 @@ def statements() -> dict[str, str]:
   WHERE d.city = 'automobile' AND NOT EXISTS (SELECT 1 FROM raw e WHERE e.store_key = d.store_key AND e.city = t.city)""", "deduped")
     out["merge_partition"] = chain(f"""SELECT store_key, product_name, city, price FROM (SELECT *, row_number() OVER (PARTITION BY store_key, product_name, city ORDER BY src, {ORD}) AS rn
   FROM (SELECT *, CASE WHEN old_price IS NULL THEN 0 ELSE 1 END AS src FROM raw)) WHERE rn = 1""", "raw")
+    out["layer_round_trip"] = out["merge_partition"]
+    out["gather_drift"] = chain(f"""SELECT store_key, city, count(*) AS num_rows, count(price) AS priced, {rnd("CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE)", 2)} AS total,
+    count(old_price) FILTER (length(store_key) % 3 <> 1) AS discounted, count(category) FILTER (length(store_key) % 3 <> 1) AS categorised,
+    CAST(max(length(CAST(sku AS VARCHAR)) + CASE WHEN length(store_key) % 3 = 2 THEN 1 ELSE 0 END) AS BIGINT) AS longest_sku
+  FROM raw GROUP BY store_key, city""", "raw")
     out["new_names"] = chain(f"""SELECT store_key, product_name, price FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(product_name)) ORDER BY {ORD}) AS rn FROM raw r
   WHERE scraped_at >= DATE '1996-01-01' AND lower(trim(product_name)) NOT IN (SELECT lower(trim(product_name)) FROM raw WHERE scraped_at < DATE '1996-01-01')) WHERE rn = 1""", "raw")
     out["catalogue_keys"] = chain("""SELECT DISTINCT product_name_clean, replace(trim(regexp_replace(regexp_replace(lower(product_name_clean), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')), ' ', '_')

@@ -9,8 +9,7 @@ from shelfscan.operators.clean import clean_listings, rejection_counts
 from shelfscan.operators.dispersion import group_profile
 from shelfscan.operators.fuzzy import fuzzy_boost
 from shelfscan.operators.match import match_listings, match_summary, matched_only, with_match_keys
-from shelfscan.sources.layer_files import write_matched, write_processed, write_raw, write_results
-from shelfscan.sources.schemas import texts
+from shelfscan.sources.layer_files import read_layer, write_matched, write_processed, write_raw, write_results
 from shelfscan.sources.staging import stage, tune
 
 
@@ -61,27 +60,27 @@ def quality_tables(raw: DataFrame, processed: DataFrame, all_rows: DataFrame, pr
     }
 
 
-def run(spark: SparkSession, raw: DataFrame, folder: str, fuzzy: bool = True) -> dict[str, str]:
+def run(spark: SparkSession, raw: DataFrame, folder: str, fuzzy: bool = True, run_name: str | None = None) -> dict[str, str]:
     """Run every step; returns the path of each written table.
 
-    Each layer is written once and read back for the next. The processed layer has the match
-    keys. ``fuzzy`` turns the links by similarity on or off.
+    Each layer is written once, as a version, and read back for the next. The processed layer has the match
+    keys. ``fuzzy`` turns the links by similarity on or off. A run that is broken off leaves the layers it has not
+    reached as they were; under the same ``run_name`` it goes on where it was, and writes no table twice.
     """
     tune(spark)
-    write_raw(raw, f"{folder}/raw")
-    raw = spark.read.schema(texts(raw).schema).parquet(f"{folder}/raw")
-    keyed = with_match_keys(clean_listings(raw))
-    write_processed(keyed, f"{folder}/processed")
-    keyed = spark.read.schema(keyed.schema).parquet(f"{folder}/processed")
+    written = {"raw": write_raw(raw, f"{folder}/raw", run_name)}
+    raw = read_layer(spark, f"{folder}/raw")
+    written["processed"] = write_processed(with_match_keys(clean_listings(raw)), f"{folder}/processed", run_name)
+    keyed = read_layer(spark, f"{folder}/processed")
     processed = keyed.drop("match_key", "name_key")
     all_rows = match_listings(keyed)
     if fuzzy:
         all_rows = fuzzy_boost(stage(all_rows, "matches"))
-    paths = write_matched(all_rows, f"{folder}/matched")
-    all_rows = spark.read.parquet(paths["all_with_matches"])
-    matched = spark.read.parquet(paths["matched_products"])
-    paths |= write_results({"match_summary": match_summary(matched)}, f"{folder}/matched")
+    written |= write_matched(all_rows, f"{folder}/matched", run_name)
+    all_rows = read_layer(spark, f"{folder}/matched/all_with_matches")
+    matched = read_layer(spark, f"{folder}/matched/matched_products")
+    written |= write_results({"match_summary": match_summary(matched)}, f"{folder}/matched", run=run_name)
     profile = stage(group_profile(matched), "groups")
-    paths |= write_results(result_tables(matched, profile), f"{folder}/results")
-    paths |= write_results(quality_tables(raw, processed, all_rows, profile), f"{folder}/quality")
-    return paths | {"raw": f"{folder}/raw", "processed": f"{folder}/processed"}
+    written |= write_results(result_tables(matched, profile), f"{folder}/results", run=run_name)
+    written |= write_results(quality_tables(raw, processed, all_rows, profile), f"{folder}/quality", run=run_name)
+    return written

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from shelfscan.functions.numbers import round_half_up
 from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, leaders, match, quality, stores, views
 from shelfscan.plans import derived
 from shelfscan.plans.layers import layers_of
-from shelfscan.sources import attempt_logs, html_pages, json_payloads
-from shelfscan.sources.staging import stage
+from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files
+from shelfscan.sources.schemas import texts
+from shelfscan.sources.staging import stage, stage_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -413,6 +415,49 @@ def merge_partition(spark, sf):
     return dedup.merge_first_wins(old, new, "store_city_merge").select("store_key", "product_name", "city", "price")
 
 
+def _own_folder(spark, name):
+    """A fresh folder beside the stages, for queries that write and read files."""
+    return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register
+def layer_round_trip(spark, sf):
+    """The rows of merge_partition, by way of files: a version with the old rows, a merge, a merge that fails, the merge again."""
+    raw = layers_of(spark, sf).raw
+    path = _own_folder(spark, "round-trip")
+    layer_files.write_raw(raw.filter("old_price IS NULL"), path, "old")
+    new = raw.filter("old_price IS NOT NULL")
+    layer_files.merge_into_partitions(spark, path, texts(new), "store_city_merge", "new")
+    try:
+        failing = F.when(F.col("price") > 0, F.raise_error(F.lit("broken run")).cast("double")).otherwise(F.col("price"))
+        layer_files.merge_into_partitions(spark, path, texts(new.withColumn("price", failing)), "store_city_merge", "broken")
+    except Exception as error:  # noqa: BLE001
+        if "broken run" not in str(error):
+            raise
+    layer_files.merge_into_partitions(spark, path, texts(new.withColumn("price", F.lit(0.0))), "store_city_merge", "new")
+    return layer_files.read_layer(spark, path).select("store_key", "product_name", "city", "price")
+
+
+@register
+def gather_drift(spark, sf):
+    """Raw rows written as one dataset per store with drifting schemas, gathered again under the declared one."""
+    raw = layers_of(spark, sf).raw.drop("row_ord")
+    folder = _own_folder(spark, "drift")
+    kinds = {
+        0: lambda df: df,
+        1: lambda df: df.withColumn("price", F.col("price").cast("string")).drop("old_price", "category"),
+        2: lambda df: df.withColumns({"sku": F.concat(F.lit("s"), "sku"), "extra": F.lit(1), "price": F.col("price").cast("decimal(18,4)")}),
+    }
+    stores = [r["store_key"] for r in raw.select("store_key").distinct().sort("store_key").collect()]  # as many as datasets
+    for i, store in enumerate(stores):
+        kinds[len(store) % 3](raw.filter(F.col("store_key") == store)).write.parquet(f"{folder}/raw_{i}_all.parquet")
+    rows = layer_files.gather_raw(spark, folder)
+    return rows.groupBy("store_key", "city").agg(
+        F.count(F.lit(1)).alias("num_rows"), F.count("price").alias("priced"), round_half_up(F.sum(F.col("price").cast("decimal(18,2)")).cast("double"), 2).alias("total"),
+        F.count("old_price").alias("discounted"), F.count("category").alias("categorised"), F.max(F.length("sku")).cast("long").alias("longest_sku"),
+    )
+
+
 @register
 def new_names(spark, sf):
     """Listings of all stores from 1996 on whose name no store had before."""

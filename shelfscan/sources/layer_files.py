@@ -1,24 +1,23 @@
-"""Layer files: reading drifting sources, writing partitioned layers and result tables."""
+"""Layer files: reading drifting sources, writing partitioned layers and result tables as versions."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfscan.operators.clean import replicate_cities
 from shelfscan.operators.dedup import merge_first_wins
 from shelfscan.sources.schemas import ROW_ORDER, combine, conform, texts
-from shelfscan.sources.staging import stage
+from shelfscan.sources.versions import Snapshot, glob, read_version, snapshot, write_version
 
-
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(str(f.getPath()) for f in found or [])
+#: Datasets whose footers are read at a time.
+_FOOTERS = 16
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
@@ -28,8 +27,11 @@ def with_row_order(df: DataFrame) -> DataFrame:
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
-    """A layer as one table, or None when it does not exist."""
-    return spark.read.parquet(path) if _glob(spark, path) else None
+    """A layer's newest version (or plain parquet) as one table, or None when it does not exist."""
+    versioned = read_version(spark, path)
+    if versioned is not None:
+        return versioned
+    return spark.read.parquet(path) if glob(spark, path) else None
 
 
 def read_matched_pair(spark: SparkSession, matched: str, processed: str) -> tuple[DataFrame, DataFrame | None]:
@@ -44,18 +46,37 @@ def gather_raw(spark: SparkSession, folder: str, pattern: str = "raw_*_*.parquet
     """All ``raw_STORE_CITY`` datasets of a folder under the declared raw schema.
 
     Physical schemas drift between datasets (an id may be a number in one and text in
-    the next), so each dataset is read with its own schema, conformed, and unioned by
-    name. Only metadata passes through the driver: one footer per dataset. A dataset that
+    the next). Datasets with the same physical schema are one scan; the scans are conformed, and unioned by
+    name. Footers are read by Spark tasks, several datasets at a time; only schemas pass through the driver. A dataset that
     cannot be read is an error; see ``readable_datasets``.
     """
-    return gather_datasets(spark, _glob(spark, f"{folder}/{pattern}"))
+    return gather_datasets(spark, glob(spark, f"{folder}/{pattern}"))
+
+
+def _schemas(spark: SparkSession, paths: Sequence[str]) -> list[StructType | Exception]:
+    """Each dataset's schema, or why it has none."""
+
+    def schema(path: str) -> StructType | Exception:
+        try:
+            return spark.read.parquet(path).schema
+        except (PySparkException, Py4JJavaError) as error:
+            return error
+
+    with ThreadPoolExecutor(_FOOTERS) as pool:
+        return list(pool.map(schema, paths))
 
 
 def gather_datasets(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The given datasets under the declared raw schema."""
+    """The given datasets under the declared raw schema: one scan for each physical schema among them."""
     if not paths:
         raise FileNotFoundError("no raw dataset")
-    return combine(*(conform(with_row_order(spark.read.parquet(path)), keep=(ROW_ORDER,)) for path in paths))
+    classes: dict[str, tuple[StructType, list[str]]] = {}
+    for path, schema in zip(paths, _schemas(spark, paths), strict=True):
+        if isinstance(schema, Exception):
+            raise schema
+        classes.setdefault(schema.json(), (schema, []))[1].append(path)
+    scans = (with_row_order(spark.read.schema(schema).parquet(*members)) for schema, members in classes.values())
+    return combine(*(conform(scan, keep=(ROW_ORDER,)) for scan in scans))
 
 
 def readable_datasets(spark: SparkSession, folder: str, pattern: str = "raw_*_*.parquet") -> DataFrame:
@@ -64,73 +85,62 @@ def readable_datasets(spark: SparkSession, folder: str, pattern: str = "raw_*_*.
     For callers who want to leave datasets out: they pass the good paths to ``gather_datasets``
     and keep this table as the record of what was skipped.
     """
-    found = []
-    for path in _glob(spark, f"{folder}/{pattern}"):
-        try:
-            spark.read.parquet(path)
-            found.append((path, None))
-        except (PySparkException, Py4JJavaError) as error:
-            found.append((path, str(error).splitlines()[0]))
-    return spark.createDataFrame(found, "path STRING, error STRING")
+    paths = glob(spark, f"{folder}/{pattern}")
+    states = [str(s).splitlines()[0] if isinstance(s, Exception) else None for s in _schemas(spark, paths)]
+    return spark.createDataFrame(list(zip(paths, states, strict=True)), "path STRING, error STRING")
 
 
-def _write(df: DataFrame, path: str, partitions: Sequence[str], mode: str = "overwrite") -> None:
-    """One pass over all partitions. Rebalancing gathers the rows of a partition and lets
-    adaptive execution split large ones, so no task writes a whole large store."""
-    if partitions:
-        df = df.hint("rebalance", *partitions)
-    df.write.mode(mode).partitionBy(*partitions).parquet(path)
+def write_raw(df: DataFrame, path: str, run: str | None = None) -> str:
+    return folder_of(write_version(texts(df), path, ("store_key", "city"), run))
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    _write(texts(df), path, ("store_key", "city"))
+def write_processed(df: DataFrame, path: str, run: str | None = None) -> str:
+    """One dataset for all stores; reading one store prunes to its partition."""
+    return folder_of(write_version(df, path, ("store_key",), run))
 
 
-def write_processed(df: DataFrame, path: str) -> None:
-    """One dataset for all stores; reading one store prunes to its partition."""
-    _write(df, path, ("store_key",))
+def folder_of(held: Snapshot) -> str:
+    """Where a version without folders of older ones lies."""
+    return f"{held.path}/data/{held.folders[0].split('/')[0]}" if held.folders else f"{held.path}/data"
 
 
-def write_matched(all_rows: DataFrame, folder: str) -> dict[str, str]:
+def write_matched(all_rows: DataFrame, folder: str, run: str | None = None) -> dict[str, str]:
     """All rows with match information, and the matched rows only, read back from those."""
-    paths = {name: f"{folder}/{name}" for name in ("all_with_matches", "matched_products")}
-    _write(all_rows, paths["all_with_matches"], ())
-    stored = all_rows.sparkSession.read.parquet(paths["all_with_matches"])
-    _write(stored.filter(F.col("match_group").isNotNull()), paths["matched_products"], ())
-    return paths
+    paths = {"all_with_matches": folder_of(write_version(all_rows, f"{folder}/all_with_matches", run=run))}
+    stored = read_version(all_rows.sparkSession, f"{folder}/all_with_matches").filter(F.col("match_group").isNotNull())
+    return paths | {"matched_products": folder_of(write_version(stored, f"{folder}/matched_products", run=run))}
 
 
-def write_results(tables: Mapping[str, DataFrame], folder: str, form: str = "parquet") -> dict[str, str]:
-    """One dataset per result table, parquet or csv."""
+def write_results(tables: Mapping[str, DataFrame], folder: str, form: str = "parquet", run: str | None = None) -> dict[str, str]:
+    """One dataset per result table, parquet (a new version of each) or csv."""
     paths = {}
     for name, table in tables.items():
-        paths[name] = f"{folder}/{name}"
-        writer = table.write.mode("overwrite")
-        writer.option("header", True).csv(paths[name]) if form == "csv" else writer.parquet(paths[name])
+        if form == "csv":
+            paths[name] = f"{folder}/{name}"
+            table.write.mode("overwrite").option("header", True).csv(paths[name])
+        else:
+            paths[name] = folder_of(write_version(table, f"{folder}/{name}", run=run))
     return paths
 
 
-def merge_into_partitions(spark: SparkSession, path: str, new: DataFrame, policy: str = "city_merge") -> None:
-    """Replace or append the partitions that ``new`` touches; rows already there win over equal keys.
-
-    The merge is staged before the partitions it was read from are overwritten.
-    """
-    old = read_layer(spark, path)
+def merge_into_partitions(
+    spark: SparkSession, path: str, new: DataFrame, policy: str = "city_merge", run: str | None = None
+) -> None:
+    """A new version with the partitions that ``new`` touches replaced or added; rows already there win over equal keys."""
+    base = snapshot(spark, path)
     merged = new
-    if old is not None:
+    if base is not None:
         touched = new.select("store_key", "city").distinct()
-        merged = merge_first_wins(old.join(touched, ["store_key", "city"], "left_semi"), new, policy)
-    rows = stage(merged, "merge").hint("rebalance", "store_key", "city")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store_key", "city").parquet(path)
-
-
-def replicate_store(spark: SparkSession, path: str, store: str, source_city: str, cities: Sequence[str]) -> None:
-    """Add a store's catalogue under further cities; cities it already has are skipped.
-
-    New partitions only, overwritten as a whole, so a repeated run leaves the same rows.
-    """
-    raw = spark.read.parquet(path)
-    source = raw.filter((F.col("store_key") == store) & (F.col("city") == source_city))
-    copies = stage(replicate_cities(source, cities, raw.filter(F.col("store_key") == store)), "replicas")
-    rows = copies.hint("rebalance", "store_key", "city")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store_key", "city").parquet(path)
+        old = read_version(spark, path, base.number).join(touched, ["store_key", "city"], "left_semi")
+        merged = merge_first_wins(old, new, policy)
+    write_version(merged, path, ("store_key", "city"), run, keep_others=True, base=base)
+
+
+def replicate_store(
+    spark: SparkSession, path: str, store: str, source_city: str, cities: Sequence[str], run: str | None = None
+) -> None:
+    """Add a store's catalogue under further cities, as a new version; cities it already has are skipped."""
+    base = snapshot(spark, path)
+    rows = read_version(spark, path, base.number).filter(F.col("store_key") == store)
+    copies = replicate_cities(rows.filter(F.col("city") == source_city), cities, rows)
+    write_version(copies, path, ("store_key", "city"), run, keep_others=True, base=base)

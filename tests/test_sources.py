@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfscan.plans import batch
 import pytest
 
-from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files
+from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files, versions
 from shelfscan.sources.schemas import RAW
 
 
@@ -34,11 +34,59 @@ def test_partition_merge_and_replication(spark, folder):
     path = f"{folder}/raw"
     layer_files.write_raw(frame([("s", "x", "Tea", 1.0), ("s", "y", "Tea", 2.0), ("t", "x", "Tea", 3.0)]), path)
     layer_files.merge_into_partitions(spark, path, frame([("s", "x", "Tea", 9.0), ("s", "x", "Oil", 4.0), ("s", "z", "Oil", 5.0)]))
-    got = {tuple(r) for r in spark.read.parquet(path).select("store_key", "city", "product_name", "price").collect()}
+    read = lambda: layer_files.read_layer(spark, path)
+    got = {tuple(r) for r in read().select("store_key", "city", "product_name", "price").collect()}
     assert got == {("s", "x", "Tea", 1.0), ("s", "y", "Tea", 2.0), ("t", "x", "Tea", 3.0), ("s", "x", "Oil", 4.0), ("s", "z", "Oil", 5.0)}
     layer_files.replicate_store(spark, path, "s", "x", ["y", "w"])
-    assert {r[0] for r in spark.read.parquet(path).filter("store_key = 's'").select("city").distinct().collect()} == {"x", "y", "z", "w"}
-    assert spark.read.parquet(path).filter("store_key = 's' AND city = 'w'").count() == 2
+    assert {r[0] for r in read().filter("store_key = 's'").select("city").distinct().collect()} == {"x", "y", "z", "w"}
+    assert read().filter("store_key = 's' AND city = 'w'").count() == 2
+
+
+def test_one_scan_per_physical_schema(spark, folder):
+    for i in range(30):
+        kind = ("BIGINT", "STRING", "DOUBLE")[i % 3]
+        spark.sql(f"SELECT 's{i}' AS store_key, 'x' AS city, 'Tea' AS product_name, {i}.5D AS price, CAST({i} AS {kind}) AS sku").write.parquet(f"{folder}/raw_s{i}_x.parquet")
+    raw = layer_files.gather_raw(spark, folder)
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+    assert {(r["store_key"], r["price"], r["sku"]) for r in raw.collect()} == {(f"s{i}", i + 0.5, f"{i}.0" if i % 3 == 2 else str(i)) for i in range(30)}
+
+
+def test_versions_change_as_a_whole_or_not_at_all(spark, folder):
+    frame = lambda rows: spark.createDataFrame(rows, "store_key STRING, city STRING, price DOUBLE")
+    path, by = f"{folder}/layer", ("store_key", "city")
+    assert versions.read_version(spark, path) is None
+    first = versions.write_version(frame([("a b", "x", 1.0), ("a b", "5", 2.0), ("c", None, 3.0)]), path, by, "run 1")
+    before = sorted(map(str, versions.read_version(spark, path).collect()))
+    broken = frame([("a b", "x", 9.0), ("d", "z", 9.0)]).withColumn("price", F.when(F.col("store_key") == "d", F.raise_error(F.lit("stop"))).otherwise(F.col("price")))
+    with pytest.raises(Exception, match="stop"):
+        versions.write_version(broken, path, by, "run 2", keep_others=True)
+    assert sorted(map(str, versions.read_version(spark, path).collect())) == before and versions.snapshot(spark, path).number == 1
+    second = versions.write_version(frame([("a b", "x", 7.0), ("d", "z", 8.0)]), path, by, "run 2", keep_others=True)
+    again = versions.write_version(frame([("a b", "x", 0.0)]), path, by, "run 2", keep_others=True)
+    assert again == second and second.number == 2
+    now = {tuple(r) for r in versions.read_version(spark, path).collect()}
+    assert now == {("a b", "x", 7.0), ("a b", "5", 2.0), ("c", None, 3.0), ("d", "z", 8.0)}
+    assert sorted(map(str, versions.read_version(spark, path, 1).collect())) == before
+    with pytest.raises(versions.VersionConflict):
+        versions.write_version(frame([("e", "x", 1.0)]), path, by, base=first)
+    assert versions.snapshot(spark, path) == second
+    pruned = versions.read_version(spark, path).filter("store_key = 'd'")
+    assert "PartitionFilters: [isnotnull(store_key" in pruned._jdf.queryExecution().executedPlan().toString()
+    versions.write_version(frame([]), path, by)
+    assert versions.read_version(spark, path).count() == 0 and versions.read_version(spark, path).columns == ["store_key", "city", "price"]
+
+
+def test_batch_goes_on_under_its_name(spark, folder, monkeypatch):
+    from shelfscan.sources.listings import listings
+
+    raw = listings(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(batch, "match_listings", lambda keyed: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        batch.run(spark, raw, folder, fuzzy=False, run_name="night")
+    monkeypatch.undo()
+    assert layer_files.read_layer(spark, f"{folder}/matched/matched_products") is None
+    paths = batch.run(spark, raw, folder, fuzzy=False, run_name="night")
+    assert versions.snapshot(spark, f"{folder}/raw").number == 1 and spark.read.parquet(paths["matched_products"]).count() == 3940
 
 
 def test_batch_writes_all_layers(spark, folder):
