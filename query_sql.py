@@ -424,6 +424,9 @@ def statements() -> dict[str, str]:
     out["store_city_crosstab"] = chain("SELECT store_key, " + ", ".join(f"count(*) FILTER (city = '{c}') AS {c}" for c in ("automobile", "building", "furniture", "household", "machinery", "orchard")) + " FROM raw GROUP BY store_key", "raw")
     hits = "FROM processed WHERE regexp_matches(product_name_clean, 'red (widget|gear)', 'i') AND store_key IN ('africa', 'asia', 'europe') AND city IN ('automobile', 'building')"
     out["search_products"] = chain(f"SELECT product_name_clean, brand, price, store_key, city, category {hits} ORDER BY price, {ORD} LIMIT 200", "processed")
+    out["search_by_index"] = chain(
+        "SELECT product_name_clean, brand, price, store_key, city, category FROM processed WHERE regexp_matches(product_name_clean, '(?i)large gea?r')", "processed"
+    )
     out["search_stats"] = chain(f"SELECT store_key, count(*) AS num_hits, {rnd('avg(price)', 4)} AS mean_price, min(price) AS min_price, max(price) AS max_price {hits} GROUP BY store_key", "processed")
     compare = f"""SELECT product AS product_name, brand, stores, num_stores, min_price, max_price, {rnd('max_price - min_price', 4)} AS price_range, {rnd('mean_price', 4)} AS avg_price
   FROM groups WHERE max_price - min_price >= 50 AND num_stores >= 3 ORDER BY max_price - min_price DESC, match_group"""

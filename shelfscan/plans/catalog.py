@@ -14,6 +14,7 @@ from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, le
 from shelfscan.plans import derived
 from shelfscan.plans.layers import layers_of
 from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files
+from shelfscan.sources.name_index import indexed_search
 from shelfscan.sources.schemas import texts
 from shelfscan.sources.staging import stage, stage_root
 
@@ -366,6 +367,12 @@ def search_stats(spark, sf):
     return rounded(views.hits_by_store(_hits(spark, sf)), mean_price=4)
 
 
+@register
+def search_by_index(spark, sf):
+    """A search by way of the name index: only the shards of its trigrams are read."""
+    return indexed_search(spark, layers_of(spark, sf).name_index, "large gea?r").drop("row_ord")
+
+
 @register
 def compare_prices(spark, sf):
     table = views.compare(match.match_summary(layers_of(spark, sf).matched), min_range=50, min_stores=3)
@@ -565,3 +572,9 @@ def fuzzy_matches(spark, sf):
         "match_group", "store_a", "name_a", "store_b", "name_b",
         (F.col("rows_a") + F.col("rows_b")).alias("num_rows"), round_half_up(F.col("score"), 4).alias("score"),
     )
+
+
+@register
+def match_coverage_fuzzy(spark, sf):
+    """Rows by pass, fuzzy links (pass 4) included."""
+    return match.coverage_by_pass(layers_of(spark, sf).boosted)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfscan.operators.clean import clean_listings
 from shelfscan.operators.dispersion import group_profile
+from shelfscan.operators.fuzzy import fuzzy_boost
 from shelfscan.operators.match import match_listings, matched_only, with_match_keys
 from shelfscan.sources.listings import listings
-from shelfscan.sources.staging import stage, tune
+from shelfscan.sources.name_index import build_name_index
+from shelfscan.sources.staging import stage, stage_root, tune
 
 _KEYS = ("match_key", "name_key")
 _memo: dict[tuple[str, str], Layers] = {}
@@ -38,6 +41,18 @@ class Layers:
     def matched(self) -> DataFrame:
         return matched_only(self.all_rows)
 
+    @cached_property
+    def boosted(self) -> DataFrame:
+        """All rows with fuzzy links as pass 4."""
+        return stage(fuzzy_boost(self.all_rows), "all-with-fuzzy")
+
+    @cached_property
+    def name_index(self) -> str:
+        """Folder of the name index of the processed layer."""
+        path = f"{stage_root(self.raw.sparkSession)}/name-index-{uuid.uuid4().hex}"
+        build_name_index(self.processed, path)
+        return path
+
     @cached_property
     def profile(self) -> DataFrame:
         return stage(group_profile(self.matched), "groups")
