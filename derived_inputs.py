@@ -109,15 +109,14 @@ def card_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
 
 
 def attempt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines (line, row_ord, chunk): errors are retried, every third one with success on try 2."""
+    """Log lines (line, row_ord, chunk): errors are retried, every third one with success on try 2; some lines are no attempts."""
     tries = "CASE WHEN event_type <> 'error' THEN 1 WHEN event_id % 3 = 0 THEN 2 ELSE 3 END"
     rows = table(spark, sf_dir, "events").withColumn("try", F.expr(f"explode(sequence(1, {tries}))"))
     failed = "event_type = 'error' AND NOT (event_id % 3 = 0 AND try = 2)"
     line = f"""concat(rpad(concat('shop', user_id), 12, ' '), ' | GET | https://shop.example/', event_id, ' | try=', try, ' | status=',
       IF({failed}, IF(event_id % 2 = 0, '?', '---'), '200'), ' | ', cast(floor(value * 10) AS bigint) + try, 'ms | ',
       IF({failed}, IF(event_id % 2 = 0, 'FAIL | HTTPError', 'FAIL | ConnectionError: a | b'), 'SUCCESS'))"""
-    return rows.select(
-        F.expr(line).alias("line"),
-        F.struct("ts", "event_id", "try").alias("row_ord"),
-        F.date_trunc("hour", F.col("ts")).alias("chunk"),
-    )
+    noise = "IF(event_id % 100 = 0, '  ', 'Traceback (most recent call last):')"
+    other = table(spark, sf_dir, "events").filter("event_id % 50 = 0").withColumn("try", F.lit(0))
+    written = rows.withColumn("line", F.expr(line)).unionByName(other.withColumn("line", F.expr(noise)))
+    return written.select("line", F.struct("ts", "event_id", "try").alias("row_ord"), F.date_trunc("hour", F.col("ts")).alias("chunk"))

@@ -446,6 +446,9 @@ def statements() -> dict[str, str]:
     count(old_price) FILTER (length(store_key) % 3 <> 1) AS discounted, count(category) FILTER (length(store_key) % 3 <> 1) AS categorised,
     CAST(max(length(CAST(sku AS VARCHAR)) + CASE WHEN length(store_key) % 3 = 2 THEN 1 ELSE 0 END) AS BIGINT) AS longest_sku
   FROM raw GROUP BY store_key, city""", "raw")
+    out["raw_duplicates"] = chain("""SELECT CAST((SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM raw
+    GROUP BY store_key, city, category, product_name, price, old_price, currency, scraped_at, sku)) AS BIGINT) AS exact_duplicates,
+  CAST((SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM raw GROUP BY store_key, product_name, price)) AS BIGINT) AS near_duplicates""", "raw")
     out["new_names"] = chain(f"""SELECT store_key, product_name, price FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(product_name)) ORDER BY {ORD}) AS rn FROM raw r
   WHERE scraped_at >= DATE '1996-01-01' AND lower(trim(product_name)) NOT IN (SELECT lower(trim(product_name)) FROM raw WHERE scraped_at < DATE '1996-01-01')) WHERE rn = 1""", "raw")
     out["catalogue_keys"] = chain("""SELECT DISTINCT product_name_clean, replace(trim(regexp_replace(regexp_replace(lower(product_name_clean), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')), ' ', '_')
@@ -484,7 +487,7 @@ def statements() -> dict[str, str]:
   WITH tries AS (SELECT user_id, event_type, event_id, value, t.n AS n FROM events, (SELECT unnest([1, 2, 3]) AS n) t
     WHERE t.n <= CASE WHEN event_type <> 'error' THEN 1 WHEN event_id % 3 = 0 THEN 2 ELSE 3 END),
   lines AS (SELECT 'shop' || user_id AS store, CAST(floor(value * 10) AS BIGINT) + n AS ms, event_type = 'error' AND NOT (event_id % 3 = 0 AND n = 2) AS failed FROM tries)
-  SELECT store, count(*) AS total_requests, count(*) FILTER (failed) AS failed_requests, """ + rnd("100.0 * count(*) FILTER (failed) / count(*)", 6) + " AS fail_pct, " + rnd("median(ms)", 6) + " AS ms_median, " + rnd("quantile_cont(ms, 0.95)", 6) + " AS ms_p95 FROM lines GROUP BY store"
+  SELECT store, count(*) AS total_requests, count(*) FILTER (failed) AS failed_requests, """ + rnd("100.0 * count(*) FILTER (failed) / count(*)", 6) + " AS fail_pct, " + rnd("median(ms)", 6) + " AS ms_median, " + rnd("quantile_cont(ms, 0.95)", 6) + " AS ms_p95, (SELECT count(*) FROM events WHERE event_id % 50 = 0) AS unparsed_lines FROM lines GROUP BY store"
     out["failure_streaks"] = """
   WITH r AS (SELECT 'shop' || user_id AS store, ts, event_id, event_type = 'error' AND event_id % 3 <> 0 AS failed FROM events),
   g AS (SELECT *, row_number() OVER (PARTITION BY store ORDER BY ts, event_id) - row_number() OVER (PARTITION BY store, failed ORDER BY ts, event_id) AS island FROM r)

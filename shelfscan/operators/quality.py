@@ -57,12 +57,21 @@ def missing_values(df: DataFrame, columns: Sequence[str] = CHECKED_COLUMNS) -> D
 
 def duplicates(df: DataFrame, ignore: Sequence[str] = ("row_ord",)) -> DataFrame:
     """Rows that repeat a whole row, and rows that repeat store, name and price."""
-    def repeated(columns):
-        return df.groupBy(*columns).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
+    columns = [c for c in df.columns if c not in ignore]
+    near = df.groupBy("store_key", "product_name", "price").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
+    return df.sparkSession.range(1).select(repeated_rows(df.select(*columns)).scalar().alias("exact_duplicates"), near.alias("near_duplicates"))
 
-    exact = repeated([c for c in df.columns if c not in ignore]).scalar()
-    near = repeated(["store_key", "product_name", "price"]).scalar()
-    return df.sparkSession.range(1).select(exact.alias("exact_duplicates"), near.alias("near_duplicates"))
+
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """How many rows repeat another row in every column, as one value.
+
+    Rows are counted by a digest of 128 bits first; whole rows are compared only where digests meet. The digests that
+    meet are stored, so that their size is known: while they are few, no whole row is shuffled.
+    """
+    digest = [F.xxhash64(F.lit(seed), *df.columns).alias(f"digest_{seed}") for seed in (1, 2)]
+    met = df.select(*digest).groupBy("digest_1", "digest_2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = df.select("*", *digest).join(stage(met, "digests"), ["digest_1", "digest_2"], "left_semi")
+    return rows.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
 
 
 def names_per_store(df: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import derived_inputs as derived
 from shelfscan.functions import keys, text
 from shelfscan.functions.numbers import round_half_up
 from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, leaders, match, quality, stores, views
-from shelfscan.plans import derived
 from shelfscan.plans.layers import layers_of
 from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files
 from shelfscan.sources.name_index import indexed_search
@@ -465,6 +465,12 @@ def gather_drift(spark, sf):
     )
 
 
+@register
+def raw_duplicates(spark, sf):
+    """Whole rows and offers that the raw layer repeats."""
+    return quality.duplicates(layers_of(spark, sf).raw)
+
+
 @register
 def new_names(spark, sf):
     """Listings of all stores from 1996 on whose name no store had before."""
@@ -542,7 +548,9 @@ def _attempts(spark, sf):
 
 @register
 def request_audit(spark, sf):
-    return rounded(attempt_logs.attempt_totals(_attempts(spark, sf)), fail_pct=6, ms_median=6, ms_p95=6)
+    other = attempt_logs.unparsed_lines(derived.attempt_lines(spark, sf)).select("unparsed_lines").scalar()
+    totals = rounded(attempt_logs.attempt_totals(_attempts(spark, sf)), fail_pct=6, ms_median=6, ms_p95=6)
+    return totals.withColumn("unparsed_lines", other)
 
 
 @register

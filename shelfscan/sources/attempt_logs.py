@@ -13,13 +13,13 @@ _LINE = (
 
 
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of log files with an order: file, then place in the file."""
-    order = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    return spark.read.text(path).select(F.col("value").alias("line"), order.alias("row_ord"))
+    """Lines of log files with an order (file, block, place in the block) and the block as chunk, as ``requests`` wants them.
+
+    Files are ordered by name. A block is what one task reads of a file; lines never cross it.
+    """
+    block = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    order = F.struct(block.alias("at"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select(F.col("value").alias("line"), order.alias("row_ord"), block.alias("chunk"))
 
 
 def unparsed_lines(lines: DataFrame) -> DataFrame:

@@ -183,3 +183,13 @@ def test_quantiles_scan_their_input_once(spark):
     plan.collect()
     text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in text
+
+
+def test_repeated_rows_are_compared_whole(spark):
+    rows = [(1, None, "a"), (None, 1, "a"), (1, 1, "a"), (1, 1, "a"), (1, 1, None), (1, 1, None), (1, 1, None), (2, None, "b")]
+    df = spark.createDataFrame(rows, "x INT, y INT, z STRING")
+    counted = quality.repeated_rows(df)
+    assert counted.first()[0] == 3 and quality.repeated_rows(df.limit(0)).first()[0] == 0
+    # whole rows are not shuffled while few digests meet: they are joined where they are
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -1,4 +1,6 @@
+import itertools
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ import pytest
 
 from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files, versions
 from shelfscan.sources.schemas import RAW
+from shelfscan.sources.staging import stage
 
 
 def test_gather_drifting_files(spark, folder):
@@ -171,3 +174,43 @@ def test_attempt_logs(spark, folder):
     assert [r["failed"] for r in requests.filter("store = 'storeone'").orderBy("request_no").collect()] == [False, True, True, True, False, True]
     streaks = attempt_logs.failure_streaks(requests).collect()
     assert [(r["store"], r["failures"]) for r in streaks] == [("storeone", 3)]
+
+
+def test_a_log_folder_equals_the_one_by_one_parser(spark, folder):
+    rng = random.Random(3)
+    files, expected, noise = {}, {}, 0
+    for name in ("a.log", "b.log", "c.log"):
+        lines = []
+        for _ in range(400):
+            store = rng.choice(["shop", "shop", "shop", "other"])
+            tries = rng.randint(1, 3)
+            bad = rng.random() < 0.6
+            for n in range(1, tries + 1):
+                last = n == tries
+                outcome = "FAIL | HTTPError" if bad or not last else "SUCCESS"
+                lines.append(f"{store:<8} | GET | https://x/ | try={n} | status=1 | 5ms | {outcome}")
+                if rng.random() < 0.1:
+                    lines.append(rng.choice(["", "Traceback", "  | a | b"]))
+                    noise += 1
+            expected.setdefault(store, []).append(bad)
+        files[name] = lines
+    for name, lines in files.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        lines = attempt_logs.read_attempts(spark, folder)
+        assert lines.select("chunk").distinct().count() > 6
+        assert attempt_logs.unparsed_lines(lines).first()["unparsed_lines"] == noise
+        attempts = stage(attempt_logs.parse_attempts(lines, "row_ord", "chunk"), "attempts")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    requests = stage(attempt_logs.requests(attempts), "requests")
+    got = {}
+    for r in requests.orderBy("row_ord").collect():
+        got.setdefault(r["store"], []).append(r["failed"])
+    assert got == expected
+    streaks = sorted((r["store"], r["failures"]) for r in attempt_logs.failure_streaks(requests).collect())
+    wanted = sorted((s, len(list(g))) for s, flags in expected.items() for bad, g in itertools.groupby(flags) if bad for g in [list(g)] if len(g) >= 3)
+    assert streaks == wanted
