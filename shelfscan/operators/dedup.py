@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,29 @@ def unique_per_store(df: DataFrame, policy: str = "offer", by: str = "store_key"
     return offers.groupBy(by).agg(F.sum("n").alias("num_rows"), F.count("*").alias("unique_rows"))
 
 
+def unique_by_policy(df: DataFrame, policies: Sequence[str], by: str = "store_key") -> DataFrame:
+    """Rows per store, and distinct keys of each policy in a column of its name, in one pass over the rows.
+
+    A row becomes one key per policy, in which the columns of other policies are null; keys are counted map-side.
+    """
+    used = sorted({k for p in policies for k in POLICIES[p] if k != by})
+    key = lambda p: F.struct(F.lit(p).alias("policy"), *[(F.col(k) if k in POLICIES[p] else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in used])
+    keys = df.select(by, F.explode(F.array(*map(key, policies))).alias("k")).select(by, "k.*")
+    counts = keys.groupBy(by, "policy", *used).agg(F.count("*").alias("n"))
+    unique = [F.count_if(F.col("policy") == p).alias(p) for p in policies]
+    return counts.groupBy(by).agg(F.sum(F.when(F.col("policy") == policies[0], F.col("n"))).alias("num_rows"), *unique)
+
+
+def first_new_names(df: DataFrame, known: Column, name: str = "product_name", order: str = ROW_ORDER) -> DataFrame:
+    """The first row of every case-folded, trimmed name that no row marked ``known`` has, in one pass.
+
+    Known rows come first in a name's order, so the first row shows whether there are any.
+    """
+    folded = F.lower(F.trim(F.col(name)))
+    marked = df.withColumns({"_folded": folded, "_known": F.coalesce(known, F.lit(False))}).filter("_folded <> ''")
+    return keep_first(marked, ("_folded",), F.desc("_known"), order).filter("NOT _known").drop("_folded", "_known")
+
+
 def new_names_only(df: DataFrame, known: DataFrame, name: str = "product_name", order: str = ROW_ORDER) -> DataFrame:
     """Rows whose case-folded, trimmed name is not yet known, first of each name."""
     folded = F.lower(F.trim(F.col(name)))

@@ -41,12 +41,7 @@ def dedup_listings(spark, sf):
 @register
 def dedup_policies(spark, sf):
     """Distinct rows per store under each key policy."""
-    raw = layers_of(spark, sf).raw
-    out = None
-    for policy in ("listing", "listing_any_price", "offer", "item"):
-        part = dedup.unique_per_store(raw, policy).withColumnRenamed("unique_rows", policy)
-        out = part if out is None else out.join(part.drop("num_rows"), "store_key")
-    return out
+    return dedup.unique_by_policy(layers_of(spark, sf).raw, ("listing", "listing_any_price", "offer", "item"))
 
 
 @register
@@ -476,7 +471,7 @@ def new_names(spark, sf):
     """Listings of all stores from 1996 on whose name no store had before."""
     raw = layers_of(spark, sf).raw
     since = F.col("scraped_at") >= F.lit("1996-01-01").cast("date")
-    fresh = dedup.new_names_only(raw.filter(since), raw.filter(~F.coalesce(since, F.lit(False))))
+    fresh = dedup.first_new_names(raw, ~F.coalesce(since, F.lit(False)))
     return fresh.select("store_key", "product_name", "price")
 
 

@@ -23,7 +23,11 @@ class Layers:
     """Layers over one raw table. Every layer that is read more than once is staged."""
 
     def __init__(self, raw: DataFrame):
-        self.raw = raw
+        self._view = raw
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return stage(self._view, "raw")
 
     @cached_property
     def keyed(self) -> DataFrame:

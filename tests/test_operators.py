@@ -193,3 +193,22 @@ def test_repeated_rows_are_compared_whole(spark):
     # whole rows are not shuffled while few digests meet: they are joined where they are
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_policies_and_new_names_in_one_pass(spark):
+    rng = random.Random(2)
+    rows = [
+        (rng.choice(["s", "t"]), rng.choice("xy"), rng.choice(["Tea", " tea", "Oil", "Rice", "", None]), rng.choice([1.0, 2.0, None]), rng.choice(["1", "2", None]), rng.random() < 0.2, (i,))
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(rows, "store_key STRING, city STRING, product_name STRING, price DOUBLE, sku STRING, old BOOLEAN, row_ord STRUCT<n: INT>")
+    policies = ("listing", "listing_any_price", "offer", "item")
+    got = {r["store_key"]: r.asDict() for r in dedup.unique_by_policy(df, policies).collect()}
+    for policy in policies:
+        for r in dedup.unique_per_store(df, policy).collect():
+            assert (got[r["store_key"]]["num_rows"], got[r["store_key"]][policy]) == (r["num_rows"], r["unique_rows"])
+    two = dedup.new_names_only(df.filter("NOT old"), df.filter("old")).collect()
+    one = dedup.first_new_names(df, F.col("old")).collect()
+    assert sorted(map(str, one)) == sorted(map(str, two))
+    plan = dedup.first_new_names(df, F.col("old"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
