@@ -78,11 +78,14 @@ def key_groups(keyed: DataFrame) -> DataFrame:
 def match_listings(keyed: DataFrame) -> DataFrame:
     """All rows with ``match_group`` and ``match_pass`` (null where nothing matched).
 
-    ``keyed`` is read twice; give it as a stored or staged table.
+    ``keyed`` is read three times; give it as a stored or staged table. Rows without a key pass the join by.
     """
     groups = key_groups(keyed).withColumnsRenamed({"match_key": "_mk", "name_key": "_nk"})
     same_unit = (F.col("match_key") == F.col("_mk")) & F.col("name_key").eqNullSafe(F.col("_nk"))
-    return keyed.join(groups, same_unit, "left").drop("_mk", "_nk")
+    matched = keyed.filter(F.col("match_key").isNotNull()).join(groups, same_unit, "left").drop("_mk", "_nk")
+    none = F.lit(None)
+    others = keyed.filter(F.col("match_key").isNull())
+    return matched.unionByName(others.withColumns({"match_group": none.cast("string"), "match_pass": none.cast("int")}))
 
 
 def matched_only(rows: DataFrame) -> DataFrame:
