@@ -481,6 +481,7 @@ def statements() -> dict[str, str]:
     card = "p_name || ' & ' || p_type || ' ' || p_size || 'gm' AS product_name, floor(p_retailprice * 4) AS price, CASE WHEN p_partkey % 3 = 0 THEN floor(p_retailprice * 4) + 111 END AS old_price"
     out["html_magento"] = f"SELECT {card}, 'https://store.example/p/' || p_partkey || '.html' AS product_url, '/img/' || p_partkey || '.jpg' AS image_url FROM part WHERE p_partkey % 31 <> 0"
     out["html_tolerant"] = f"SELECT {card}, 'https://store.example/p/' || p_partkey || '.html' AS product_url FROM part"
+    out["html_tolerant_magento"] = f"SELECT {card}, 'https://store.example/p/' || p_partkey || '.html' AS product_url FROM part WHERE p_partkey % 31 <> 0"
     out["html_text_priced"] = f"SELECT {card}, lower(p_type) AS category, 'https://store.example/product/' || p_partkey AS product_url FROM part"
     out["leaf_categories"] = "SELECT 'p' || p_partkey AS id, p_type || '/' || p_brand AS parent_id, p_name AS category_name FROM part WHERE p_partkey % 7 <> 3"
     out["request_audit"] = """

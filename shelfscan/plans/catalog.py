@@ -525,6 +525,14 @@ def html_tolerant(spark, sf):
     return rows.select("product_name", "price", "old_price", "product_url")
 
 
+@register
+def html_tolerant_magento(spark, sf):
+    """The tolerant reading of the first layout's pages."""
+    pages = derived.card_pages(spark, sf, "magento")
+    rows = html_pages.card_listings(pages, html_pages.TOLERANT_MAGENTO, "https://store.example")
+    return rows.select("product_name", "price", "old_price", "product_url")
+
+
 @register
 def html_text_priced(spark, sf):
     rows = html_pages.text_priced_listings(derived.card_pages(spark, sf, "text"), "https://store.example")
