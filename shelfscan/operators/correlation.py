@@ -67,26 +67,33 @@ def tier_statistics(tiered: DataFrame) -> DataFrame:
 def pairwise(matched: DataFrame, dim: str, spearman: bool = True) -> DataFrame:
     """Correlation of group mean prices for every pair of cities or stores, over groups both have.
 
-    Long form: a group contributes at most one row per value of ``dim``, so the self
-    join on the group is bounded by the number of cities or stores squared. Empty unless
+    A group is one sparse vector of means, sorted by ``dim``. Its pairs are laid out beside the moments they go
+    into, which are combined before the shuffle: no join, and what is shuffled is a row per pair of cities or
+    stores and task. Ranks are per pair, for every pair has its own complete cases. Empty unless
     more than ten groups have two or more values. Means are rounded to six decimals, so that equal
     means tie in the ranks whatever the order they were summed in.
     """
-    means = stage(
+    means = (
         matched.filter(F.col(dim).isNotNull() & F.col("match_group").isNotNull())
         .groupBy("match_group", dim)
-        .agg(round_half_up(F.avg("price"), 6).alias("mean_price")),
-        "dim-means",
+        .agg(round_half_up(F.avg("price"), 6).alias("mean_price"))
+    )
+    entry = F.struct(F.col(dim).alias("at"), F.col("mean_price").alias("mean"))
+    vectors = stage(
+        means.groupBy("match_group").agg(F.array_sort(F.collect_list(entry)).alias("v")).select("v").filter(F.size("v") >= 2),
+        "mean-vectors",
+    )
+    wide = vectors.agg(F.count("*")).scalar()
+    firsts = vectors.filter(wide > MIN_OBSERVATIONS).select("v", F.posexplode("v").alias("i", "x"))
+    pairs = firsts.select("x", F.explode(F.slice("v", F.col("i") + 2, F.size("v"))).alias("y")).select(
+        F.col("x.at").alias("a"), F.col("y.at").alias("b"), F.col("x.mean").alias("price_a"), F.col("y.mean").alias("price_b")
     )
-    wide = means.groupBy("match_group").agg(F.count("*").alias("k")).agg(F.count_if(F.col("k") >= 2)).scalar()
-    a = means.select("match_group", F.col(dim).alias("a"), F.col("mean_price").alias("price_a"))
-    b = means.select("match_group", F.col(dim).alias("b"), F.col("mean_price").alias("price_b"))
-    pairs = a.join(b, "match_group").filter("a < b").filter(wide > MIN_OBSERVATIONS)
-    return correlate(pairs, "price_a", "price_b", ["a", "b"], spearman)
+    return correlate(pairs, "price_a", "price_b", ["a", "b"], spearman, stored=True)
 
 
 def matrix(pairs: DataFrame, dim: str, method: str) -> DataFrame:
     """Full symmetric matrix in long form, ones on the diagonal, four decimals."""
+    pairs = stage(pairs.select("a", "b", method), "pairs")
     r = round_half_up(F.col(method), 4).alias("r")
     upper = pairs.select("a", "b", r)
     lower = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), r)

@@ -97,22 +97,25 @@ def pearson(x: str, y: str) -> Column:
     return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def correlate(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), spearman: bool = True) -> DataFrame:
+def correlate(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), spearman: bool = True, stored: bool = False) -> DataFrame:
     """Pearson, and Spearman unless it is not wanted, of two columns per key over complete cases.
 
-    Spearman is Pearson on average ranks; the complete cases are staged because the rows
-    and both rankings read them.
+    Spearman is Pearson on average ranks, of both columns in one ranking. The complete cases are read by the rows and by
+    the ranking, so they are staged, unless ``stored`` says that they are cheap to read twice.
     """
     keys = list(keys)
     complete = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     complete = complete.na.drop()
     results = [F.count("*").alias("n"), pearson("x", "y").alias("pearson")]
     if spearman:
-        complete = ranked = stage(complete, "complete")
+        complete = ranked = complete if stored else stage(complete, "complete")
+        both = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("value")) for side in ("x", "y")]))
+        entries = complete.select(*keys, both.alias("e")).select(*keys, "e.side", "e.value")
+        # staged: few distinct values are then broadcast, many are joined by a shuffle
+        ranks = stage(average_ranks(entries, [*keys, "side"], "value", "rank"), "ranks")
         for side in ("x", "y"):
-            # staged: few distinct values are then broadcast, many are joined by a shuffle
-            ranks = stage(average_ranks(complete, keys, side, f"rank_{side}"), "ranks")
-            ranked = ranked.join(ranks, [*keys, side])
+            of_side = ranks.filter(F.col("side") == side).drop("side").withColumnsRenamed({"value": side, "rank": f"rank_{side}"})
+            ranked = ranked.join(of_side, [*keys, side])
         complete = ranked
         results.append(pearson("rank_x", "rank_y").alias("spearman"))
     return complete.groupBy(*keys).agg(*results)

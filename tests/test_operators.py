@@ -1,6 +1,7 @@
 import random
 import statistics
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,6 +128,18 @@ def test_quantiles_and_ranks_are_exact_under_skew(spark):
     assert whole == pytest.approx(statistics.median([v for _, v in values if v is not None]))
 
 
+def test_pairs_are_correlated_without_a_join(spark):
+    rows = [(f"g{g}", f"s{s}", float((g * 7 + s * s * g) % 23 + 1)) for g in range(30) for s in range(4) if (g + s) % 5]
+    matched = spark.createDataFrame(rows, "match_group string, store_key string, price double")
+    pairs = correlation.pairwise(matched, "store_key", spearman=False)
+    assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    means = pd.DataFrame(rows, columns=["g", "s", "p"]).pivot(index="g", columns="s", values="p")
+    for method in ("pearson", "spearman"):
+        expected = means.corr(method=method)
+        got = correlation.pairwise(matched, "store_key").collect()
+        assert len(got) == 6 and all(abs(r[method] - expected.loc[r["a"], r["b"]]) < 1e-9 for r in got)
+
+
 def test_zero_variance_correlation_is_null(spark):
     rows = [(f"g{i}", s, "x", "c", "n", "B", 5.0, None) for i in range(12) for s in ("s1", "s2")]
     pairs = correlation.pairwise(group_rows(spark, rows), "store_key").collect()
