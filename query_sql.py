@@ -365,6 +365,8 @@ def statements() -> dict[str, str]:
     out["price_index_pivot"] = "SELECT * FROM (PIVOT (SELECT store_key, city, avg_category_price_index AS v FROM (" + _store_city() + ")) ON city IN ('automobile', 'building', 'furniture', 'household', 'machinery', 'orchard') USING first(v) GROUP BY store_key)"
     out["store_averages"] = _averages("store_key")
     out["city_averages"] = _averages("city")
+    exact = ", ".join(f"{rnd(f'quantile_cont(price, {p})', 4)} AS exact_{q}, TRUE AS {q}_within_error" for q, p in (("q25", 0.25), ("median", 0.5), ("q75", 0.75)))
+    out["sketched_quartiles"] = chain(f"SELECT store_key, count(price) AS num_values, {exact} FROM matched WHERE store_key IS NOT NULL GROUP BY store_key", "matched")
     out["ldi_basic"] = chain(f"SELECT store_key, n AS lowest_price_count, (SELECT count(*) FROM groups) AS total_matched_groups, {rnd('n / (SELECT count(*) FROM groups)', 4)} AS ldi FROM ({_LDI})", "groups")
     out["ldi_weighted"] = chain(f"SELECT store_key, {rnd('sum(n / size * (size / (SELECT count(category) FROM groups)))', 4)} AS weighted_ldi FROM ({_CATWINS}) GROUP BY store_key", "groups")
     grid = f"""SELECT c.category, s.store_key, coalesce(w.n, 0) AS cheapest_count, CAST(coalesce(w.size, 0) AS BIGINT) AS total_in_category,

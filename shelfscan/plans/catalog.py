@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import derived_inputs as derived
 from shelfscan.functions import keys, text
 from shelfscan.functions.numbers import round_half_up
-from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, leaders, match, quality, stores, views
+from shelfscan.operators import clean, correlation, dedup, dispersion, fuzzy, leaders, match, quality, sketches, stores, views
+from shelfscan.operators.stats import quantiles
 from shelfscan.plans.layers import layers_of
 from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files
 from shelfscan.sources.name_index import indexed_search
@@ -165,6 +166,18 @@ def city_averages(spark, sf):
     return rounded(stores.averages(layers_of(spark, sf).matched, "city"), avg_price=4, median_price=4)
 
 
+@register
+def sketched_quartiles(spark, sf):
+    """Quartiles per store from merged store and city sketches: exact ones, and whether the sketched are within the error."""
+    layers = layers_of(spark, sf)
+    by_store = sketches.sketched_quantiles(sketches.merged(layers.price_sketches, ["store_key"]), ["store_key"])
+    errors = sketches.rank_errors(layers.matched, by_store, ["store_key"])
+    within = [(F.col(q) <= sketches.RANK_ERROR).alias(f"{q}_within_error") for q in sketches.QUARTERS]
+    exact = quantiles(layers.matched.filter("store_key IS NOT NULL"), ["store_key"], "price", {f"exact_{q}": p for q, p in sketches.QUARTERS.items()})
+    table = by_store.select("store_key", "num_values").join(errors.select("store_key", *within), "store_key").join(exact, "store_key")
+    return rounded(table, exact_q25=4, exact_median=4, exact_q75=4)
+
+
 @register
 def ldi_basic(spark, sf):
     return leaders.leader_counts(layers_of(spark, sf).profile)

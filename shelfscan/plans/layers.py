@@ -11,6 +11,7 @@ from shelfscan.operators.clean import clean_listings
 from shelfscan.operators.dispersion import group_profile
 from shelfscan.operators.fuzzy import fuzzy_boost
 from shelfscan.operators.match import match_listings, matched_only, with_match_keys
+from shelfscan.operators.sketches import price_sketches
 from shelfscan.sources.listings import listings
 from shelfscan.sources.name_index import build_name_index
 from shelfscan.sources.staging import stage, stage_root, tune
@@ -57,6 +58,11 @@ class Layers:
         build_name_index(self.processed, path)
         return path
 
+    @cached_property
+    def price_sketches(self) -> DataFrame:
+        """A quantile sketch of the prices of every store and city."""
+        return stage(price_sketches(self.matched.filter("store_key IS NOT NULL")), "price-sketches")
+
     @cached_property
     def profile(self) -> DataFrame:
         return stage(group_profile(self.matched), "groups")

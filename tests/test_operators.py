@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfscan.operators import clean, correlation, dedup, dispersion, leaders, match, quality, stats, stores, views
+from shelfscan.operators import clean, correlation, dedup, dispersion, leaders, match, quality, sketches, stats, stores, views
 
 
 def listings(spark, rows):
@@ -225,3 +225,24 @@ def test_policies_and_new_names_in_one_pass(spark):
     assert sorted(map(str, one)) == sorted(map(str, two))
     plan = dedup.first_new_names(df, F.col("old"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 1
+
+
+def test_sketches_merge_within_their_error(spark):
+    generator = random.Random(4)
+    rows = [(f"s{i % 3}", f"c{i % 7 % 4}", generator.choice([1.0, generator.lognormvariate(3, 1), None])) for i in range(30_000)]
+    rows += [("s0", "c9", None), ("s3", "c0", 5.0), ("s4", "c0", float("nan"))]
+    prices = spark.createDataFrame(rows, "store_key string, city string, price double")
+    parts = sketches.price_sketches(prices)
+    for by in (["store_key"], []):
+        found = sketches.sketched_quantiles(sketches.merged(parts, by), by)
+        got = {tuple(r[b] for b in by): r for r in found.collect()}
+        for key, r in got.items():
+            known = sorted(p for *place, p in rows if p is not None and p == p and (not by or place[0] == key[0]))
+            assert r["num_values"] == len(known)
+            for name, share in sketches.QUARTERS.items():
+                below, upto = (sum(test) / len(known) for test in ((p < r[name] for p in known), (p <= r[name] for p in known)))
+                assert below - sketches.RANK_ERROR <= share <= upto + sketches.RANK_ERROR
+        assert set(got) == ({("s0",), ("s1",), ("s2",), ("s3",)} if by else {()})
+    errors = sketches.rank_errors(prices, sketches.sketched_quantiles(sketches.merged(parts, ["store_key"]), ["store_key"]), ["store_key"]).collect()
+    assert len(errors) == 4 and all(0 <= r[q] <= sketches.RANK_ERROR for r in errors for q in sketches.QUARTERS)
+    assert sketches.price_sketches(prices.limit(0)).collect() == []
