@@ -6,10 +6,12 @@ the largest sums of one to the smallest of the other, subtracts what all sums ha
 common, and goes on until one tuple is left; its spread is the imbalance.
 
 On a cluster, groups larger than 1 / (``LARGE`` * shards) of all bytes, of which there can be no more than
-``LARGE`` * shards, are differenced first. All others are dealt to blocks of about ``block``
-groups. Each block starts with its equal share of the large groups' tuple as one more tuple and
-differences everything to one; where that tuple's sums end up names the shards. So each block
-fills what the large groups left open, and shards differ by the blocks' spreads (a few bytes each) only.
+``LARGE`` * shards, are differenced first. Shards that they fill beyond an equal share of what is left are closed. All other
+groups are dealt to blocks of about ``block`` groups, and each block is differenced to one tuple over the open shards.
+A part of the blocks levels the open shards: each of them starts with its share of the large groups' tuple as
+one more tuple, so it fills what they left open. The tuples of all other blocks are then differenced with each other,
+``FAN`` at a time in rounds, the last round with the levelled tuple; where its sums end up names the shards. So what one block has too much
+of meets what another has too little of, and the spread does not grow with the number of blocks.
 
 * null text: no bytes, one group; its CRC is that of no bytes (0); empty text: another group of the same size
 * repeated rows are rows of one group; null ids are placed like others
@@ -38,6 +40,7 @@ OVERHEAD = 16
 BLOCK = 1 << 14
 LARGE = 16
 SLOT_ROWS = 1 << 16
+FAN = 256
 
 
 def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +81,54 @@ def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[top] + base, where
 
 
-def shard_groups(groups: DataFrame, shards: int = SHARDS, block: int = BLOCK) -> DataFrame:
+def _closed(base: np.ndarray, total: int) -> int:
+    """How many shards, from the first (``base`` falls), hold more than an equal share of what the ones before leave."""
+    closed, left = 0, total
+    while closed < len(base) - 1 and int(base[closed]) * (len(base) - closed) > left:
+        left -= int(base[closed])
+        closed += 1
+    return closed
+
+
+def _named(sums: np.ndarray) -> np.ndarray:
+    """Places of the sums of all tuples after differencing; a place is named by the sum of the first tuple that went there."""
+    _, where = difference(sums)
+    name = np.empty(sums.shape[1], dtype=np.int32)
+    name[where[0]] = np.arange(sums.shape[1])
+    return name[where]
+
+
+def _difference_nodes(nodes: DataFrame, levelled: DataFrame, count: int, shards: int, fan: int) -> DataFrame:
+    """(node, place, shard) for tuples in rows (node, place, size), numbered from 0 to below ``count``, by rounds of differencing."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, row = np.unique(table.column("node").to_numpy(), return_inverse=True)
+        sums = np.zeros((len(nodes), shards), dtype=np.int64)
+        sums[row, table.column("place").to_numpy()] = table.column("size").to_numpy()
+        place = np.tile(np.arange(shards, dtype=np.int32), len(nodes))
+        parent = np.full(len(place), table.column("parent")[0].as_py(), dtype=np.int64)
+        return pa.table({"parent": parent, "node": np.repeat(nodes, shards), "place": place, "went": _named(sums).ravel(), "size": sums.ravel()})
+
+    rounds = []
+    while True:
+        last = count <= fan
+        nodes = nodes.withColumn("parent", F.floor(F.col("node") / fan).cast("long"))
+        if last:
+            # number -1: the first tuple of the last round
+            nodes = nodes.unionByName(levelled.select(F.lit(-1).cast("long").alias("node"), "place", "size", F.lit(0).cast("long").alias("parent")))
+        rounds.append(stage(nodes.groupBy("parent").applyInArrow(run, "parent long, node long, place int, went int, size long"), "round"))
+        if last:
+            break
+        nodes = rounds[-1].groupBy(F.col("parent").alias("node"), F.col("went").alias("place")).agg(F.sum("size").alias("size"))
+        count = -(-count // fan)
+    names = rounds[-1].select("node", "place", F.col("went").alias("shard"))
+    for earlier in reversed(rounds[:-1]):
+        above = names.select(F.col("node").alias("parent"), F.col("place").alias("went"), "shard")
+        names = earlier.join(above, ["parent", "went"]).select("node", "place", "shard")
+    return names
+
+
+def shard_groups(groups: DataFrame, shards: int = SHARDS, block: int = BLOCK, fan: int = FAN) -> DataFrame:
     """(key, shard) for groups (key string, size long, not below 1)."""
     spark = groups.sparkSession
     ship(spark)
@@ -90,24 +140,39 @@ def shard_groups(groups: DataFrame, shards: int = SHARDS, block: int = BLOCK) ->
     base, where = difference(sums)
     fixed = spark.createDataFrame([(r["key"], int(w[0])) for r, w in zip(large, where[1:], strict=True)], "key string, shard int")
     blocks = max(1, -(-(n - len(large)) // block))
+    closed = _closed(base, int(total))
+    left = base[closed:]
+    missing = int((left.max() - left).sum())
+    # twice the bytes that are missing, so that every levelling block can even out its share
+    levelling = min(blocks, -(-2 * missing * blocks // max(1, int(total) - int(base.sum()))))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("key")
-        sums = np.zeros((table.num_rows + 1, shards), dtype=np.int64)
-        sums[0] = base // blocks
+        sums = np.zeros((table.num_rows + 1, shards - closed), dtype=np.int64)
+        if table.column("node")[0].as_py() < 0:
+            sums[0] = left // levelling
         sums[1:, 0] = table.column("size").to_numpy()
-        _, where = difference(sums)
-        shard_at = np.empty(shards, dtype=np.int32)
-        shard_at[where[0]] = np.arange(shards)
-        return pa.table({"key": table.column("key"), "shard": shard_at[where[1:, 0]]})
-
-    dealt = groups.where(~is_large).select("key", "size", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block_no"))
-    placed = dealt.groupBy("block_no").applyInArrow(run, "key string, shard int")
-    return fixed.unionByName(placed)
+        return table.append_column("place", pa.array(_named(sums)[1:, 0]))
+
+    # levelling blocks have numbers below 0
+    node = F.pmod(F.xxhash64("key"), F.lit(blocks)) - levelling
+    dealt = groups.where(~is_large).select("key", "size", node.cast("long").alias("node"))
+    placed = stage(dealt.groupBy("node").applyInArrow(run, "key string, size long, node long, place int"), "blocks")
+    levelled = placed.where("node < 0")
+    shard = (F.col("place") + closed).cast("int").alias("shard")
+    done = fixed.unionByName(levelled.select("key", shard))
+    if levelling == blocks:
+        return done
+    start = spark.createDataFrame([(s, int(size)) for s, size in enumerate(left)], "place int, size long")
+    level = start.unionByName(levelled.select("place", "size")).groupBy("place").agg(F.sum("size").alias("size"))
+    tuples = placed.where("node >= 0").groupBy("node", "place").agg(F.sum("size").alias("size"))
+    names = _difference_nodes(tuples, level, blocks - levelling, shards - closed, fan)
+    free = placed.where("node >= 0").join(names, ["node", "place"])
+    return done.unionByName(free.select("key", (F.col("shard") + closed).cast("int").alias("shard")))
 
 
 def shard_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, block: int = BLOCK
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, block: int = BLOCK, fan: int = FAN
 ) -> DataFrame:
     """Every row's id, size, text_crc32, group (digest of the text), shard and slot in the shard."""
     text = F.col(text_col).cast("string")
@@ -120,7 +185,7 @@ def shard_documents(
         "sizes",
     )
     groups = rows.groupBy(F.col("group").alias("key")).agg(F.sum("size").alias("size"))
-    placed = shard_groups(groups, shards, block)
+    placed = shard_groups(groups, shards, block, fan)
     return with_slots(rows.join(placed, F.col("group") == F.col("key")).drop("key"))
 
 

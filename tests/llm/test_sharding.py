@@ -68,3 +68,38 @@ def test_blocks_fill_around_a_large_group(spark):
         sums = sorted(loads(placed, 5))
         assert len({r["shard"] for r in placed if r["id"] < 2000}) == 1
         assert sums[4] >= 2000 * 216 and sums[3] - sums[0] < 500
+
+
+def slow_difference(tuples):
+    """Differencing by its definition: sort by spread, join the first two, until one is left."""
+    left = [sorted(t, reverse=True) for t in tuples]
+    while len(left) > 1:
+        left.sort(key=lambda t: t[0] - t[-1], reverse=True)
+        a, b = left[:2]
+        left = [sorted((x + y for x, y in zip(a, reversed(b), strict=True)), reverse=True), *left[2:]]
+    return left[0]
+
+
+def test_differencing_equals_its_definition():
+    rng = np.random.default_rng(8)
+    for k in (2, 3, 5):
+        sums = rng.permutation(np.array([[2**i * 3 + i] + [0] * (k - 1) for i in range(14)], dtype=np.int64))
+        assert sorted(difference(sums)[0].tolist(), reverse=True) == slow_difference(sums.tolist())
+
+
+def test_spread_does_not_grow_with_the_blocks(spark):
+    """Blocks of 60 groups in rounds of 4: several rounds, every row once, groups whole, spread of a few bytes."""
+    rng = np.random.default_rng(9)
+    sizes = rng.integers(1, 400, 4000).tolist()
+    docs = spark.createDataFrame([(i, f"{i:05d}" + "z" * n) for i, n in enumerate(sizes)], "doc_id long, text string")
+    for shards, hot in ((5, 0), (5, 3000), (7, 1), (1, 0)):
+        rows = docs.unionByName(spark.createDataFrame([(10_000 + i, "hot" * 40) for i in range(hot)], docs.schema)) if hot else docs
+        placed = shard_documents(rows, shards=shards, block=60, fan=4).collect()
+        assert sorted(r["id"] for r in placed) == sorted([*range(4000), *range(10_000, 10_000 + hot)])
+        groups = {(r["group"], r["shard"]) for r in placed}
+        assert len(groups) == 4000 + (hot > 0)
+        sums = sorted(loads(placed, shards))[: shards - (hot == 3000)]
+        assert sums[-1] - sums[0] < 60
+        for shard in range(shards):
+            slots = sorted(r["slot"] for r in placed if r["shard"] == shard)
+            assert slots == list(range(len(slots)))
