@@ -82,7 +82,10 @@ def _joined(pieces: str) -> Column:
 
 
 def parsed(formatted: str) -> Column:
-    """Turns (role, text) of a formatted conversation, unescaped; pieces are cut by the grammar alone."""
+    """Turns (role, text) of a formatted conversation, unescaped; pieces are cut by the grammar alone.
+
+    Null where the pieces do not account for every character.
+    """
     whole = F.regexp_extract_all(formatted, F.lit(_PIECE), F.lit(0))
     part = lambda piece, i: F.regexp_extract(piece, _PIECE, i)
 
@@ -97,7 +100,7 @@ def parsed(formatted: str) -> Column:
         text = F.when(is_user, part(piece, 1)).when(is_assistant, part(piece, 2)).when(is_system, part(piece, 3)).otherwise(part(piece, 5))
         return F.struct(role.alias("role"), unescaped(text).alias("text"))
 
-    return F.transform(whole, turn)
+    return F.when(F.array_join(whole, "") == F.col(formatted), F.transform(whole, turn))
 
 
 def format_conversations(
@@ -121,7 +124,7 @@ def format_conversations(
     first = (
         conversations.withColumn("plain", _rendered("source", False))
         .withColumn("plain_text", _joined("plain"))
-        .withColumn("is_escaped", parsed("plain_text") != F.col("source"))
+        .withColumn("is_escaped", ~parsed("plain_text").eqNullSafe(F.col("source")))
     )
     second = (
         first.withColumn("pieces", F.when(F.col("is_escaped"), _rendered("source", True)).otherwise(F.col("plain")))
@@ -145,7 +148,7 @@ def format_conversations(
         F.col("read").alias("turns"),
         F.aggregate(ranges, begun, step)["spans"].alias("mask"),
         "is_escaped",
-        (F.col("read") == F.col("source")).alias("round_trips"),
+        F.col("read").eqNullSafe(F.col("source")).alias("round_trips"),
     )
 
 

@@ -35,13 +35,20 @@ ORACLE = {
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
-), sized AS (
-  SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 24 + length(role) END
-    + length(text) + CASE WHEN conv_id = -1 THEN 3 ELSE 0 END AS chars
+), shaped AS (
+  SELECT *, role NOT IN ('user', 'assistant', 'system') AS other,
+    CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN '</s>' WHEN 'system' THEN '<</SYS>>' ELSE ' [/TEXT]' END AS closing,
+    '[\[<]\\*(/?INST\]|/?ROLE\]|/TEXT\]|/?s>|</?SYS>>)' AS control
   FROM turns
+), sized AS (
+  SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 24 + length(role) END + length(text) AS chars,
+    instr(text || closing, closing) <= length(text) OR other AND instr(role || ' [/ROLE] ', ' [/ROLE] ') <= length(role) AS conflict,
+    len(regexp_extract_all(text, control)) + CASE WHEN other THEN len(regexp_extract_all(role, control)) ELSE 0 END AS controls
+  FROM shaped
 ), whole AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS listed,
-    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(chars) + CASE WHEN bool_or(conflict) THEN sum(controls) ELSE 0 END AS chars
   FROM sized GROUP BY conv_id
 )
 SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(listed) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,

@@ -1,9 +1,11 @@
 import itertools
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
-from shelfscan.llm.chat import CONTROL, escaped, format_conversations, masked_texts, unescaped
+from shelfscan.llm.chat import CONTROL, escaped, format_conversations, masked_texts, parsed, unescaped
+from shelfscan.llm.op9_query import ORACLE, chat_formatting
 
 SCHEMA = "conv_id long, turn long, role string, text string, conv string, formatted int"
 
@@ -57,3 +59,22 @@ def test_nulls_ties_repeats_and_nothing(spark):
 def test_plan_is_native(spark):
     plan = formatted(spark, [(1, 0, "user", "x")])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_equals_its_sql_on_hostile_texts(spark, tmp_path):
+    """The SQL states conflicts and escapes for any text, not for the added conversation only."""
+    parts = ["<s>", "</s>", "[INST]", " [/INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE] ", " [/ROLE] ", " [/TEXT]", "\\", "<", "[", " ", "a"]
+    generator = random.Random(6)
+    some = lambda: "".join(generator.choice(parts) for _ in range(generator.randrange(6)))
+    rows = [(i // 2, i % 2, generator.choice(["user", "assistant", "system", "tool", some()]), some()) for i in range(1200)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    expected = con.execute(ORACLE["op9_chat_formatting"]).fetchall()
+    assert sorted(map(tuple, chat_formatting(spark, str(tmp_path)).collect())) == sorted(expected)
+
+
+def test_parser_accounts_for_every_character(spark):
+    df = spark.createDataFrame([("[INST] a [/INST]<s>b</s>",), ("[INST] a [/INST] <s>b</s>",), ("x<s>b</s>",), ("<s>b",), ("",)], "t string")
+    got = [r["p"] for r in df.select(parsed("t").alias("p")).collect()]
+    assert [tuple(t) for t in got[0]] == [("user", "a"), ("assistant", "b")] and got[1:] == [None, None, None, []]
