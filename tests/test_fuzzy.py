@@ -136,3 +136,15 @@ def test_boost_links_names_that_share_no_word(spark):
     boosted = fuzzy.fuzzy_boost(frame(spark, listings)).filter("match_pass = 4")
     groups = {frozenset(r["n"]) for r in boosted.groupBy("match_group").agg(F.collect_list("product_name_clean").alias("n")).collect()}
     assert groups == {frozenset(n for _, n in listings[i : i + 2]) for i in range(0, len(listings), 2)}
+
+
+def test_names_of_a_block_that_want_the_same_are_settled_together(spark, monkeypatch):
+    """200 names with one list in common: one at a time would need as many rounds."""
+    rounds = []
+    asked = fuzzy._asked
+    monkeypatch.setattr(fuzzy, "_asked", lambda state: rounds.append(1) or asked(state))
+    listings = [(s, f"red widget number {i:03d}") for s in ("s1", "s2") for i in range(200)]
+    listings = [(s, n.replace("number", "same") if s == "s1" else n) for s, n in listings]
+    got = linked(spark, listings, k=200)
+    assert len(got) == 200 and got == greedy(listings)
+    assert len(rounds) <= 4
