@@ -246,3 +246,24 @@ def test_sketches_merge_within_their_error(spark):
     errors = sketches.rank_errors(prices, sketches.sketched_quantiles(sketches.merged(parts, ["store_key"]), ["store_key"]), ["store_key"]).collect()
     assert len(errors) == 4 and all(0 <= r[q] <= sketches.RANK_ERROR for r in errors for q in sketches.QUARTERS)
     assert sketches.price_sketches(prices.limit(0)).collect() == []
+
+
+def test_policies_within_another_count_its_keys(spark, capsys):
+    """Rows make keys of the wide policies only; with nulls and repeats the counts are those of each policy alone."""
+    from shelfscan.operators import dedup
+
+    names = ("listing", "listing_any_price", "offer", "item")
+    rows = [("s1" if i % 3 else None, "c" if i % 2 else None, f"n{i % 5}" if i % 7 else None, float(i % 4) if i % 5 else None, i % 6 or None) for i in range(200)]
+    df = spark.createDataFrame(rows, "store_key STRING, city STRING, product_name STRING, price DOUBLE, sku INT")
+    out = dedup.unique_by_policy(df, names)
+    place = {c: n for n, c in enumerate(df.columns)}
+    for row in out.collect():
+        own = [r for r in rows if r[0] == row["store_key"]]
+        assert row["num_rows"] == len(own)
+        for p in names:
+            assert row[p] == len({tuple(r[place[k]] for k in dedup.POLICIES[p]) for r in own}), p
+    assert out.count() == 2 and dedup.unique_by_policy(df.limit(0), names).collect() == []
+    capsys.readouterr()
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "listing_any_price" not in plan[plan.rindex("Generate") :]
