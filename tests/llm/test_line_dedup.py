@@ -1,4 +1,4 @@
-from shelfscan.llm.line_dedup import DIVISOR, WINDOW, deduplicated, remove_repeated_chunks, remove_repeated_passages
+from shelfscan.llm.line_dedup import DIVISOR, WINDOW, deduplicated, remove_repeated_chunks, remove_repeated_passages, settle_chunks
 
 MASK, BASE = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
@@ -109,3 +109,23 @@ def test_passages_of_documents_equal_brute_force(spark, awkward, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null")
     assert passages(docs) == brute_pairs([(r["doc_id"], r["text"]) for r in docs.collect()])
     assert remove_repeated_passages(nothing).collect() == [] and remove_repeated_passages(awkward).count() == awkward.count()
+
+
+def test_chunks_settle_long_passages_before_pairs(spark):
+    body = [f"line {i * 37 % 101} of the passage {i}" for i in range(200)]
+    rows = [(1, "\n".join(body)), (2, "\n".join(["new", "lines", *body, "end"])), (3, "\n".join(body[90:])), (4, "\n".join([body[7], "", body[8], *body[8:12]]))]
+    chunks, pairs = settle_chunks(spark.createDataFrame(rows, "id long, text string"))
+    settled, left = chunks.groupBy("id").count().collect(), dict(pairs.groupBy("id").count().collect())
+    # all pairs of a first occurrence go on; of a copy only those at the edges and across outer cuts
+    assert {r["id"] for r in settled} >= {2, 3} and left[1] == 199 and left[2] < 50 and left[3] < 30
+    assert passages(spark.createDataFrame(rows, "doc_id long, text string")) == brute_pairs(rows)
+
+
+def test_rows_of_one_id_keep_what_stands_at_one_place(spark):
+    """Chunks of rows that share an id have the place of their first pair, as pairs have."""
+    body = [f"line {i * 37 % 101} of the passage {i}" for i in range(60)]
+    heads = [[], ["one more"], ["two", "more"]]
+    for head in heads:
+        rows = [(5, "\n".join(body), 0), (5, "\n".join([*head, *body]), 1)]
+        got = sorted(r["n_removed"] for r in remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect())
+        assert got == ([0, 60] if len(head) == 2 else [0, 0])
