@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfscan.functions.fixed_values import FILLER_WORDS, KEY_SIZE_UNITS
 
-_SIZES = rf"\p{{Nd}}+\.?\p{{Nd}}*[\s\p{{Z}}]*(?:{KEY_SIZE_UNITS})(?![\p{{L}}\p{{N}}_])"
+# possessive: a unit begins with none of the characters before it, so giving some of them back never helps
+_SIZES = rf"\p{{Nd}}++\.?+\p{{Nd}}*+[\s\p{{Z}}]*+(?:{KEY_SIZE_UNITS})(?![\p{{L}}\p{{N}}_])"
 
 
 def brand_slug(brand: Column) -> Column:

@@ -15,8 +15,8 @@ from shelfscan.functions.fixed_values import (
 from shelfscan.functions.numbers import round_half_up
 from shelfscan.functions.text import literal_map
 
-# a letter, digit or underscore must not follow the unit
-_SIZE = rf"\p{{Nd}}+\.?\p{{Nd}}*[\s\p{{Z}}]*(?:{SIZE_UNITS})(?![\p{{L}}\p{{N}}_])"
+# a letter, digit or underscore must not follow the unit; possessive, since a unit begins with none of the characters before it
+_SIZE = rf"\p{{Nd}}++\.?+\p{{Nd}}*+[\s\p{{Z}}]*+(?:{SIZE_UNITS})(?![\p{{L}}\p{{N}}_])"
 _ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
 
 

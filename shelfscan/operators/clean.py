@@ -18,15 +18,17 @@ def with_clean_names(df: DataFrame, fragments: Sequence[str] = PROMO_FRAGMENTS)
     """Add ``product_name_clean``.
 
     Equals ``text.clean_name``, in steps; the removal chain and the second cleaning only
-    run on names in which a fragment occurs.
+    run on names in which a fragment occurs. Normalised text is a step of its own, so that one UDF call gives it.
     """
-    tidy, promo, rest = F.col("_tidy"), F.col("_promo"), F.col("_rest")
+    plain, tidy, promo, rest = F.col("_plain"), F.col("_tidy"), F.col("_promo"), F.col("_rest")
     return (
-        df.withColumn("_tidy", text.clean_text(F.col("product_name")))
+        df.withColumn("_plain", text.normal_text(F.col("product_name")))
+        .withColumn("_tidy", text.single_spaces(plain))
         .withColumn("_promo", text.may_have_promo(F.lower(tidy), fragments))
         .withColumn("_rest", F.when(promo, text.remove_promos(tidy, fragments)))
-        .withColumn("product_name_clean", F.when(promo, text.clean_text(rest)).otherwise(tidy))
-        .drop("_tidy", "_promo", "_rest")
+        .withColumn("_plain", text.normal_text(rest))
+        .withColumn("product_name_clean", F.when(promo, text.single_spaces(plain)).otherwise(tidy))
+        .drop("_plain", "_tidy", "_promo", "_rest")
     )
 
 

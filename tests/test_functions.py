@@ -101,3 +101,26 @@ def test_categories_links_and_verdicts(spark):
     assert one_column(spark, [0.2, -0.2, 0.05, None], "DOUBLE", numbers.correlation_verdict) == ["positive", "negative", "none", None]
     assert one_column(spark, [4.9, 5.0, 20.0], "DOUBLE", numbers.missing_status) == ["OK", "WARNING", "BAD"]
     assert one_column(spark, [0.125, -0.125, None], "DOUBLE", lambda c: numbers.round_half_up(c, 2)) == [0.13, -0.13, None]
+
+
+def test_sizes_are_found_in_one_way_only(spark):
+    """Long numbers: a pattern that gives digits back tries every way to split them, and does not end in time."""
+    import time
+
+    digits = "1" * 3000
+    names = ["1.2.3kg", "1.23.4 kg tea", "12 kgs 5.kg", "tea 5\u00a0 ml", "5 .g", "7..5g", "3 g_ 4 l", f"{digits} tea {digits} 2 l"]
+    df = spark.createDataFrame([(n,) for n in names], "n STRING")
+    start = time.monotonic()
+    rows = df.select(units.size_text(F.col("n")), keys.product_words(F.col("n"))).collect()
+    assert time.monotonic() - start < 20
+    assert [tuple(r) for r in rows[:7]] == [
+        ("2.3kg", ""), ("23.4 kg", "tea"), ("5.kg", "12_kgs"), ("5\u00a0 ml", "tea"), ("", ""), ("5g", ""), ("4 l", ""),
+    ]
+    assert rows[7][0] == "2 l" and rows[7][1] == f"{digits}_tea_{digits}"
+
+
+def test_the_first_word_keeps_ascii_letters_digits_and_dashes(spark):
+    names = ["Z-9 tea", "\u00c9cole's tea", "a_b c", "\u0663x y", "!! b", " \u00a0Al-Fatah x"]
+    df = spark.createDataFrame([(n,) for n in names], "n STRING")
+    found = [r[0] for r in df.select(text.extract_brand(F.col("n"))).collect()]
+    assert found == ["Z-9", "Coles", "Ab", "X", "Unknown", "Al-Fatah"]

@@ -267,3 +267,9 @@ def test_policies_within_another_count_its_keys(spark, capsys):
     out.explain()
     plan = capsys.readouterr().out
     assert "listing_any_price" not in plan[plan.rindex("Generate") :]
+
+
+def test_a_cleaning_calls_the_normalising_function_once(spark):
+    """Each of both cleanings (before and after the promo words go) holds one call of the UDF, not one for every mention."""
+    plan = clean.clean_names(listings(spark, [("a", "x", "c", "n", 1.0)]))._jdf.queryExecution().executedPlan().toString()
+    assert "pythonUDF0" in plan and "pythonUDF1" not in plan
