@@ -53,8 +53,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
-    # small tables join the rows one by one: the planner then knows each one's real size and
-    # broadcasts only what is small; orders meet customers before the wide rows are shuffled
+    # orders meet customers, and lines meet orders, while rows are narrow; parts come after that, so that only they
+    # widen the rows that are shuffled for the last time; the small tables join one by one: the planner then knows
+    # each one's real size and broadcasts only what is small
     cities = (
         t("orders")
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -62,11 +63,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = (
         t("lineitem")
+        .join(cities, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(cities, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     keyed = joined.withColumns(
         {

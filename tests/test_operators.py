@@ -273,3 +273,23 @@ def test_a_cleaning_calls_the_normalising_function_once(spark):
     """Each of both cleanings (before and after the promo words go) holds one call of the UDF, not one for every mention."""
     plan = clean.clean_names(listings(spark, [("a", "x", "c", "n", 1.0)]))._jdf.queryExecution().executedPlan().toString()
     assert "pythonUDF0" in plan and "pythonUDF1" not in plan
+
+
+def test_listings_meet_their_orders_before_their_parts(spark, folder):
+    """Only the last large shuffle holds the names of parts."""
+    from shelfscan.sources.listings import listings as derived
+
+    tables = {
+        "lineitem": "1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, 0.06D l_discount",
+        "orders": "1L o_orderkey, 1L o_custkey, timestamp'2024-01-01' o_orderdate", "customer": "1L c_custkey, 'BUILDING' c_mktsegment",
+        "part": "1L p_partkey, 'red gear' p_name, 'Brand#11' p_brand, 'SMALL TIN' p_type, 5 p_size, 10D p_retailprice",
+        "supplier": "1L s_suppkey, 1 s_nationkey", "nation": "1 n_nationkey, 1 n_regionkey", "region": "1 r_regionkey, 'ASIA' r_name",
+    }
+    for name, columns in tables.items():
+        spark.sql(f"SELECT {columns}").write.parquet(f"{folder}/{name}.parquet")
+    found = derived(spark, folder)
+    assert [(r["store_key"], r["city"], r["category"], r["sku"]) for r in found.collect()] == [("asia", "building", "small tin", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    orders = next(line for line in plan.splitlines() if "Join Inner, (l_orderkey" in line)
+    parts = next(line for line in plan.splitlines() if "Join Inner, (l_partkey" in line)
+    assert orders.index("Join") > parts.index("Join")
