@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from shelfscan.sources.schemas import ROW_ORDER
 
+# names first where rows are sorted whole: they tell most rows apart, and equal texts lie together in files and shuffles
 POLICIES = {
-    "listing": ("store_key", "city", "product_name", "price"),
+    "listing": ("product_name", "store_key", "city", "price"),
     "listing_any_price": ("store_key", "city", "product_name"),
     "offer": ("product_name", "price"),
     "city_merge": ("product_name", "city"),
-    "store_city_merge": ("store_key", "product_name", "city"),
+    "store_city_merge": ("product_name", "store_key", "city"),
     "item": ("sku",),
 }
 
