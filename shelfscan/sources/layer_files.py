@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from shelfscan.operators.clean import replicate_cities
 from shelfscan.operators.dedup import merge_first_wins
 from shelfscan.sources.schemas import ROW_ORDER, combine, conform, texts
+from shelfscan.sources.staging import stage
 from shelfscan.sources.versions import Snapshot, glob, read_version, snapshot, write_version
 
 #: Datasets whose footers are read at a time.
@@ -126,11 +127,16 @@ def write_results(tables: Mapping[str, DataFrame], folder: str, form: str = "par
 def merge_into_partitions(
     spark: SparkSession, path: str, new: DataFrame, policy: str = "city_merge", run: str | None = None
 ) -> None:
-    """A new version with the partitions that ``new`` touches replaced or added; rows already there win over equal keys."""
+    """A new version with the partitions that ``new`` touches replaced or added; rows already there win over equal keys.
+
+    The touched partitions are stored first: their size is then known, and while they are few no old row is shuffled to meet them.
+    """
     base = snapshot(spark, path)
+    if base is not None and run in base.runs:
+        return
     merged = new
     if base is not None:
-        touched = new.select("store_key", "city").distinct()
+        touched = stage(new.select("store_key", "city").distinct(), "touched")
         old = read_version(spark, path, base.number).join(touched, ["store_key", "city"], "left_semi")
         merged = merge_first_wins(old, new, policy)
     write_version(merged, path, ("store_key", "city"), run, keep_others=True, base=base)

@@ -45,6 +45,25 @@ def test_partition_merge_and_replication(spark, folder):
     assert read().filter("store_key = 's' AND city = 'w'").count() == 2
 
 
+def test_old_rows_meet_few_touched_partitions_without_a_shuffle(spark, folder, monkeypatch):
+    frame = lambda n, price: spark.range(n).selectExpr("'s' AS store_key", "concat('x', id % 3) AS city", "concat('Tea ', id) AS product_name", f"{price}D AS price", "struct(id AS row) AS row_ord")
+    path, written = f"{folder}/raw", []
+    layer_files.write_raw(frame(5000, 1.0), path)
+    write = layer_files.write_version
+    monkeypatch.setattr(layer_files, "write_version", lambda df, *a, **k: (written.append(df), write(df, *a, **k))[1])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        layer_files.merge_into_partitions(spark, path, frame(5010, 2.0), run="new")
+        plan = written[0]._jdf.queryExecution().executedPlan().toString()
+        # a run that has been committed is not merged again
+        layer_files.merge_into_partitions(spark, path, frame(5020, 2.0), run="new")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and len(written) == 1
+    assert layer_files.read_layer(spark, path).groupBy("price").count().orderBy("price").collect() == [(1.0, 5000), (2.0, 10)]
+
+
 def test_one_scan_per_physical_schema(spark, folder):
     for i in range(30):
         kind = ("BIGINT", "STRING", "DOUBLE")[i % 3]
