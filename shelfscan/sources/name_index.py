@@ -41,8 +41,8 @@ def build_name_index(layer: DataFrame, path: str, name: str = "product_name_clea
     grams = F.when(F.length(lower) >= _GRAM, F.array_distinct(F.transform(starts, lambda i: F.substring(lower, i, F.lit(_GRAM)))))
     plain = F.octet_length("name") == F.length("name")
     held = stored.select("name_id", F.explode(F.when(plain, grams).otherwise(F.array(F.lit("")))).alias("gram"))
-    # a common trigram is in very many names: within its shard it may be split over files
-    clustered = held.withColumn("shard", _shard(F.col("gram"))).repartitionByRange("shard", "gram", "name_id").sortWithinPartitions("shard", "gram", "name_id")
+    # a common trigram is in very many names: a large shard is split over files. No ranges: to sample them, all trigrams would be made twice
+    clustered = held.withColumn("shard", _shard(F.col("gram"))).hint("rebalance", "shard").sortWithinPartitions("shard", "gram", "name_id")
     clustered.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/postings")
 
 

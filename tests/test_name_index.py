@@ -45,3 +45,12 @@ def test_only_shards_of_the_trigrams_are_read(spark, index):
     used = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in used and "shard" in used.split("PartitionFilters: [")[1].split("]")[0] and "PushedFilters: [In(gram" in used
     assert len(shards) > 20 and read.select("shard").distinct().count() <= 2
+
+
+def test_trigrams_are_made_once(spark, folder, monkeypatch):
+    """Ranges of postings would be sampled first, by making all trigrams."""
+    layer = spark.sql("SELECT 'large gear' AS product_name_clean")
+    monkeypatch.setattr(type(layer), "repartitionByRange", lambda *a: pytest.fail("sampled"))
+    name_index.build_name_index(layer, folder)
+    held = spark.read.parquet(f"{folder}/postings")
+    assert sorted(r[0] for r in held.select("gram").collect()) == sorted({"large gear"[i : i + 3] for i in range(8)})
