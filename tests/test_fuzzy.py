@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,19 @@ def test_links_over_many_blocks(spark, monkeypatch):
     assert linked(spark, listings, k=5) == greedy(listings)
 
 
+def test_links_over_turns_of_few_names(spark, monkeypatch):
+    """What a turn has taken is not offered to the next one."""
+    monkeypatch.setattr(fuzzy, "TURN", 16)
+    offers = []
+    settled = fuzzy._settled
+    monkeypatch.setattr(fuzzy, "_settled", lambda asking, offered, *more: offers.append((asking.count(), offered.count())) or settled(asking, offered, *more))
+    rng = random.Random(8)
+    listings = [(s, n) for s in ("s1", "s2") for n in some_names(rng, 30)]
+    assert linked(spark, listings, k=3) == greedy(listings)
+    assert len(offers) >= 2 and all(asking <= 16 for asking, _ in offers)
+    assert all(later < earlier for (_, earlier), (_, later) in zip(offers, offers[1:], strict=False))
+
+
 def test_one_store_or_none(spark):
     assert linked(spark, [("s1", "red bolt")]) == set() and linked(spark, []) == set()
     assert fuzzy.best_scores(fuzzy.unmatched_names(frame(spark, [("s1", "red bolt")]))).count() == 0
@@ -111,6 +125,18 @@ def test_bounds_are_never_below_the_similarity():
     assert all(bound[i, j] >= similarity(a, b) for i, a in enumerate(names) for j, b in enumerate(names))
 
 
+def test_bounds_by_neighbouring_characters_are_never_below_the_similarity():
+    rng = random.Random(11)
+    names = [sorted_tokens(n) for n in [*some_names(rng, 60), "a" * 30, "abab" * 9, "", "x", "é ü ö", "漢字 " * 20, "b" * 70]]
+    bags = CharacterBags(names)
+    rows, columns = (np.repeat(np.arange(len(names)), len(names)), np.tile(np.arange(len(names)), len(names)))
+    bound = bags.pair_bounds(bags, rows, columns).reshape(len(names), -1)
+    assert all(bound[i, j] >= similarity(a, b) for i, a in enumerate(names) for j, b in enumerate(names))
+    least = np.array([rng.choice([0.0, 55.0, 80.0, 100.0]) for _ in names])
+    margin = bags.margins(bags, least)
+    assert all(margin[i, j] >= 0 for i, a in enumerate(names) for j, b in enumerate(names) if similarity(a, b) >= least[i])
+
+
 def test_no_product_of_all_names_in_the_plan(spark):
     listings = [(s, n) for s in ("s1", "s2") for n in some_names(random.Random(1), 20)]
     names = fuzzy.unmatched_names(frame(spark, listings)).select(F.lit(0).alias("pair"), "id", "name")
