@@ -32,9 +32,9 @@ def build_name_index(layer: DataFrame, path: str, name: str = "product_name_clea
     """Write the index of a layer; null names are in no hit and are left out."""
     rows = layer.filter(F.col(name).isNotNull())
     part = F.pmod(F.xxhash64(name), F.lit(PARTS)).cast("int")
-    rows.withColumn("part", part).hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(f"{path}/rows")
+    rows.withColumn("part", part).hint("rebalance", "part").write.mode("overwrite").option("compression", "zstd").partitionBy("part").parquet(f"{path}/rows")
     names = rows.select(F.col(name).alias("name")).distinct().withColumn("name_id", F.monotonically_increasing_id())
-    names.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS)).cast("int")).write.mode("overwrite").parquet(f"{path}/names")
+    names.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS)).cast("int")).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/names")
     stored = layer.sparkSession.read.parquet(f"{path}/names")
     lower = F.lower("name")
     starts = F.sequence(F.lit(1), F.length(lower) - _GRAM + 1)
@@ -43,7 +43,7 @@ def build_name_index(layer: DataFrame, path: str, name: str = "product_name_clea
     held = stored.select("name_id", F.explode(F.when(plain, grams).otherwise(F.array(F.lit("")))).alias("gram"))
     # a common trigram is in very many names: a large shard is split over files. No ranges: to sample them, all trigrams would be made twice
     clustered = held.withColumn("shard", _shard(F.col("gram"))).hint("rebalance", "shard").sortWithinPartitions("shard", "gram", "name_id")
-    clustered.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/postings")
+    clustered.write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(f"{path}/postings")
 
 
 def sure_trigrams(pattern: str, literal: bool = False) -> list[str]:

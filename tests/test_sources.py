@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfscan.plans import batch
 import pytest
 
-from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files, versions
+from shelfscan.sources import attempt_logs, html_pages, json_payloads, layer_files, staging, versions
 from shelfscan.sources.schemas import RAW
 from shelfscan.sources.staging import stage
 
@@ -233,3 +233,16 @@ def test_a_log_folder_equals_the_one_by_one_parser(spark, folder):
     streaks = sorted((r["store"], r["failures"]) for r in attempt_logs.failure_streaks(requests).collect())
     wanted = sorted((s, len(list(g))) for s, flags in expected.items() for bad, g in itertools.groupby(flags) if bad for g in [list(g)] if len(g) >= 3)
     assert streaks == wanted
+
+
+def test_shuffle_files_go_when_a_stage_is_written(spark):
+    """A stage is compressed by zstd; frames whose shuffles are gone are computed again."""
+    staging.tune(spark)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    expected = sorted((k, len(range(k, 1000, 7))) for k in range(7))
+    staged = staging.stage(counts, "counts")
+    assert all(".zstd." in f for f in staged.inputFiles())
+    for frame in (staged, counts, counts):
+        assert sorted(map(tuple, frame.collect())) == expected
+    assert counts.count() == 7
